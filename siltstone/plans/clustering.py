@@ -18,9 +18,9 @@ DIMENSIONS = 64
 ASSIGN_ALPHA = 1.0
 PAIR_ALPHA = 0.2
 DISCARD_LABELS = 5
-BFR_K = 3
+BFR_K = 5
 BFR_ALPHA = 1.2
-BFR_CHUNKS = 5
+BFR_CHUNKS = 3
 
 
 def points(spark: SparkSession, folder: str) -> DataFrame:
