@@ -20,7 +20,6 @@ from ..session import BROADCAST_MAX_ROWS, new_folder
 from .clusters import close_pairs, first_targets
 from .kmeans import KMeansResult, kmeans
 from .nearest import (
-    MODEL_BYTES,
     ClusterStats,
     TaskSums,
     assign,
@@ -170,7 +169,7 @@ def _absorb(sets: _Sets, chunk: DataFrame, alpha: float) -> DataFrame:
     if not len(both):
         return chunk
     threshold = _threshold(both, alpha)
-    if 16 * both.dimensions * len(both) <= MODEL_BYTES:
+    if len(both.blocks()) == 1:
         table = sets.write(_routed(chunk, sets.discard, sets.compression, threshold))
         sums = combine_sums(table.filter(F.col("kind") == SUMS))
     else:

@@ -1,0 +1,251 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import plain_bfr
+from siltstone.operators import clusters, nearest
+from siltstone.operators.bfr import bfr, sorted_members
+from siltstone.operators.kmeans import kmeans, kmeans_step, start_stats
+from siltstone.operators.nearest import ClusterStats, assign, assigned_sums
+
+SCHEMA = "id bigint, vec array<double>"
+
+
+def stats(rows):
+    """Rows of (key, n, mean, deviation)."""
+    key, n, mean, sd = (np.array(part) for part in zip(*rows))
+    mean, sd = mean.astype(float), sd.astype(float)
+    return ClusterStats(key, n, mean, mean**2 + sd**2)
+
+
+def frame_of(spark, points):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in points.items()], SCHEMA)
+
+
+def blobs(n, k, d, seed, spread=0.3, outliers=0):
+    generator = random.Random(seed)
+    centres = [[generator.uniform(-50, 50) for _ in range(d)] for _ in range(k)]
+    points = {}
+    for i in range(n):
+        centre = centres[generator.randrange(k)]
+        points[i] = [generator.gauss(c, spread) for c in centre]
+    for i in range(n, n + outliers):
+        points[i] = [generator.uniform(-400, 400) for _ in range(d)]
+    return points
+
+
+@pytest.fixture(params=["one block", "many blocks"])
+def blocks(request, monkeypatch):
+    """The second run takes the clusters two at a time, as for statistics beyond the bound."""
+    if request.param == "many blocks":
+        monkeypatch.setattr(nearest, "MODEL_BYTES", 2 * 16 * 2)
+    return request.param
+
+
+def test_assign_by_euclidean_distance(spark, blocks):
+    points = blobs(200, 5, 2, 1)
+    model = stats([(i, 1, [i * 10 - 30, i * 5 - 20], [0, 0]) for i in range(7)])
+    got = assign(frame_of(spark, points), model).collect()
+    assert len(got) == 200
+    for row in got:
+        gaps = [plain_bfr.euclid(row.vec, m) for m in model.mean.tolist()]
+        assert row.cluster == gaps.index(min(gaps))
+        assert row.distance == pytest.approx(min(gaps))
+
+
+def test_first_of_equal_clusters_wins(spark, blocks):
+    model = stats([(9, 1, [5, 5], [0, 0]), (3, 1, [0, 0], [0, 0]), (1, 1, [0, 0], [0, 0]),
+                   (2, 1, [0, 0], [0, 0])])
+    assert assign(frame_of(spark, {0: [0, 0]}), model).first().cluster == 3
+
+
+def test_assign_within_threshold(spark, blocks):
+    model = stats([
+        (0, 9, [0, 0], [1, 1]), (1, 9, [10, 10], [2, 0]), (2, 9, [30, 30], [5, 5]),
+    ])
+    points = {0: [0, 1], 1: [3, 0], 2: [11, 10], 3: [11, 10.1], 4: [33, 30], 5: [2, 0], 6: [100, 0]}
+    got = {r.id: (r.cluster, r.distance) for r in assign(frame_of(spark, points), model, 2.0).collect()}
+    assert got[0] == (0, 1.0)
+    assert got[1] == (None, None)
+    assert got[2] == (1, pytest.approx(0.5))
+    assert got[3] == (None, None)  # a flat dimension takes only equal values
+    assert got[4] == (2, pytest.approx(0.6))
+    assert got[5] == (None, None)  # the threshold itself is outside
+    assert got[6] == (None, None)
+
+
+def test_assign_to_nothing(spark):
+    frame = frame_of(spark, {0: [0, 1]})
+    assert assign(frame, nearest.no_clusters()).first().cluster is None
+
+
+def test_sums_equal_moments_of_the_assignment(spark, blocks):
+    points = frame_of(spark, blobs(300, 4, 2, 2, spread=20))
+    model = stats([(i, 5, [i * 20 - 40, 0], [15, 15]) for i in range(5)])
+    for threshold in (None, 1.5):
+        sums = {r.cluster: r for r in assigned_sums(points, model, threshold).collect()}
+        members = {}
+        for row in assign(points, model, threshold).collect():
+            if row.cluster is not None:
+                members.setdefault(row.cluster, []).append(row.vec)
+        assert sums.keys() == members.keys()
+        for key, vectors in members.items():
+            assert sums[key].n == len(vectors)
+            assert sums[key]["sum"] == pytest.approx(np.sum(vectors, axis=0).tolist())
+            assert sums[key]["sumsq"] == pytest.approx(np.square(vectors).sum(axis=0).tolist())
+
+
+def test_empty_partitions(spark):
+    points = frame_of(spark, {0: [0, 1], 1: [5, 5]}).repartition(8)
+    model = stats([(0, 1, [0, 0], [1, 1])])
+    assert assigned_sums(points, model).first().n == 2
+
+
+def test_kmeans_equals_plain(spark, blocks):
+    points = blobs(150, 6, 3, 5, spread=4)
+    found = kmeans(frame_of(spark, points), 6, 4, seed=11)
+    expected = plain_bfr.kmeans(points, 6, 4, 11)
+    members = {}
+    for row in found.assign(frame_of(spark, points)).collect():
+        members.setdefault(row.cluster, set()).add(row.id)
+    assert members == {i: set(m) for i, m in enumerate(expected) if m}
+    assert found.stats.n.tolist() == [len(m) for m in expected]
+    for i, ids in enumerate(expected):
+        if ids:
+            assert found.stats.mean[i] == pytest.approx(np.mean([points[j] for j in ids], axis=0))
+
+
+def test_kmeans_lowers_k(spark):
+    found = kmeans(frame_of(spark, {0: [1, 1], 1: [2, 2]}), 5, 3)
+    assert len(found.stats) == 2 and found.stats.points == 2
+    nothing = kmeans(frame_of(spark, {0: [1, 1]}).filter("id > 5"), 5, 3)
+    assert len(nothing.stats) == 0 and nothing.rounds == 0
+
+
+def test_kmeans_stops_when_stable(spark):
+    found = kmeans(frame_of(spark, {0: [0, 0], 1: [0, 0], 2: [9, 9]}), 2, 50, start_ids=[0, 2])
+    assert found.rounds == 1 and found.stats.n.tolist() == [2, 1]
+
+
+def test_include_previous(spark):
+    points = frame_of(spark, {0: [0.0, 0.0], 1: [3.0, 0.0], 2: [6.0, 0.0]})
+    start = start_stats(points, 1, start_ids=[0])
+    assert kmeans_step(points, start).mean.tolist() == [[3.0, 0.0]]
+    moved = kmeans_step(points, start, include_previous=True)
+    assert moved.mean.tolist() == [[2.25, 0.0]] and moved.n.tolist() == [3]
+    assert moved.mean_square.tolist() == [[11.25, 0.0]]
+
+
+def test_cluster_without_members_keeps_its_centroid(spark):
+    points = frame_of(spark, {0: [0, 0], 1: [0, 0], 2: [1, 1]})
+    moved = kmeans_step(points, start_stats(points, 2, start_ids=[0, 1]))
+    assert moved.n.tolist() == [3, 0] and moved.mean[1].tolist() == [0, 0]
+
+
+def summary_frame(spark, model):
+    return model.frame(spark)
+
+
+def test_merge_candidates_and_matches(spark, blocks):
+    model = stats([
+        (0, 9, [0, 0], [1, 1]), (1, 9, [1, 0], [0.1, 0.1]), (2, 9, [0, 1], [5, 5]),
+        (3, 9, [40, 0], [1, 1]), (4, 9, [40, 1], [1, 1]),
+    ])
+    table = summary_frame(spark, model)
+    pairs = clusters.merge_candidates(table, 2.0).collect()
+    # Scaled by the first: 0-1 and 0-2 are close, 1-2 is not.
+    assert {(p.first, p.second) for p in pairs} == {(0, 1), (0, 2), (3, 4)}
+    assert [(int(model.key[i]), int(model.key[j])) for i, j in clusters.close_pairs(model, 2.0)] == [
+        (0, 1), (3, 4)
+    ]
+    ds, cs = model.take(slice(0, 3)), stats([(7, 2, [0, 1.9], [1, 1]), (8, 2, [99, 99], [1, 1])])
+    for match, target in (("first", 0), ("nearest", 2)):
+        got = clusters.match_clusters(summary_frame(spark, cs), summary_frame(spark, ds), 2.0, match)
+        assert [(r.cluster, r.target) for r in got.collect()] == [(7, target)]
+        pairs = list(clusters.first_targets(cs, ds, 2.0, match))
+        assert [(int(cs.key[i]), int(ds.key[j])) for i, j in pairs] == [(7, target)]
+    with pytest.raises(ValueError):
+        clusters.match_clusters(table, table, 1.0, "other")
+
+
+def test_point_count(spark):
+    model = stats([(0, 4, [0, 0], [1, 1]), (1, 3, [0, 0], [1, 1])])
+    assert tuple(clusters.point_count(summary_frame(spark, model)).first()) == (7, 2)
+
+
+def chunked(spark, points, parts):
+    n = len(points)
+    frame = frame_of(spark, points)
+    return (
+        frame.withColumn("chunk", F.floor(F.col("id") * parts / n)),
+        [{i: v for i, v in points.items() if i * parts // n == c} for c in range(parts)],
+    )
+
+
+CASES = [
+    dict(k=4, alpha=3.0, parts=4, n=400, d=3, seed=1, outliers=5),
+    dict(k=3, alpha=1.5, parts=3, n=300, d=2, seed=2, outliers=10),
+    dict(k=3, alpha=1.5, parts=3, n=300, d=2, seed=2, outliers=10, match="nearest"),
+    dict(k=3, alpha=2.0, parts=3, n=300, d=2, seed=3, outliers=4, assign_first=True),
+    dict(k=5, alpha=3.0, parts=1, n=120, d=2, seed=4, outliers=0),
+    dict(k=2, alpha=1.0, parts=2, n=8, d=2, seed=5, outliers=0),
+]
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_bfr_equals_plain(spark, blocks, case):
+    options = {key: case[key] for key in ("match", "assign_first") if key in case}
+    points = blobs(case["n"], case["k"], case["d"], case["seed"], outliers=case["outliers"])
+    # Shuffled ids, so that outliers fall into every chunk.
+    order = list(points)
+    random.Random(case["seed"]).shuffle(order)
+    points = {new: points[old] for new, old in enumerate(order)}
+    frame, chunks = chunked(spark, points, case["parts"])
+    labels, rounds = plain_bfr.bfr(chunks, case["k"], case["alpha"], **options)
+    found = bfr(frame, case["k"], case["alpha"], **options)
+    got_rounds = [tuple(r) for r in found.rounds.orderBy("round_id").collect()]
+    assert got_rounds == rounds
+    assert {r.id: r.cluster for r in found.labels.collect()} == labels
+
+    # After each round the three sets hold every point seen so far.
+    seen = 0
+    for chunk, record in zip(chunks, got_rounds):
+        seen += len(chunk)
+        assert record[2] + record[4] + record[5] == seen
+
+    # Summaries equal a recount of the labels.
+    discard = {r.cluster: r for r in found.summaries.filter("set = 'DS'").collect()}
+    for key, row in discard.items():
+        vectors = [points[i] for i, label in labels.items() if label == key]
+        assert row.n == len(vectors)
+        if vectors:
+            assert row["mean"] == pytest.approx(np.mean(vectors, axis=0).tolist())
+
+
+def test_separated_points_are_found(spark):
+    points = blobs(600, 3, 4, 8)
+    frame, _ = chunked(spark, points, 3)
+    found = bfr(frame, 3, 3.0)
+    truth = {}
+    for row in found.labels.collect():
+        truth.setdefault(row.cluster, []).append(points[row.id])
+    for key, vectors in truth.items():
+        assert key >= 0
+        spread = np.std(vectors, axis=0)
+        assert spread.max() < 1.0 or math.isclose(len(truth), 3)
+
+
+def test_ids_outside_the_sample(spark):
+    points = {i + 10**6: v for i, v in blobs(60, 2, 2, 9).items()}
+    frame = frame_of(spark, points).withColumn("chunk", F.lit("a"))
+    found = bfr(frame, 2)
+    assert found.labels.count() == 60
+    assert found.rounds.first()["nof_cluster_discard"] == 0
+
+
+def test_sorted_members(spark):
+    labels = spark.createDataFrame([(3, 1), (1, 1), (2, 0)], "id bigint, cluster int")
+    assert [tuple(r) for r in sorted_members(labels).collect()] == [(2, 0), (1, 1), (3, 1)]
