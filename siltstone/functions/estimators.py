@@ -12,21 +12,17 @@ COMPARED_DECIMALS = 1
 FIXED_GROUPS = 3
 
 
-def _total(values: Column, start: Column) -> Column:
-    return F.aggregate(values, start, lambda acc, value: acc + value)
-
-
-def middle_of_fixed_groups(estimates: Column, size: int = 12) -> Column:
+def middle_of_fixed_groups(estimates: str, size: int = 12) -> Column:
     """Split the estimates into three runs, average each, take the middle average."""
     width = size // FIXED_GROUPS
     means = [
-        _total(F.slice(estimates, 1 + g * width, width), F.lit(0.0)) / width
+        f"aggregate(slice({estimates}, {1 + g * width}, {width}), 0D, (t, v) -> t + v) / {width}"
         for g in range(FIXED_GROUPS)
     ]
-    return F.sort_array(F.array(*means))[1].cast("bigint")
+    return F.expr(f"cast(sort_array(array({', '.join(means)}))[1] as bigint)")
 
 
-def middle_of_kmeans_groups(estimates: Column) -> Column:
+def middle_of_kmeans_groups(estimates: str) -> Column:
     """Middle mean of three groups found by one-dimensional k-means.
 
     A round moves each centroid to the mean of itself and its members. The comparison after a
@@ -34,58 +30,40 @@ def middle_of_kmeans_groups(estimates: Column) -> Column:
     stops at the first that moved. Rounds end when none moved.
     """
     groups = range(len(START_POSITIONS))
-    start = F.struct(
-        *[estimates[p].cast("double").alias(f"c{g}") for g, p in enumerate(START_POSITIONS)],
-        *[F.lit(False).alias(f"f{g}") for g in groups],
-        *[F.lit(0.0).alias(f"m{g}") for g in groups],
-        F.lit(False).alias("done"),
-    )
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(MAX_ROUNDS)),
-        start,
-        lambda state, _: F.when(state["done"], state).otherwise(_kmeans_round(state, estimates)),
-        lambda state: F.sort_array(F.array(*[state[f"m{g}"] for g in groups]))[1].cast("bigint"),
-    )
+    fields = [f"'c{g}', cast({estimates}[{p}] as double)" for g, p in enumerate(START_POSITIONS)]
+    fields += [f"'f{g}', false" for g in groups] + [f"'m{g}', 0D" for g in groups]
+    start = f"named_struct({', '.join(fields)}, 'done', false)"
+    rounds = f"(s, i) -> CASE WHEN s.done THEN s ELSE {_kmeans_round('s', estimates)} END"
+    middle = "s -> cast(sort_array(array(s.m0, s.m1, s.m2))[1] as bigint)"
+    return F.expr(f"aggregate(sequence(1, {MAX_ROUNDS}), {start}, {rounds}, {middle})")
 
 
-def _kmeans_round(state: Column, values: Column) -> Column:
+def _kmeans_round(state: str, values: str) -> str:
     groups = range(len(START_POSITIONS))
-    centre = [state[f"c{g}"] for g in groups]
-    frozen = [state[f"f{g}"] for g in groups]
-
-    def belongs(group: int):
-        def test(value: Column) -> Column:
-            mine = F.abs(centre[group] - value)
-            checks = [
-                mine < F.abs(centre[g] - value) if g < group else mine <= F.abs(centre[g] - value)
-                for g in groups
-                if g != group
-            ]
-            return checks[0] & checks[1]
-
-        return test
-
-    members = [F.filter(values, belongs(g)) for g in groups]
-    moved = [
-        F.when(frozen[g], centre[g]).otherwise(
-            _total(members[g], centre[g]) / (F.size(members[g]) + 1)
+    fields = {}
+    changed = []
+    for g in groups:
+        nearer = " AND ".join(
+            f"abs({state}.c{g} - v) {'<' if other < g else '<='} abs({state}.c{other} - v)"
+            for other in groups
+            if other != g
+        )
+        members = f"filter({values}, v -> {nearer})"
+        moved = (
+            f"CASE WHEN {state}.f{g} THEN {state}.c{g} ELSE "
+            f"aggregate({members}, {state}.c{g}, (t, v) -> t + v) / (size({members}) + 1) END"
+        )
+        fields[f"c{g}"] = moved
+        fields[f"m{g}"] = (
+            f"aggregate({members}, 0D, (t, v) -> t + v) / greatest(size({members}), 1)"
+        )
+        changed.append(
+            f"(bround({moved}, {COMPARED_DECIMALS}) <> "
+            f"bround({state}.c{g}, {COMPARED_DECIMALS}))"
         )
-        for g in groups
-    ]
-    changed = [
-        F.bround(moved[g], COMPARED_DECIMALS) != F.bround(centre[g], COMPARED_DECIMALS)
-        for g in groups
-    ]
-    flags, any_before = [], F.lit(False)
     for g in groups:
-        flags.append(F.when(any_before, frozen[g]).otherwise(~changed[g]))
-        any_before = any_before | changed[g]
-    means = [
-        _total(members[g], F.lit(0.0)) / F.greatest(F.size(members[g]), F.lit(1)) for g in groups
-    ]
-    return F.struct(
-        *[moved[g].alias(f"c{g}") for g in groups],
-        *[flags[g].alias(f"f{g}") for g in groups],
-        *[means[g].alias(f"m{g}") for g in groups],
-        (~any_before).alias("done"),
-    )
+        before = " OR ".join(["false", *changed[:g]])
+        fields[f"f{g}"] = f"CASE WHEN {before} THEN {state}.f{g} ELSE NOT {changed[g]} END"
+    fields["done"] = f"NOT ({' OR '.join(changed)})"
+    order = [f"{kind}{g}" for kind in "cfm" for g in groups] + ["done"]
+    return "named_struct(" + ", ".join(f"'{name}', {fields[name]}" for name in order) + ")"

@@ -33,48 +33,60 @@ FM_B = (
 ZERO_HASH_DIGITS = 20
 
 
-def text_mod(text: Column, p: int) -> Column:
-    """Remainder modulo ``p`` of the UTF-8 bytes of ``text`` read as one integer.
+# The last blocks of a text are folded by one generated expression, those before by a loop.
+UNROLLED_BLOCKS = 4
 
-    Null for null and for empty text.
+
+def text_mod(column: str, p: int) -> Column:
+    """Remainder modulo ``p`` of the UTF-8 bytes of a text column read as one integer.
+
+    Null for null and for empty text. Keep the result in a column of its own when several
+    hash functions use it, so that it is computed once.
     """
     block_bytes = (62 - p.bit_length()) // 8
     digits = 2 * block_bytes
-    encoded = F.hex(text)
-    blocks = F.ceil(F.length(encoded) / digits).cast("int")
-    padded = F.lpad(encoded, blocks * digits, F.lit("0"))
-
-    def absorb(acc: Column, block: Column) -> Column:
-        piece = F.substring(padded, (block - 1) * digits + 1, F.lit(digits))
-        return (acc * (256**block_bytes) + F.conv(piece, 16, 10).cast("bigint")) % p
-
-    folded = F.aggregate(F.sequence(F.lit(1), blocks), F.lit(0).cast("bigint"), absorb)
-    return F.when(F.length(text) > 0, folded)
-
-
-def bloom_signature(
-    text: Column, buckets: int = BLOOM_BUCKETS, hashes: int = BLOOM_HASHES
-) -> Column:
-    """Array of ``hashes`` bit positions below ``buckets``."""
+    encoded = f"hex(nullif(`{column}`, ''))"
+    looped = f"greatest(cast(ceil(length({encoded}) / {digits}) as int) - {UNROLLED_BLOCKS}, 0)"
+    padded = f"lpad({encoded}, ({looped} + {UNROLLED_BLOCKS}) * {digits}, '0')"
+
+    def absorb(acc: str, block: str) -> str:
+        piece = f"substring({padded}, ({block} - 1) * {digits} + 1, {digits})"
+        return f"(({acc}) * {256**block_bytes}L + cast(conv({piece}, 16, 10) as bigint)) % {p}L"
+
+    loop = f"aggregate(sequence(1, {looped}), 0L, (acc, block) -> {absorb('acc', 'block')})"
+    folded = f"CASE WHEN {looped} > 0 THEN {loop} ELSE 0L END"
+    for block in range(1, UNROLLED_BLOCKS + 1):
+        folded = absorb(folded, f"({looped} + {block})")
+    return F.expr(folded)
+
+
+def bloom_positions_of(
+    remainder: str, buckets: int = BLOOM_BUCKETS, hashes: int = BLOOM_HASHES
+) -> list[str]:
+    """The ``hashes`` bit positions below ``buckets`` as SQL, for a ``text_mod(..., BLOOM_P)``
+    column."""
     if not 1 <= hashes <= len(BLOOM_A):
         raise ValueError(f"hashes must lie between 1 and {len(BLOOM_A)}")
     if not 1 <= buckets <= BLOOM_P:
         raise ValueError(f"buckets must lie between 1 and {BLOOM_P}")
-    coefficients = F.array(*[F.lit(a).cast("bigint") for a in BLOOM_A[:hashes]])
-    remainder = text_mod(text, BLOOM_P)
-    return F.transform(coefficients, lambda a: ((a * remainder + BLOOM_B) % BLOOM_P) % buckets)
+    return [
+        f"((({remainder} * {a}L + {BLOOM_B}L) % {BLOOM_P}L) % {buckets}L)"
+        for a in BLOOM_A[:hashes]
+    ]
 
 
-def trailing_zeros(value: Column) -> Column:
-    lowest_bit = value.bitwiseAND(-value)
-    return F.when(value == 0, F.lit(ZERO_HASH_DIGITS)).otherwise(F.bit_count(lowest_bit - 1))
+def trailing_zeros(value: str) -> Column:
+    """Trailing zeros of the binary text of a bigint expression."""
+    return F.expr(
+        f"CASE WHEN {value} = 0 THEN {ZERO_HASH_DIGITS} "
+        f"ELSE bit_count(({value} & -{value}) - 1) END"
+    )
 
 
-def fm_trailing_zeros(remainder: Column) -> list[Column]:
-    """Trailing zeros under each of the 12 hash functions, for ``text_mod(text, FM_P)``."""
+def fm_trailing_zeros(remainder: str) -> list[Column]:
+    """Trailing zeros under each of the 12 hash functions, for a ``text_mod(..., FM_P)`` column."""
     return [
-        trailing_zeros((remainder * F.lit(a).cast("bigint") + F.lit(b).cast("bigint")) % FM_P)
-        for a, b in zip(FM_A, FM_B)
+        trailing_zeros(f"(({remainder} * {a}L + {b}L) % {FM_P}L)") for a, b in zip(FM_A, FM_B)
     ]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ def tokens(text: Column) -> Column:
 
 
 def strip_punctuation(token: Column) -> Column:
-    return F.translate(token, PUNCTUATION, "")
+    """``token`` without punctuation; most tokens have none and pass unchanged."""
+    some = token.rlike("[" + re.escape(PUNCTUATION) + "]")
+    return F.when(some, F.translate(token, PUNCTUATION, "")).otherwise(token)
 
 
 def comma_list(text: Column) -> Column:

@@ -6,12 +6,16 @@ fixed by the number of buckets and not by the data.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import BLOOM_BUCKETS, BLOOM_HASHES, bloom_signature
+from ..functions.hashing import (
+    BLOOM_BUCKETS,
+    BLOOM_HASHES,
+    BLOOM_P,
+    bloom_positions_of,
+    text_mod,
+)
 from ..functions.text import present
 
 WORD_BITS = 64
@@ -23,19 +27,28 @@ def word_count(buckets: int) -> int:
     return -(-buckets // WORD_BITS)
 
 
+def _with_positions(df: DataFrame, col: str, buckets: int, hashes: int) -> DataFrame:
+    """Add ``_at``, the bit positions; the remainder stays a column so that it is folded once."""
+    hashed = df.withColumn("_x", text_mod(col, BLOOM_P))
+    positions = ", ".join(bloom_positions_of("_x", buckets, hashes))
+    return hashed.withColumn("_at", F.expr(f"array({positions})")).drop("_x")
+
+
 def bloom_build(
     df: DataFrame, col: str, buckets: int = BLOOM_BUCKETS, hashes: int = BLOOM_HASHES
 ) -> DataFrame:
     """Filter over the values of ``col``; null and empty values are not added.
 
-    Each task folds its rows into at most ``word_count(buckets)`` words before the shuffle.
+    Values are made distinct first, with a map-side combine, and each is hashed once. Each task
+    folds its positions into at most ``word_count(buckets)`` words before the second shuffle.
     """
+    values = df.filter(present(F.col(col))).select(F.col(col).alias("value")).distinct()
     positions = (
-        df.filter(present(F.col(col)))
-        .select(F.explode(bloom_signature(F.col(col), buckets, hashes)).alias("position"))
-        .select(
-            F.floor(F.col("position") / WORD_BITS).alias("word"),
-            F.expr(f"shiftleft(1L, cast(position % {WORD_BITS} as int))").alias("bits"),
+        _with_positions(values, "value", buckets, hashes)
+        .select(F.explode("_at").alias("position"))
+        .selectExpr(
+            f"position div {WORD_BITS} AS word",
+            f"shiftleft(1L, cast(position % {WORD_BITS} as int)) AS bits",
         )
     )
     blank = df.sparkSession.range(word_count(buckets)).select(
@@ -80,15 +93,13 @@ def _probe_array(
             F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda e: e["bits"]
         ).alias("words")
     ).scalar()
-    probed = df.withColumns({"_words": words, "_at": bloom_signature(F.col(col), buckets, hashes)})
-
-    def is_set(position: Column) -> Column:
-        word = F.get(F.col("_words"), F.floor(position / WORD_BITS).cast("int"))
-        return F.bit_get(word, (position % WORD_BITS).cast("int")) == 1
-
-    all_set = reduce(lambda a, b: a & b, [is_set(F.col("_at")[i]) for i in range(hashes)])
-    hit = F.when(present(F.col(col)) & all_set, F.lit(1)).otherwise(F.lit(0))
-    return probed.withColumn("prediction", hit).drop("_words", "_at")
+    probed = df.withColumns({"_words": words, "_x": text_mod(col, BLOOM_P)})
+    tests = " AND ".join(
+        f"bit_get(get(_words, cast({at} div {WORD_BITS} as int)), cast({at} % {WORD_BITS} as int)) = 1"
+        for at in bloom_positions_of("_x", buckets, hashes)
+    )
+    hit = F.expr(f"CASE WHEN _x IS NOT NULL AND {tests} THEN 1 ELSE 0 END")
+    return probed.withColumn("prediction", hit).drop("_words", "_x")
 
 
 def _probe_join(
@@ -100,9 +111,11 @@ def _probe_join(
     """
     salts = max(2, df.sparkSession.sparkContext.defaultParallelism)
     values = df.select(F.col(col).alias("_value")).filter(present(F.col("_value"))).distinct()
-    tests = values.select(
-        "_value", F.explode(bloom_signature(F.col("_value"), buckets, hashes)).alias("_at")
-    ).withColumn("word", F.floor(F.col("_at") / WORD_BITS))
+    tests = (
+        _with_positions(values, "_value", buckets, hashes)
+        .withColumn("_at", F.explode("_at"))
+        .withColumn("word", F.expr(f"_at div {WORD_BITS}"))
+    )
     hits = (
         tests.join(bloom, "word")
         .groupBy("_value")

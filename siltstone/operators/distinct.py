@@ -51,7 +51,7 @@ def window_distinct(df: DataFrame, ts: str, value: str, length: int, slide: int)
     )
 
 
-def zero_runs(value: Column) -> list[Column]:
+def zero_runs(value: str) -> list[Column]:
     """Aggregates: longest run of trailing zeros under each hash function."""
     zeros = fm_trailing_zeros(value)
     return [F.max(z).alias(name) for z, name in zip(zeros, ZERO_COLUMNS)]
@@ -60,9 +60,9 @@ def zero_runs(value: Column) -> list[Column]:
 def fm_window_bits(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
     """Longest runs ``z0`` to ``z11`` per window. No value is shuffled, only 12 maxima."""
     hashed = _by_pane(df, ts, value, length, slide).withColumn(
-        "x", text_mod(F.col("value"), FM_P)
+        "x", text_mod("value", FM_P)
     )
-    panes = hashed.groupBy("pane").agg(*zero_runs(F.col("x")))
+    panes = hashed.groupBy("pane").agg(*zero_runs("x"))
     return (
         panes.select(_covering(length, slide).alias("window"), *ZERO_COLUMNS)
         .groupBy("window")
@@ -75,10 +75,10 @@ def with_estimate(df: DataFrame, combine: str = "kmeans") -> DataFrame:
     """Replace ``z0`` to ``z11`` by ``estimation``."""
     if combine not in COMBINE:
         raise ValueError("combine must be 'fixed' or 'kmeans'")
-    estimates = F.array(*[F.pow(F.lit(2.0), F.col(z)) for z in ZERO_COLUMNS])
+    estimates = F.expr("array(" + ", ".join(f"power(2D, {z})" for z in ZERO_COLUMNS) + ")")
     return (
         df.withColumn("_estimates", estimates)
-        .withColumn("estimation", COMBINE[combine](F.col("_estimates")))
+        .withColumn("estimation", COMBINE[combine]("_estimates"))
         .drop("_estimates", *ZERO_COLUMNS)
     )
 
@@ -98,10 +98,10 @@ def fm_windows(
     The exact count needs the distinct pairs anyway, so only those are hashed.
     """
     pairs = window_values(df, ts, value, length, slide).withColumn(
-        "x", text_mod(F.col("value"), FM_P)
+        "x", text_mod("value", FM_P)
     )
     counted = pairs.groupBy("window").agg(
-        F.count(F.lit(1)).alias("ground_truth"), *zero_runs(F.col("x"))
+        F.count(F.lit(1)).alias("ground_truth"), *zero_runs("x")
     )
     named = counted.select(
         window_label(F.col("window.end")).alias("time"), "ground_truth", *ZERO_COLUMNS

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import exploration as ops
 from ..operators import partitions
-from .registry import Query, rounded, table
+from .registry import Query, rounded, spread_columns, table
 
 YEAR = 1997
 TOP_USERS = 10
@@ -31,12 +31,16 @@ def top_users(spark: SparkSession, folder: str) -> DataFrame:
     return ops.top_users(table(spark, folder, "orders"), "o_custkey", TOP_USERS)
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_columns(spark, folder, "documents", "text")
+
+
 def top_words(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.top_words(table(spark, folder, "documents"), "text", STOP_WORDS, TOP_WORDS)
+    return ops.top_words(_texts(spark, folder), "text", STOP_WORDS, TOP_WORDS)
 
 
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.word_counts(table(spark, folder, "documents"), "text", STOP_WORDS)
+    return ops.word_counts(_texts(spark, folder), "text", STOP_WORDS)
 
 
 def _scored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, str, str, str]:

@@ -42,9 +42,9 @@ def stream_fm_windows(
         ["window", "value"]
     )
     counted = (
-        pairs.withColumn("x", text_mod(F.col("value"), FM_P))
+        pairs.withColumn("x", text_mod("value", FM_P))
         .groupBy("window")
-        .agg(F.count(F.lit(1)).alias("ground_truth"), *zero_runs(F.col("x")))
+        .agg(F.count(F.lit(1)).alias("ground_truth"), *zero_runs("x"))
         .select(window_label(F.col("window.end")).alias("time"), "ground_truth", *ZERO_COLUMNS)
     )
     return with_estimate(counted, combine)
@@ -62,9 +62,9 @@ def stream_fm_estimates(
     """``time`` and ``estimation`` only: the state is 12 numbers per window."""
     bits = (
         _windowed(stream, ts, value, length, slide, watermark)
-        .withColumn("x", text_mod(F.col("value"), FM_P))
+        .withColumn("x", text_mod("value", FM_P))
         .groupBy("window")
-        .agg(*zero_runs(F.col("x")))
+        .agg(*zero_runs("x"))
         .select(window_label(F.col("window.end")).alias("time"), *ZERO_COLUMNS)
     )
     return with_estimate(bits, combine)

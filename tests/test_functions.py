@@ -36,27 +36,28 @@ def test_text_mod_equals_big_integers(spark):
     frame = spark.createDataFrame([(w,) for w in words], "w string")
     rows = frame.select(
         "w",
-        hashing.text_mod(F.col("w"), hashing.BLOOM_P).alias("b"),
-        hashing.text_mod(F.col("w"), hashing.FM_P).alias("f"),
+        hashing.text_mod("w", hashing.BLOOM_P).alias("b"),
+        hashing.text_mod("w", hashing.FM_P).alias("f"),
     ).collect()
     for row in rows:
         assert row.b == number(row.w) % hashing.BLOOM_P
         assert row.f == number(row.w) % hashing.FM_P
-    assert one(spark, hashing.text_mod(F.col("w"), hashing.BLOOM_P), w="éa") == 12822881
+    assert one(spark, hashing.text_mod("w", hashing.BLOOM_P), w="éa") == 12822881
 
 
 def test_text_mod_of_nothing(spark):
-    assert one(spark, hashing.text_mod(F.col("w"), 97), w="") is None
-    assert one(spark, hashing.text_mod(F.col("w"), 97), w=F.lit(None).cast("string")) is None
+    assert one(spark, hashing.text_mod("w", 97), w="") is None
+    assert one(spark, hashing.text_mod("w", 97), w=F.lit(None).cast("string")) is None
 
 
-def test_bloom_signature(spark):
+def test_bloom_positions(spark):
     for word in WORDS:
-        got = one(spark, hashing.bloom_signature(F.col("w")), w=word)
+        positions = F.expr("array(" + ", ".join(hashing.bloom_positions_of("x")) + ")")
+        got = one(spark, positions, w=word, x=hashing.text_mod("w", hashing.BLOOM_P))
         x = number(word)
         assert got == [((a * x + 83) % 233333333333) % 5000 for a in (83, 96, 44, 82, 25, 5, 101)]
     with pytest.raises(ValueError):
-        hashing.bloom_signature(F.col("w"), hashes=37)
+        hashing.bloom_positions_of("w", hashes=37)
 
 
 def test_fm_constants_are_the_seeded_draws():
@@ -72,7 +73,7 @@ def test_fm_constants_are_the_seeded_draws():
 def test_trailing_zeros(spark):
     values = [0, 1, 2, 3, 8, 2**19, 2**20, 2**27, 12345, 233333332]
     frame = spark.createDataFrame([(v,) for v in values], "v bigint")
-    rows = frame.select("v", hashing.trailing_zeros(F.col("v")).alias("z"),
+    rows = frame.select("v", hashing.trailing_zeros("v").alias("z"),
                         hashing.binary_text(F.col("v")).alias("t")).collect()
     assert [r.z for r in rows] == [zeros(v) for v in values]
     assert [r.t for r in rows] == [format(v, "b").zfill(20) for v in values]
@@ -80,8 +81,8 @@ def test_trailing_zeros(spark):
 
 def test_fm_trailing_zeros(spark):
     for word in WORDS:
-        columns = hashing.fm_trailing_zeros(hashing.text_mod(F.col("w"), hashing.FM_P))
-        got = one(spark, F.array(*columns), w=word)
+        columns = F.array(*hashing.fm_trailing_zeros("x"))
+        got = one(spark, columns, w=word, x=hashing.text_mod("w", hashing.FM_P))
         x = number(word)
         assert got == [
             zeros((a * x + b) % 233333333) for a, b in zip(hashing.FM_A, hashing.FM_B)
@@ -166,8 +167,8 @@ def test_kmeans_groups(spark):
     frame = spark.createDataFrame([(s,) for s in samples], "e array<double>")
     rows = frame.select(
         "e",
-        estimators.middle_of_kmeans_groups(F.col("e")).alias("k"),
-        estimators.middle_of_fixed_groups(F.col("e")).alias("f"),
+        estimators.middle_of_kmeans_groups("e").alias("k"),
+        estimators.middle_of_fixed_groups("e").alias("f"),
     ).collect()
     for row in rows:
         assert row.k == plain_kmeans_middle(list(row.e))

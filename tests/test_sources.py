@@ -94,5 +94,5 @@ def test_chunk_filter_prunes_files(spark, tmp_path):
     lines(tmp_path / "in" / "b.txt", ["2,1"])
     points = readers.read_points(spark, str(tmp_path / "in")).filter("chunk = 'b.txt'")
     assert [r.id for r in points.collect()] == [2]
-    plan = points._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "b.txt" in plan.split("PartitionFilters")[1][:200]
+    scan = points._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1
