@@ -16,6 +16,11 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), " ")
 
 
+def has_word(token: Column) -> Column:
+    """True if something is left of ``token`` without its punctuation."""
+    return token.rlike("[^" + re.escape(PUNCTUATION) + "]")
+
+
 def strip_punctuation(token: Column) -> Column:
     """``token`` without punctuation; most tokens have none and pass unchanged."""
     some = token.rlike("[" + re.escape(PUNCTUATION) + "]")

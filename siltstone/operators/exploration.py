@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import comma_list, in_year, present, strip_punctuation, tokens
+from ..functions.text import (
+    comma_list,
+    has_word,
+    in_year,
+    present,
+    strip_punctuation,
+    tokens,
+)
 from ..session import fits_broadcast
 
 # A longer Python list of stop words is joined as a table instead of sitting in the plan.
@@ -41,7 +48,9 @@ def frequent_keys(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def word_counts(df: DataFrame, text: str, stop_words: Sequence[str] | DataFrame) -> DataFrame:
     """Rows per word. A stop word is compared before punctuation is removed."""
-    raw = df.select(F.explode(tokens(F.col(text))).alias("token"))
+    raw = df.select(F.explode(tokens(F.col(text))).alias("token")).filter(
+        has_word(F.col("token"))
+    )
     if not isinstance(stop_words, DataFrame) and len(stop_words) > INLINE_STOP_WORDS:
         rows = [(word,) for word in stop_words]
         stop_words = df.sparkSession.createDataFrame(rows, "word string")
@@ -60,7 +69,6 @@ def word_counts(df: DataFrame, text: str, stop_words: Sequence[str] | DataFrame)
 
     return (
         kept.select(strip_punctuation(F.col("token")).alias("word"), "count")
-        .filter(present(F.col("word")))
         .groupBy("word")
         .agg(F.sum("count").alias("count"))
     )

@@ -174,3 +174,8 @@ def test_kmeans_groups(spark):
         assert row.k == plain_kmeans_middle(list(row.e))
         means = sorted(sum(row.e[i : i + 4]) / 4 for i in (0, 4, 8))
         assert row.f == int(means[1])
+
+
+def test_has_word(spark):
+    for token, expected in (("?!", False), ("", False), ("a", True), (".a", True), ("\n", True)):
+        assert one(spark, text.has_word(F.col("t")), t=token) is expected
