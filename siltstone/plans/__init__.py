@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clustering, exploration, membership, samples, windows
+from . import clustering, exploration, membership, samples, streams, windows
 from .registry import Query
 
 ALL: dict[str, Query] = {
@@ -11,4 +11,5 @@ ALL: dict[str, Query] = {
     **windows.QUERIES,
     **samples.QUERIES,
     **clustering.QUERIES,
+    **streams.QUERIES,
 }

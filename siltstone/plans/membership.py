@@ -10,16 +10,16 @@ from ..operators import bloom as ops
 from .registry import Query, table
 
 
-def _users(spark: SparkSession, folder: str) -> DataFrame:
+def users(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(F.col("user_id").cast("string").alias("user"))
 
 
 def bloom_build(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.bloom_positions(ops.bloom_build(_users(spark, folder), "user"))
+    return ops.bloom_positions(ops.bloom_build(users(spark, folder), "user"))
 
 
 def bloom_probe(spark: SparkSession, folder: str) -> DataFrame:
-    bloom = ops.bloom_build(_users(spark, folder), "user")
+    bloom = ops.bloom_build(users(spark, folder), "user")
     customers = table(spark, folder, "customer").select(
         "c_custkey", F.col("c_custkey").cast("string").alias("user")
     )

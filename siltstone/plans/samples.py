@@ -13,12 +13,14 @@ SEED = 666
 TOPICS = ("the", "tion", "and", "ing")
 
 
+def with_tags(events: DataFrame) -> DataFrame:
+    """``(event_id, tags)``: the event type and the number in its properties."""
+    tags = F.array("event_type", F.get_json_object("props", "$.k"))
+    return events.select("event_id", tags.alias("tags"))
+
+
 def tagged_events(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").select(
-        "event_id",
-        F.array("event_type", F.get_json_object("props", "$.k")).alias("tags"),
-    )
-    return ops.tagged(events, "tags")
+    return ops.tagged(with_tags(table(spark, folder, "events")), "tags")
 
 
 def reservoir_sample(spark: SparkSession, folder: str) -> DataFrame:

@@ -29,6 +29,13 @@ def read_sample(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(sample_path(folder, batch_id))
 
 
+def last_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest version; the ``batch`` number of each version is its folder name."""
+    versions = spark.read.parquet(f"{folder}/seen")
+    newest = versions.agg(F.max("batch")).first()[0]
+    return read_sample(spark, folder, newest)
+
+
 def read_report(spark: SparkSession, folder: str) -> DataFrame:
     """All reports: ``(batch, seen, tag, count)``."""
     return spark.read.schema("seen bigint, tag string, count bigint, batch bigint").json(

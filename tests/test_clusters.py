@@ -195,8 +195,10 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("case", CASES)
-def test_bfr_equals_plain(spark, blocks, case):
+@pytest.mark.parametrize("case,rows", [(case, None) for case in CASES] + [(CASES[1], 8)])
+def test_bfr_equals_plain(spark, monkeypatch, case, rows):
+    if rows is not None:
+        monkeypatch.setattr(nearest, "MODEL_BYTES", rows * 16 * case["d"])
     options = {key: case[key] for key in ("match", "assign_first") if key in case}
     points = blobs(case["n"], case["k"], case["d"], case["seed"], outliers=case["outliers"])
     # Shuffled ids, so that outliers fall into every chunk.
