@@ -58,12 +58,16 @@ def _matches_block(rows: DataFrame, stats: ClusterStats, threshold: float):
     return matches
 
 
+def _means(summary: DataFrame) -> DataFrame:
+    return summary.select(F.col("cluster").cast("bigint").alias("cluster"), "mean")
+
+
 def merge_candidates(summary: DataFrame, threshold: float) -> DataFrame:
     """Pairs of clusters ``(first, second, distance)`` closer than the threshold.
 
     The distance is scaled by the deviation of the first. Only pairs that match become rows.
     """
-    found = matches_within(summary.select("cluster", "mean"), gather(summary), threshold, "mean")
+    found = matches_within(_means(summary), gather(summary), threshold, "mean")
     return (
         found.select(F.col("cluster").alias("second"), F.explode("matches").alias("m"))
         .filter(F.col("m.cluster") < F.col("second"))
@@ -78,7 +82,7 @@ def match_clusters(
 
     The distance is scaled by the deviation of the target.
     """
-    found = matches_within(summary.select("cluster", "mean"), gather(target), threshold, "mean")
+    found = matches_within(_means(summary), gather(target), threshold, "mean")
     if match == "first":
         chosen = F.get("matches", F.lit(0))
     elif match == "nearest":

@@ -9,6 +9,7 @@ from ..operators import clusters as ops
 from ..operators.bfr import BfrResult, bfr
 from ..operators.kmeans import kmeans, kmeans_step, start_stats
 from ..operators.nearest import assign
+from .bfr_sql import bfr_tables, statement
 from .registry import Query, rounded, table
 
 K = 10
@@ -168,6 +169,11 @@ def _cs_to_ds_sql(order: str) -> str:
     """
 
 
+_BFR = bfr_tables(
+    "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings",
+    BFR_K, BFR_ALPHA, DIMENSIONS, BFR_CHUNKS, SEED,
+)
+
 QUERIES = {
     "cluster_moments": Query(
         cluster_moments,
@@ -226,6 +232,6 @@ QUERIES = {
     ),
     "cs_to_ds_first_match": Query(cs_to_ds_first_match, _cs_to_ds_sql("a")),
     "cs_to_ds_nearest": Query(cs_to_ds_nearest, _cs_to_ds_sql("distance, a")),
-    "bfr_rounds": Query(bfr_rounds),
-    "bfr_labels": Query(bfr_labels),
+    "bfr_rounds": Query(bfr_rounds, statement(_BFR, "rounds")),
+    "bfr_labels": Query(bfr_labels, statement(_BFR, "labels")),
 }
