@@ -2,7 +2,8 @@
 
 The sample after micro-batch i is written as version i, from version i - 1 and the batch. A
 repeated batch reads the same version and writes the same one again, so a restart changes
-nothing. A batch is reduced to k rows before it meets the sample.
+nothing. The newest versions share a fixed number of slots, so the folder does not grow with
+the stream. A batch is reduced to k rows before it meets the sample.
 """
 
 from __future__ import annotations
@@ -17,22 +18,26 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..operators.sampling import popular_tags, reservoir, tagged
 
 
+# A version is overwritten when it is this many batches old; only the last one is read.
+KEPT_VERSIONS = 3
+
+
 def sample_path(folder: str, batch_id: int) -> str:
-    return f"{folder}/sample/batch={batch_id}"
+    return f"{folder}/sample/slot={batch_id % KEPT_VERSIONS}"
 
 
 def seen_path(folder: str, batch_id: int) -> str:
-    return f"{folder}/seen/batch={batch_id}"
+    return f"{folder}/seen/slot={batch_id % KEPT_VERSIONS}"
 
 
 def read_sample(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """Version ``batch_id``, one of the newest."""
     return spark.read.parquet(sample_path(folder, batch_id))
 
 
 def last_sample(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest version; the ``batch`` number of each version is its folder name."""
-    versions = spark.read.parquet(f"{folder}/seen")
-    newest = versions.agg(F.max("batch")).first()[0]
+    """The newest finished version; its count is written after its sample."""
+    newest = spark.read.parquet(f"{folder}/seen").agg(F.max("version")).first()[0]
     return read_sample(spark, folder, newest)
 
 
@@ -75,7 +80,10 @@ def fold_batch(
                     F.lit(seen).cast("bigint").alias("seen"), "tag", "count"
                 )
                 report.write.mode("overwrite").json(f"{folder}/report/batch={batch_id}")
-            totals = spark.range(1).select(F.lit(seen).cast("bigint").alias("seen"))
+            totals = spark.range(1).select(
+                F.lit(seen).cast("bigint").alias("seen"),
+                F.lit(batch_id).cast("bigint").alias("version"),
+            )
             totals.write.mode("overwrite").parquet(seen_path(folder, batch_id))
             chosen.unpersist()
         finally:

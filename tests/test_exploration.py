@@ -147,7 +147,5 @@ def test_hot_partition_is_split(spark):
 def test_census_document(spark):
     frame = spark.createDataFrame([(k,) for k in KEYS if k], "k string")
     census = partitions.partition_census(frame, "k", 2, "ascii")
-    document = partitions.census_document(census, ops.frequent_keys(frame, "k", 1), "k").first()[0]
-    assert json.loads(document) == {
-        "n_partitions": 2, "n_items": [1, 5], "result": [{"key": "apple", "count": 2}],
-    }
+    document = partitions.census_document(census).first()[0]
+    assert json.loads(document) == {"n_partitions": 2, "n_items": [1, 5]}

@@ -107,18 +107,18 @@ def test_reservoir_on_a_stream_equals_batch(spark, tmp_path):
     events = tagged_events(spark, FOLDER).withColumn(
         "tags", F.when(F.col("event_id") % 5 == 0, F.array().cast("array<string>")).otherwise(F.col("tags"))
     )
-    for i in range(4):
-        part = events.filter(F.floor(F.col("event_id") / 250) == i)
+    for i in range(5):
+        part = events.filter(F.floor(F.col("event_id") / 200) == i)
         part.coalesce(1).write.json(str(tmp_path / "in" / f"part{i}"))
     source = stream_of(spark, tmp_path / "in", "event_id bigint, tags array<string>")
     folder = str(tmp_path / "state")
     writer = stream_sampling.stream_reservoir(source, "event_id", "tags", folder, 100, 5)
     run(writer.trigger(availableNow=True))
     expected = sampling.reservoir(sampling.tagged(events, "tags"), "event_id", 100, 5)
-    got = stream_sampling.read_sample(spark, folder, 3)
+    got = stream_sampling.last_sample(spark, folder)
     assert {r.event_id for r in got.collect()} == {r.event_id for r in expected.collect()}
     report = stream_sampling.read_report(spark, folder)
-    last = report.filter("batch = 3").collect()
+    last = report.filter("batch = 4").collect()
     assert {r.seen for r in last} == {800}
     assert {(r.tag, r["count"]) for r in last} == {
         tuple(r) for r in sampling.popular_tags(expected, "tags").collect()
