@@ -22,44 +22,53 @@ def read_businesses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_points(lines: DataFrame) -> DataFrame:
-    """``value`` lines ``id,x1,x2,...`` to ``(id, vec)``; unreadable numbers become null."""
-    parts = F.split(F.col("value"), ",")
+    """``value`` lines ``id,x1,x2,...`` to ``(id, vec)``; the other columns stay.
+
+    Lines that are not an id and numbers are dropped. The test is part of the generator, so
+    that a line is parsed once.
+    """
     kept = [c for c in lines.columns if c != "value"]
-    return lines.select(
-        F.trim(parts[0]).try_cast("bigint").alias("id"),
-        F.transform(
-            F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
-            lambda x: F.trim(x).try_cast("double"),
-        ).alias("vec"),
-        *kept,
-    )
+    return lines.select(F.inline(_readable()), *kept)
 
 
 def _readable() -> Column:
-    return (
-        F.col("id").isNotNull()
-        & (F.size("vec") > 0)
-        & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x))
-    )
+    """An array with the parsed line, empty if the line is no point."""
+
+    def point(parts: Column) -> Column:
+        vec = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.struct(
+            parts[0].try_cast("bigint").alias("id"), vec.try_cast("array<double>").alias("vec")
+        )
+
+    def is_point(found: Column) -> Column:
+        numbers = F.size(F.array_compact(found["vec"]))
+        return (
+            found["id"].isNotNull()
+            & (numbers > 0)
+            & (numbers == F.size(found["vec"]))
+            & ~F.array_contains(found["vec"], F.lit(float("nan")))
+        )
+
+    return F.filter(F.transform(F.array(F.split("value", ",")), point), is_point)
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     """``(id, vec, chunk)`` from a directory of CSV files; the chunk is the file name.
 
-    Lines that are not an id and numbers are dropped; :func:`count_bad_points` counts them.
+    Unreadable lines are dropped; :func:`count_bad_points` counts them.
     """
-    return _parsed(spark, path).filter(_readable())
+    return parse_points(_point_lines(spark, path))
 
 
 def count_bad_points(spark: SparkSession, path: str) -> DataFrame:
     """Unreadable lines per file."""
-    bad = _parsed(spark, path).filter(~F.coalesce(_readable(), F.lit(False)))
+    bad = _point_lines(spark, path).filter(F.size(_readable()) == 0)
     return bad.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_bad"))
 
 
-def _parsed(spark: SparkSession, path: str) -> DataFrame:
+def _point_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("chunk"))
-    return parse_points(lines.filter(F.trim("value") != ""))
+    return lines.filter(F.trim("value") != "")
 
 
 def unique_points(points: DataFrame) -> DataFrame:
