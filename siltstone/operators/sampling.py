@@ -59,7 +59,13 @@ def popular_tags(sample: DataFrame, tags: str, top: int = 3) -> DataFrame:
 def topic_filter(
     df: DataFrame, text: str, topics: Sequence[str], lang: str, languages: Sequence[str] = ("en",)
 ) -> DataFrame:
-    """Records in one of ``languages`` whose text contains a topic, without regard to case."""
-    lowered = F.lower(F.col(text))
-    any_topic = reduce(lambda a, b: a | b, [lowered.contains(t.lower()) for t in topics])
-    return df.filter(F.col(lang).isin(list(languages)) & any_topic)
+    """Records in one of ``languages`` whose text contains a topic, without regard to case.
+
+    The text is bound to a lambda variable, so that it is lowered once for all topics.
+    """
+
+    def any_topic(lowered: Column) -> Column:
+        return reduce(lambda a, b: a | b, [lowered.contains(t.lower()) for t in topics])
+
+    found = F.exists(F.array(F.lower(F.col(text))), any_topic)
+    return df.filter(F.col(lang).isin(list(languages)) & found)
