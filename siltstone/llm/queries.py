@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.registry import Query, table
+from . import language, quality, toxicity
 from .exact_dedup import exact_dedup
 from .hash_tree import EIGHT, grown, shards
+from .labelled import fold
+
+TOXIC_FROM = 0.3
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,7 +33,35 @@ def op3_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return shards(table(spark, folder, "documents"), EIGHT, grown(EIGHT, 8))
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    weights = toxicity.fit(docs, labels.where(fold("doc_id", 4) != 2))
+    scored = docs.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        toxicity.score(spark, weights, F.col("text")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    verdict = quality.judge(spark, quality.fit(docs, labels), F.col("text"))
+    return docs.select("doc_id", verdict.alias("verdict")).select("doc_id", "verdict.*")
+
+
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(fold("doc_id", 3) != 1))
+    found = language.identify(spark, model, F.col("text"))
+    held_out = (fold("doc_id", 3) == 1).alias("held_out")
+    return docs.select("doc_id", held_out, found.alias("found")).select("doc_id", "held_out", "found.*")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": Query(op1_exact_dedup, OP1_SQL),
     "op3_hash_tree": Query(op3_hash_tree),
+    "op5_toxicity": Query(op5_toxicity),
+    "op8_quality_rules": Query(op8_quality_rules),
+    "op9_language": Query(op9_language),
 }
