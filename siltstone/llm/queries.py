@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query, table
-from . import language, quality, toxicity
+from . import byte_bpe, chat, language, packing, quality, token_counts, toxicity
 from .exact_dedup import exact_dedup
 from .hash_tree import EIGHT, grown, shards
 from .labelled import fold
@@ -58,10 +58,55 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", held_out, found.alias("found")).select("doc_id", "held_out", "found.*")
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.section_counts(table(spark, folder, "documents"), byte_bpe.load())
+
+
+def op6_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.perspectives(table(spark, folder, "conversations"))
+
+
+OP6_SQL = r"""
+WITH speakers AS (
+    SELECT DISTINCT conv_id, role AS participant FROM conversations WHERE role <> 'system'
+), seen AS (
+    SELECT conv_id, participant, turn, c.role AS speaker, coalesce(text, '') AS text,
+           CASE WHEN c.role = participant THEN 'assistant' WHEN c.role = 'system' THEN 'system' ELSE 'user' END AS role,
+           '<|' || CASE WHEN c.role = participant THEN 'assistant' WHEN c.role = 'system' THEN 'system'
+                        ELSE 'user' || coalesce(' name=' || c.role, '') END || '|>' || chr(10) AS header
+    FROM conversations c JOIN speakers USING (conv_id)
+), placed AS (
+    SELECT *, header || text || '<|end|>' || chr(10) AS segment,
+           row_number() OVER dialogue - 1 AS seq,
+           CAST(sum(length(header || text) + 8) OVER dialogue AS BIGINT) AS char_end
+    FROM seen
+    WINDOW dialogue AS (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speaker NULLS FIRST, text
+                        ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, participant, seq, turn, role, segment, char_end - length(segment) AS char_start, char_end,
+       CASE WHEN role = 'assistant' THEN char_end - length(segment) + length(header) END AS learn_start,
+       CASE WHEN role = 'assistant' THEN char_end END AS learn_end
+FROM placed
+"""
+
+
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    trip = byte_bpe.round_trip(spark, byte_bpe.load(), F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", trip.alias("trip")).select("doc_id", "trip.*")
+
+
+def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.best_fit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": Query(op1_exact_dedup, OP1_SQL),
     "op3_hash_tree": Query(op3_hash_tree),
+    "op4_token_counts": Query(op4_token_counts),
     "op5_toxicity": Query(op5_toxicity),
+    "op6_chat_perspectives": Query(op6_chat_perspectives, OP6_SQL),
+    "op7_byte_bpe": Query(op7_byte_bpe),
     "op8_quality_rules": Query(op8_quality_rules),
     "op9_language": Query(op9_language),
+    "op10_best_fit": Query(op10_best_fit),
 }
