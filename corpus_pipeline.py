@@ -1,23 +1,78 @@
-"""Pipeline over `documents`: filled as its operators are written."""
+"""Pipeline over `documents`: from raw rows to packed sequences.
+
+Each stage gets the rows that its predecessor kept, written and read again, and returns rows with the
+columns of `documents`; the last one returns the packing. Decisions take effect: rejected rows don't
+reach the next stage. Rows travel with their decision wherever that is made row by row, so repeated
+or null identifiers can't mix rows up; the stage of the join goes by identifier.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltstone.llm import packing, quality, toxicity
 from siltstone.llm.exact_dedup import without_copies
+from siltstone.llm.jaccard_join import jaccard_components
+from siltstone.session import written
+
+TOXIC_FROM = 0.3
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that pass the base counts and the classifier, which learns from all labelled documents."""
+    model = quality.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), _labels(spark, sf_dir))
+    return docs.where(quality.judge(spark, model, F.col("text"))["kept"])
+
 
+def no_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a score below the threshold; the classifier learns from all labelled documents."""
+    weights = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), _labels(spark, sf_dir))
+    return docs.where(toxicity.score(spark, weights, F.col("text")) < TOXIC_FROM)
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text, that with the smallest identifier."""
     return without_copies(docs)
 
 
-STAGES = [("exact dedup", drop_copies)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component, that with the smallest identifier.
+
+    A row goes if its identifier is the smallest of no component. Rows with a null identifier stay,
+    unless they are linked to a row that has one.
+    """
+    found = written(jaccard_components(docs), "components")
+    gone = found.where("component_id is not null and (doc_id is null or doc_id <> component_id)").select("doc_id").distinct()
+    heads = found.where("doc_id = component_id").select("doc_id").distinct()
+    gone = gone.join(heads, "doc_id", "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their sequence and place."""
+    return packing.best_fit(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("toxicity", no_toxicity),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("best-fit packing", best_fit_packing),
+]
+
+#: Classifiers, links of similar sets and best-fit packing have no SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the documents."""
+    """Apply the stages to the documents; each result is written before the next stage reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,6 +9,7 @@ from ..plans.registry import Query, table
 from . import byte_bpe, chat, language, packing, quality, token_counts, toxicity
 from .exact_dedup import exact_dedup
 from .hash_tree import EIGHT, grown, shards
+from .jaccard_join import jaccard_components
 from .labelled import fold
 
 TOXIC_FROM = 0.3
@@ -29,6 +30,10 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op3_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return shards(table(spark, folder, "documents"), EIGHT, grown(EIGHT, 8))
 
@@ -101,6 +106,7 @@ def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": Query(op1_exact_dedup, OP1_SQL),
+    "op2_jaccard_join": Query(op2_jaccard_join),
     "op3_hash_tree": Query(op3_hash_tree),
     "op4_token_counts": Query(op4_token_counts),
     "op5_toxicity": Query(op5_toxicity),
