@@ -38,7 +38,7 @@ def allocated(token_ends: np.ndarray, section_ends: np.ndarray, rule: str) -> tu
 
     Tokens and sections cover the same bytes without gaps; sections that are empty get nothing.
     """
-    token_starts = np.concatenate([[0], token_ends[:-1]]).astype(np.int64)
+    token_starts = np.concatenate([[0], token_ends])[:-1].astype(np.int64)
     first = np.searchsorted(section_ends, token_starts, "right")
     last = np.searchsorted(section_ends, token_ends - 1, "right")
     crossing = first != last

@@ -1,0 +1,149 @@
+"""The registered queries and the pipeline."""
+
+import re
+import zlib
+from collections import defaultdict
+
+import pandas as pd
+import pytest
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from compare import spark_rows, sql_connection, sql_rows
+from odd import CLASHING, SPACE, base_counts, linked, odd_docs, odd_rows, rows_of
+from siltstone.llm.queries import QUERIES
+from siltstone.session import written
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return sql_connection(FOLDER)
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return pd.read_parquet(f"{FOLDER}/documents.parquet")
+
+
+def test_all_are_registered():
+    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
+
+
+@pytest.mark.parametrize("name", sorted(name for name, query in QUERIES.items() if query.sql))
+def test_query_equals_sql(spark, connection, name):
+    assert spark_rows(driver.queries()[name](spark, FOLDER)) == sql_rows(connection, driver.oracle_sql()[name])
+
+
+def test_op2_equals_brute_force(spark, documents):
+    found = driver.queries()["op2_jaccard_join"](spark, FOLDER)
+    expected = linked(list(zip(documents.doc_id.tolist(), documents.text)))
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == sorted(expected, key=repr)
+
+
+def test_op3_contract(spark, documents):
+    found = driver.queries()["op3_hash_tree"](spark, FOLDER).toPandas().merge(documents, on="doc_id")
+    assert len(found) == len(documents)
+    assert (found["size"] == [len(t.encode()) + 1 for t in found.text]).all()
+    assert (found.text_crc32 == [zlib.crc32(t.encode()) for t in found.text]).all()
+    assert set(found.law) == {"key"} and set(found.shard) == set(range(8))
+    assert ((found.grown_shard == found.shard) | (found.grown_shard == 8)).all()
+    for _, own in found.groupby("shard"):
+        assert sorted(own.slot) == list(range(len(own)))
+
+
+def clash(spark, rows, labels, tmp_path):
+    """A folder with odd documents and labels."""
+    docs = odd_docs(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    conv = spark.createDataFrame([(1, 1, "user", "a"), (None, None, None, None)], "conv_id long, turn long, role string, text string")
+    conv.write.parquet(f"{tmp_path}/conversations.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_odd_tables(spark, name, tmp_path):
+    rows = odd_rows()
+    folder = clash(spark, rows, [(10, 1, 0), (17, 0, 0), (None, 0, 1), (11, None, None), (9999, 1, 1)], tmp_path)
+    found = driver.queries()[name](spark, folder).collect()
+    if name not in ("op4_token_counts", "op6_chat_perspectives", "op10_best_fit"):
+        assert len(found) == len(rows)
+        assert sorted(repr(r.doc_id) for r in found) == sorted(repr(i) for i, _ in rows)
+    assert found
+
+
+@pytest.mark.parametrize("name", [*sorted(QUERIES), "pipeline"])
+def test_empty_tables(spark, name, tmp_path):
+    folder = clash(spark, [], [], tmp_path)
+    expected = 1 if name == "op6_chat_perspectives" else 0
+    assert len(driver.queries()[name](spark, folder).collect()) == expected
+
+
+# pipeline
+
+
+def test_stages():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "toxicity", "exact dedup", "n-gram Jaccard join", "best-fit packing",
+    ]
+
+
+def test_pipeline_equals_brute_force(spark, documents):
+    """Verdicts of the two classifiers are taken from their queries; everything else is computed again."""
+    labels = pd.read_parquet(f"{FOLDER}/labels.parquet").set_index("doc_id")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    texts = dict(zip(documents.doc_id, documents.text))
+
+    kept = written(corpus_pipeline.quality_rules(spark, docs, FOLDER), "t")
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    fails = lambda n, r: n < 10 or 100 * r > 20 * n
+    counted = {i: base_counts(t) for i, t in texts.items()}
+    assert not any(fails(counted[i][0], counted[i][4]) for i in ids)
+    clean = [i for i in texts if i in labels.index and labels.quality[i] == 1 and not fails(counted[i][0], counted[i][4])]
+    assert sum(i in ids for i in clean) >= 0.99 * len(clean)
+
+    calm = written(corpus_pipeline.no_toxicity(spark, kept, FOLDER), "t")
+    assert calm.columns == docs.columns
+    left = {r.doc_id for r in calm.collect()}
+    assert left < ids
+    marked = [i for i in ids if i in labels.index]
+    assert sum(i in left for i in marked if labels.toxic[i] == 1) <= 0.1 * sum(labels.toxic[i] == 1 for i in marked)
+    assert sum(i in left for i in marked if labels.toxic[i] == 0) >= 0.99 * sum(labels.toxic[i] == 0 for i in marked)
+
+    unlike = written(corpus_pipeline.exact_dedup(spark, calm, FOLDER), "t")
+    groups = defaultdict(list)
+    for i in left:
+        groups[texts[i]].append(i)
+    firsts = {min(own) for own in groups.values()}
+    assert sorted(r.doc_id for r in unlike.collect()) == sorted(firsts)
+    assert unlike.columns == docs.columns and unlike.exceptAll(docs).count() == 0
+
+    apart = written(corpus_pipeline.near_dedup(spark, unlike, FOLDER), "t")
+    heads = {c for _, _, c in linked([(i, texts[i]) for i in sorted(firsts)])}
+    assert sorted(r.doc_id for r in apart.collect()) == sorted(heads)
+    assert apart.columns == docs.columns and apart.exceptAll(docs).count() == 0
+
+    packed = driver.queries()["pipeline"](spark, FOLDER).collect()
+    sizes = defaultdict(int)
+    for r in packed:
+        sizes[r.doc_id] += r.size
+    assert dict(sizes) == {i: len(re.findall(SPACE, texts[i])) + 1 for i in heads}
+
+
+def test_pipeline_with_odd_rows(spark, tmp_path):
+    """Rows with null, repeated or clashing values pass as rows of their own."""
+    rows = [*odd_rows(), *[(200 + i, f"{i} is a row of its own with words number {i} and {i * 7} in all of it") for i in range(40)]]
+    folder = clash(spark, rows, [], tmp_path)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:1] + corpus_pipeline.STAGES[2:-1]:
+        docs = written(stage(spark, docs, folder), "t")
+        assert docs.columns == [c.split()[0] for c in CLASHING.split(", ")]
+    base = [(i, t) for i, t in rows if (n := base_counts(t))[0] >= 10 and 100 * n[4] <= 20 * n[0]]
+    texts = {t for _, t in base}
+    first = {t: min((i for i, u in base if u == t and i is not None), default=None) for t in texts}
+    heads = {c for _, _, c in linked([(i, t) for t, i in first.items()])}
+    assert sorted(repr(r.doc_id) for r in docs.collect()) == sorted(map(repr, heads))
