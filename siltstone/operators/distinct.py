@@ -19,36 +19,81 @@ ZERO_COLUMNS = [f"z{i}" for i in range(len(FM_A))]
 COMBINE = {"fixed": middle_of_fixed_groups, "kmeans": middle_of_kmeans_groups}
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def epoch_seconds(df: DataFrame, ts: str) -> Column:
+    """Whole seconds since 1970 in UTC. A time without zone counts as UTC, whatever the session's."""
+    if dict(df.dtypes)[ts] == "timestamp":
+        return F.unix_seconds(F.col(ts))
+    since = f"(cast(`{ts}` as timestamp_ntz) - {_EPOCH})"
+    parts = f"extract(DAY FROM {since}) * 86400 + extract(HOUR FROM {since}) * 3600 + extract(MINUTE FROM {since}) * 60"
+    return F.expr(f"cast({parts} + floor(extract(SECOND FROM {since})) as bigint)")
+
+
 def window_label(end: Column) -> Column:
-    return F.date_format(end, "yyyy-MM-dd HH:mm:ss")
+    """Text of a second since 1970, in UTC."""
+    return (F.expr(_EPOCH) + F.make_dt_interval(secs=end.cast("decimal(18, 6)"))).cast("string")
 
 
-def _by_pane(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
+def panes(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
+    """``pane`` (its first second) and ``value`` of every row with a time and a value."""
     width = gcd(length, slide)
     text = F.col(value).cast("string")
-    return df.filter(present(text)).select(
-        F.window(ts, f"{width} seconds")["start"].alias("pane"), text.alias("value")
+    second = epoch_seconds(df, ts)
+    return df.filter(present(text) & F.col(ts).isNotNull()).select(
+        (second - F.pmod(second, F.lit(width))).alias("pane"), text.alias("value")
     )
 
 
-def _covering(length: int, slide: int) -> Column:
-    return F.window("pane", f"{length} seconds", f"{slide} seconds")
+def pane_values(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
+    """Distinct ``(pane, value)``."""
+    return panes(df, ts, value, length, slide).distinct()
+
+
+def pane_bits(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
+    """Longest runs ``z0`` to ``z11`` per pane: 12 maxima, no value is shuffled."""
+    hashed = panes(df, ts, value, length, slide).withColumn("x", text_mod("value", FM_P))
+    return hashed.groupBy("pane").agg(*zero_runs("x"))
+
+
+def _window_ends(length: int, slide: int) -> Column:
+    """Ends of the windows that cover a pane; windows start at multiples of ``slide``."""
+    last = F.col("pane") - F.pmod(F.col("pane"), F.lit(slide))
+    starts = F.transform(F.sequence(F.lit(0), F.lit((length - 1) // slide)), lambda k: last - k * slide)
+    covering = F.filter(starts, lambda start: start + length > F.col("pane"))
+    return F.explode(F.transform(covering, lambda start: start + length)).alias("end")
+
+
+def window_times(panes: DataFrame, length: int, slide: int) -> DataFrame:
+    """Labels of the windows that cover some of the panes."""
+    return panes.select(_window_ends(length, slide)).distinct().select(window_label(F.col("end")).alias("time"))
+
 
+def values_by_window(pairs: DataFrame, length: int, slide: int) -> DataFrame:
+    """Distinct ``(end, value)`` from ``(pane, value)``."""
+    return pairs.select(_window_ends(length, slide), "value").distinct()
 
-def window_values(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
-    """Distinct ``(window, value)`` pairs; lengths in seconds."""
-    seen = _by_pane(df, ts, value, length, slide).distinct()
-    return seen.select(_covering(length, slide).alias("window"), "value").distinct()
+
+def counts_by_window(pairs: DataFrame, length: int, slide: int) -> DataFrame:
+    """``time``, ``ground_truth`` and the runs from distinct ``(pane, value)``."""
+    hashed = values_by_window(pairs, length, slide).withColumn("x", text_mod("value", FM_P))
+    counted = hashed.groupBy("end").agg(F.count(F.lit(1)).alias("ground_truth"), *zero_runs("x"))
+    return counted.select(window_label(F.col("end")).alias("time"), "ground_truth", *ZERO_COLUMNS)
+
+
+def bits_by_window(bits: DataFrame, length: int, slide: int) -> DataFrame:
+    """``time`` and the runs from runs per pane."""
+    spread = bits.select(_window_ends(length, slide), *ZERO_COLUMNS)
+    longest = spread.groupBy("end").agg(*[F.max(z).alias(z) for z in ZERO_COLUMNS])
+    return longest.select(window_label(F.col("end")).alias("time"), *ZERO_COLUMNS)
 
 
 def window_distinct(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
-    """Exact distinct count per window: ``time`` (window end) and ``ground_truth``."""
-    return (
-        window_values(df, ts, value, length, slide)
-        .groupBy("window")
-        .agg(F.count(F.lit(1)).alias("ground_truth"))
-        .select(window_label(F.col("window.end")).alias("time"), "ground_truth")
-    )
+    """Exact distinct count per window: ``time`` (window end, UTC) and ``ground_truth``."""
+    pairs = values_by_window(pane_values(df, ts, value, length, slide), length, slide)
+    counted = pairs.groupBy("end").agg(F.count(F.lit(1)).alias("ground_truth"))
+    return counted.select(window_label(F.col("end")).alias("time"), "ground_truth")
 
 
 def zero_runs(value: str) -> list[Column]:
@@ -59,16 +104,7 @@ def zero_runs(value: str) -> list[Column]:
 
 def fm_window_bits(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
     """Longest runs ``z0`` to ``z11`` per window. No value is shuffled, only 12 maxima."""
-    hashed = _by_pane(df, ts, value, length, slide).withColumn(
-        "x", text_mod("value", FM_P)
-    )
-    panes = hashed.groupBy("pane").agg(*zero_runs("x"))
-    return (
-        panes.select(_covering(length, slide).alias("window"), *ZERO_COLUMNS)
-        .groupBy("window")
-        .agg(*[F.max(z).alias(z) for z in ZERO_COLUMNS])
-        .select(window_label(F.col("window.end")).alias("time"), *ZERO_COLUMNS)
-    )
+    return bits_by_window(pane_bits(df, ts, value, length, slide), length, slide)
 
 
 def with_estimate(df: DataFrame, combine: str = "kmeans") -> DataFrame:
@@ -95,15 +131,8 @@ def fm_windows(
 ) -> DataFrame:
     """``time``, ``ground_truth`` and ``estimation`` per window.
 
-    The exact count needs the distinct pairs anyway, so only those are hashed.
+    Rows without a time or a value count nowhere. The exact count needs the distinct pairs anyway,
+    so only those are hashed.
     """
-    pairs = window_values(df, ts, value, length, slide).withColumn(
-        "x", text_mod("value", FM_P)
-    )
-    counted = pairs.groupBy("window").agg(
-        F.count(F.lit(1)).alias("ground_truth"), *zero_runs("x")
-    )
-    named = counted.select(
-        window_label(F.col("window.end")).alias("time"), "ground_truth", *ZERO_COLUMNS
-    )
-    return with_estimate(named, combine)
+    pairs = pane_values(df, ts, value, length, slide)
+    return with_estimate(counts_by_window(pairs, length, slide), combine)

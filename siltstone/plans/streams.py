@@ -13,14 +13,20 @@ from . import membership as filters
 from . import samples, windows
 from .registry import Query, table
 
-WATERMARK = "1 hour"
-WATERMARK_SECONDS = 3600
-
+# Files in a micro-batch, so that a large table isn't one.
+FILES_PER_BATCH = 1_000
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table as a stream of its files."""
+    """A table as a stream of its files.
+
+    A stream takes no path of a single file, but a pattern; this one matches the one name only.
+    """
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet*")
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", FILES_PER_BATCH)
+        .parquet(f"{folder}/{name}.parque[t]")
+    )
 
 
 def _finish(writer: DataStreamWriter) -> None:
@@ -40,18 +46,22 @@ def _written_rows(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")
 
 
-def _windows(spark: SparkSession, folder: str, make) -> DataFrame:
+def _windows(spark: SparkSession, folder: str, exact: bool) -> DataFrame:
+    state = new_folder(spark, "stream-windows")
     events = _stream(spark, folder, "events")
-    rows = make(events, "ts", "user_id", windows.LENGTH, windows.SLIDE, WATERMARK, "kmeans")
-    return _written_rows(rows, "stream-windows")
+    writer = distinct.stream_windows(
+        events, "ts", "user_id", windows.LENGTH, windows.SLIDE, state, f"{state}/checkpoint", exact
+    )
+    _finish(writer)
+    return distinct.window_rows(spark, state, windows.LENGTH, windows.SLIDE, exact)
 
 
 def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return _windows(spark, folder, distinct.stream_fm_windows)
+    return _windows(spark, folder, True)
 
 
 def stream_estimates(spark: SparkSession, folder: str) -> DataFrame:
-    return _windows(spark, folder, distinct.stream_fm_estimates)
+    return _windows(spark, folder, False)
 
 
 def stream_predictions(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +74,17 @@ def stream_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _written_rows(found.select("c_custkey", "prediction"), "stream-predictions")
 
 
+def stream_predictions_large(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream against a filter of 1.25 MB."""
+    path, size = new_folder(spark, "stream-filter"), (filters.LARGE_BUCKETS, filters.LARGE_HASHES)
+    membership.save_bloom(filters.users(spark, folder), "user", path, *size)
+    customers = _stream(spark, folder, "customer").select(
+        "c_custkey", F.col("c_custkey").cast("string").alias("user")
+    )
+    found = membership.stream_predictions(customers, "user", path, *size)
+    return _written_rows(found.select("c_custkey", "prediction"), "stream-predictions")
+
+
 def _sample(spark: SparkSession, folder: str) -> DataFrame:
     events = tagged(samples.with_tags(_stream(spark, folder, "events")), "tags")
     state = new_folder(spark, "stream-sample")
@@ -81,20 +102,13 @@ def stream_popular_tags(spark: SparkSession, folder: str) -> DataFrame:
     return popular_tags(_sample(spark, folder), "tags")
 
 
-# Windows that the watermark has passed when the stream ends.
-_CLOSED = f"""
-  WHERE CAST(time AS TIMESTAMP) <= (
-    SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '{WATERMARK_SECONDS} seconds' FROM events)
-"""
-
 QUERIES = {
-    "stream_windows": Query(
-        stream_windows, f"SELECT * FROM ({windows.QUERIES['fm_window_kmeans'].sql}) {_CLOSED}"
-    ),
-    "stream_estimates": Query(
-        stream_estimates, f"SELECT * FROM ({windows.QUERIES['fm_window_estimate'].sql}) {_CLOSED}"
-    ),
+    "stream_windows": Query(stream_windows, windows.QUERIES["fm_window_kmeans"].sql),
+    "stream_estimates": Query(stream_estimates, windows.QUERIES["fm_window_estimate"].sql),
     "stream_predictions": Query(stream_predictions, filters.QUERIES["bloom_probe"].sql),
+    "stream_predictions_large": Query(
+        stream_predictions_large, filters.QUERIES["bloom_probe_large"].sql
+    ),
     "stream_sample": Query(
         stream_sample, f"SELECT event_id FROM ({samples.QUERIES['reservoir_sample'].sql})"
     ),

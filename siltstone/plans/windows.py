@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.estimators import COMPARED_DECIMALS, MAX_ROUNDS, START_POSITIONS
-from ..functions.hashing import FM_A, FM_B, FM_P, ZERO_HASH_DIGITS
 from ..operators import distinct as ops
 from .membership import mod_sql
 from .registry import Query, table
 
+# What the SQL below is written with; the package has its own copy of these values.
+FM_P, ZERO_HASH_DIGITS = 233333333, 20
+FM_A = (
+    92293349, 106073835, 23011172, 213736157, 30805497, 212504684,
+    11264739, 184667389, 19324851, 119400483, 7477916, 141366358,
+)
+FM_B = (
+    110622591, 204219772, 36495850, 105613687, 37311918, 183739243,
+    196215011, 181999220, 114959837, 91463773, 155009252, 220187013,
+)
+START_POSITIONS, MAX_ROUNDS, COMPARED_DECIMALS = (7, 6, 10), 5, 1
 LENGTH = 30 * 3600
 SLIDE = 10 * 3600
 _ARGS = ("ts", "user_id", LENGTH, SLIDE)

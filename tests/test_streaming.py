@@ -37,53 +37,83 @@ def stream_of(spark, path, schema):
     return readers.stream_json(spark, f"{path}/*", schema, maxFilesPerTrigger="1")
 
 
-@pytest.mark.parametrize("exact", [True, False])
-def test_windows_equal_batch(spark, tmp_path, exact):
-    events, schema = events_dir(spark, tmp_path / "in")
-    source = stream_of(spark, tmp_path / "in", schema)
-    make = stream_distinct.stream_fm_windows if exact else stream_distinct.stream_fm_estimates
-    rows = make(source, "ts", "user_id", 30 * HOUR, 10 * HOUR, "1 hour", "fixed")
-    out = str(tmp_path / "out")
-    run(stream_distinct.append_csv(rows, out, str(tmp_path / "cp"), None))
-    columns = "time string, ground_truth bigint, estimation bigint" if exact else (
-        "time string, estimation bigint"
-    )
-    got = {tuple(r) for r in spark.read.schema(columns).csv(out, header=True).collect()}
-    batch = distinct.fm_windows(events, "ts", "user_id", 30 * HOUR, 10 * HOUR, "fixed")
-    expected = {tuple(r) for r in batch.select(*rows.columns).collect()}
-    assert got <= expected
-    # Only the windows that end after the last event minus the watermark are still open.
-    assert len(expected) - len(got) <= 4
-    assert len(got) > 60
-
+def put(spark, path, rows):
+    spark.createDataFrame(rows, "ts string, city string").coalesce(1).write.json(str(path))
 
-def test_late_rows_are_dropped(spark, tmp_path):
-    schema = "ts timestamp, city string"
 
-    def put(name, rows):
-        frame = spark.createDataFrame(rows, "ts string, city string")
-        frame.coalesce(1).write.json(str(tmp_path / "in" / name))
-
-    put("a", [("2024-01-01 00:00:01", "x"), ("2024-01-01 00:05:00", "y")])
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("exact", [True, False])
+def test_windows_equal_batch(spark, tmp_path, exact, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        events, schema = events_dir(spark, tmp_path / "in")
+        source = stream_of(spark, tmp_path / "in", schema)
+        state, csv = str(tmp_path / "state"), str(tmp_path / "csv")
+        args = ("ts", "user_id", 30 * HOUR, 10 * HOUR)
+        run(stream_distinct.stream_windows(source, *args, state, str(tmp_path / "cp"), exact, "fixed", csv, None))
+        got = stream_distinct.window_rows(spark, state, 30 * HOUR, 10 * HOUR, exact, "fixed")
+        batch = distinct.fm_windows(events, *args, "fixed").select(*got.columns)
+        expected = sorted(map(tuple, batch.collect()))
+        assert sorted(map(tuple, got.collect())) == expected
+        assert sorted(map(tuple, stream_distinct.read_csv(spark, csv, exact).select(*got.columns).collect())) == expected
+        assert len(expected) > 60
+        # A time without zone has the same windows.
+        plain = spark.read.parquet(f"{FOLDER}/events.parquet")
+        assert sorted(map(tuple, distinct.fm_windows(plain, *args, "fixed").select(*got.columns).collect())) == (
+            expected if zone == "UTC" else sorted(map(tuple, utc_windows(spark, plain, args, got.columns)))
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def utc_windows(spark, plain, args, columns):
+    """Windows of the same wall times, labelled in UTC."""
+    as_utc = plain.withColumn("ts", F.to_utc_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp"), "UTC"))
+    return distinct.fm_windows(as_utc, *args, "fixed").select(*columns).collect()
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source, state, checkpoint = str(tmp_path / "in" / "*"), str(tmp_path / "state"), str(tmp_path / "cp")
+    csv = str(tmp_path / "csv")
 
     def once():
-        source = readers.stream_json(spark, str(tmp_path / "in" / "*"), schema)
-        rows = stream_distinct.stream_fm_windows(source, "ts", "city", 30, 10, "60 seconds")
-        run(stream_distinct.append_csv(rows, out, checkpoint, None))
-
-    once()
-    # The first is behind the watermark (00:04:00), the second is not; the third closes all.
-    put("b", [
-        ("2024-01-01 00:00:02", "late"),
-        ("2024-01-01 00:04:55", "in time"),
-        ("2024-01-01 01:00:00", "z"),
-    ])
-    once()
-    rows = spark.read.csv(out, header=True).collect()
-    counts = {r["time"]: int(r["ground_truth"]) for r in rows}
-    assert counts["2024-01-01 00:00:10"] == 1
-    assert counts["2024-01-01 00:05:10"] == 2
+        stream = readers.stream_json(spark, source, "ts timestamp, city string")
+        run(stream_distinct.stream_windows(stream, "ts", "city", 30, 10, state, checkpoint, True, "fixed", csv, None))
+
+    batches = [
+        [("2024-01-01 00:00:01", "x"), ("2024-01-01 00:05:00", "y")],
+        [("2024-01-01 01:00:00", "z"), (None, "no time"), ("2024-01-01 01:00:00", "")],
+        [("2024-01-01 00:00:02", "an hour late"), ("2024-01-01 00:00:03", "x")],
+    ]
+    for name, rows in zip("abc", batches):
+        put(spark, tmp_path / "in" / name, rows)
+        once()
+    everything = spark.createDataFrame(sum(batches, []), "ts string, city string").withColumn("ts", F.col("ts").cast("timestamp"))
+    expected = sorted(map(tuple, distinct.fm_windows(everything, "ts", "city", 30, 10, "fixed").collect()))
+    got = stream_distinct.window_rows(spark, state, 30, 10, True, "fixed")
+    assert sorted(map(tuple, got.collect())) == expected
+    assert sorted(map(tuple, stream_distinct.read_csv(spark, csv).collect())) == expected
+    assert dict((t, n) for t, n, _ in expected)["2024-01-01 00:00:10"] == 2
+
+
+def test_repeated_window_batch_changes_nothing(spark, tmp_path):
+    fold = stream_distinct.fold_panes(str(tmp_path), "ts", "city", 30, 10, True, "fixed")
+    frame = spark.createDataFrame([("2024-01-01 00:00:01", "x")], "ts string, city string")
+    for number in (0, 1, 1):
+        fold(frame, number)
+    assert [tuple(r)[1] for r in stream_distinct.window_rows(spark, str(tmp_path), 30, 10).collect()] == [1, 1, 1]
+
+
+def test_windows_by_arrival(spark, tmp_path):
+    for name in "ab":
+        put(spark, tmp_path / "in" / name, [("1999-01-01 00:00:00", name), ("1999-01-01 00:00:00", "both")])
+    stream = readers.stream_json(spark, str(tmp_path / "in" / "*"), "ts timestamp, city string", maxFilesPerTrigger="1")
+    state = str(tmp_path / "state")
+    year = 366 * 24 * HOUR
+    run(stream_distinct.stream_windows(stream, None, "city", year, year, state, str(tmp_path / "cp"), interval=None))
+    rows = stream_distinct.window_rows(spark, state, year, year).collect()
+    assert max(r.ground_truth for r in rows) == 3 and all(r.time > "2020" for r in rows)
 
 
 def test_bloom_on_a_stream(spark, tmp_path):
