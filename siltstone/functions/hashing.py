@@ -6,14 +6,13 @@ bytes are folded block by block with every intermediate product inside a bigint.
 
 from __future__ import annotations
 
+from itertools import chain, count, islice
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Membership hash family ((a * x + b) mod p) mod buckets.
-BLOOM_A = (
-    83, 96, 44, 82, 25, 5, 101, 114, 87, 77, 4, 24, 48, 3, 100, 31, 35, 85,
-    76, 28, 37, 65, 94, 67, 10, 107, 22, 32, 57, 109, 81, 111, 59, 11, 6, 19,
-)
+BLOOM_A = (83, 96, 44, 82, 25, 5, 101)
 BLOOM_B = 83
 BLOOM_P = 233333333333
 BLOOM_BUCKETS = 5000
@@ -33,31 +32,37 @@ FM_B = (
 ZERO_HASH_DIGITS = 20
 
 
-# The last blocks of a text are folded by one generated expression, those before by a loop.
+# Texts of up to this many blocks are folded by one generated expression, longer ones as an array.
 UNROLLED_BLOCKS = 4
 
 
 def text_mod(column: str, p: int) -> Column:
     """Remainder modulo ``p`` of the UTF-8 bytes of a text column read as one integer.
 
-    Null for null and for empty text. Keep the result in a column of its own when several
-    hash functions use it, so that it is computed once.
+    Null for null and for empty text; the work grows with the length of the text. Keep the result in
+    a column of its own when several hash functions use it, so that it is computed once.
     """
     block_bytes = (62 - p.bit_length()) // 8
     digits = 2 * block_bytes
     encoded = f"hex(nullif(`{column}`, ''))"
-    looped = f"greatest(cast(ceil(length({encoded}) / {digits}) as int) - {UNROLLED_BLOCKS}, 0)"
-    padded = f"lpad({encoded}, ({looped} + {UNROLLED_BLOCKS}) * {digits}, '0')"
 
     def absorb(acc: str, block: str) -> str:
-        piece = f"substring({padded}, ({block} - 1) * {digits} + 1, {digits})"
-        return f"(({acc}) * {256**block_bytes}L + cast(conv({piece}, 16, 10) as bigint)) % {p}L"
+        return f"(({acc}) * {256**block_bytes}L + cast(conv({block}, 16, 10) as bigint)) % {p}L"
+
+    short = f"lpad({encoded}, {UNROLLED_BLOCKS * digits}, '0')"
+    folded = "0L"
+    for block in range(UNROLLED_BLOCKS):
+        folded = absorb(folded, f"substring({short}, {block * digits + 1}, {digits})")
+    whole = f"lpad({encoded}, cast(ceil(length({encoded}) / {digits}) as int) * {digits}, '0')"
+    blocks = f"regexp_extract_all({whole}, '.{{{digits}}}', 0)"
+    long = f"aggregate({blocks}, 0L, (acc, block) -> {absorb('acc', 'block')})"
+    return F.expr(f"CASE WHEN octet_length(`{column}`) <= {UNROLLED_BLOCKS * block_bytes} THEN {folded} ELSE {long} END")
+
 
-    loop = f"aggregate(sequence(1, {looped}), 0L, (acc, block) -> {absorb('acc', 'block')})"
-    folded = f"CASE WHEN {looped} > 0 THEN {loop} ELSE 0L END"
-    for block in range(1, UNROLLED_BLOCKS + 1):
-        folded = absorb(folded, f"({looped} + {block})")
-    return F.expr(folded)
+def bloom_coefficients(hashes: int) -> list[int]:
+    """The fixed coefficients; further ones are the next integers that aren't among them."""
+    more = (a for a in count(2) if a not in BLOOM_A)
+    return list(islice(chain(BLOOM_A, more), hashes))
 
 
 def bloom_positions_of(
@@ -65,13 +70,13 @@ def bloom_positions_of(
 ) -> list[str]:
     """The ``hashes`` bit positions below ``buckets`` as SQL, for a ``text_mod(..., BLOOM_P)``
     column."""
-    if not 1 <= hashes <= len(BLOOM_A):
-        raise ValueError(f"hashes must lie between 1 and {len(BLOOM_A)}")
+    if hashes < 1:
+        raise ValueError("there is at least one hash")
     if not 1 <= buckets <= BLOOM_P:
         raise ValueError(f"buckets must lie between 1 and {BLOOM_P}")
     return [
         f"((({remainder} * {a}L + {BLOOM_B}L) % {BLOOM_P}L) % {buckets}L)"
-        for a in BLOOM_A[:hashes]
+        for a in bloom_coefficients(hashes)
     ]
 
 

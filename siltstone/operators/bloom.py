@@ -19,8 +19,8 @@ from ..functions.hashing import (
 from ..functions.text import present
 
 WORD_BITS = 64
-# Filters up to this many words (1 MiB) are looked up as one array value; larger ones by join.
-ARRAY_WORDS = 131_072
+# Keys over which rows without a value are spread.
+_MISSING = 4096
 
 
 def word_count(buckets: int) -> int:
@@ -77,56 +77,19 @@ def bloom_probe(
 ) -> DataFrame:
     """Add ``prediction``: 1 if all positions of the value are set, else 0.
 
-    Null and empty values get 0. Works on a streaming ``df`` while the filter fits one value;
-    write the filter to a table first, it is read again in every micro-batch.
+    Null and empty values get 0. Works on batch and streaming frames and on filters of any size, in
+    one way: each position looks up its word in a join of its own, which Spark does by broadcast if
+    the filter is small. No row is copied, and nothing is aggregated, so a stream needs no state.
+    Write the filter to a table before it meets a stream.
     """
-    if word_count(buckets) <= ARRAY_WORDS:
-        return _probe_array(df, col, bloom, buckets, hashes)
-    return _probe_join(df, col, bloom, buckets, hashes)
-
-
-def _probe_array(
-    df: DataFrame, col: str, bloom: DataFrame, buckets: int, hashes: int
-) -> DataFrame:
-    words = bloom.agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda e: e["bits"]
-        ).alias("words")
-    ).scalar()
-    probed = df.withColumns({"_words": words, "_x": text_mod(col, BLOOM_P)})
-    tests = " AND ".join(
-        f"bit_get(get(_words, cast({at} div {WORD_BITS} as int)), cast({at} % {WORD_BITS} as int)) = 1"
-        for at in bloom_positions_of("_x", buckets, hashes)
-    )
-    hit = F.expr(f"CASE WHEN _x IS NOT NULL AND {tests} THEN 1 ELSE 0 END")
-    return probed.withColumn("prediction", hit).drop("_words", "_x")
-
-
-def _probe_join(
-    df: DataFrame, col: str, bloom: DataFrame, buckets: int, hashes: int
-) -> DataFrame:
-    """Filter and values both shuffled. Each distinct value is tested once.
-
-    A hot value is salted on the way back, so its records spread over the tasks.
-    """
-    salts = max(2, df.sparkSession.sparkContext.defaultParallelism)
-    values = df.select(F.col(col).alias("_value")).filter(present(F.col("_value"))).distinct()
-    tests = (
-        _with_positions(values, "_value", buckets, hashes)
-        .withColumn("_at", F.explode("_at"))
-        .withColumn("word", F.expr(f"_at div {WORD_BITS}"))
-    )
-    hits = (
-        tests.join(bloom, "word")
-        .groupBy("_value")
-        .agg(F.min(F.expr(f"bit_get(bits, cast(_at % {WORD_BITS} as int))")).alias("_all"))
-        .filter(F.col("_all") == 1)
-        .select("_value", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-        .withColumn("_hit", F.lit(1))
-    )
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    same = (salted[col] == hits["_value"]) & (salted["_salt"] == hits["_salt"])
-    columns = [salted[c] for c in df.columns]
-    return salted.join(hits, same, "left").select(
-        *columns, F.coalesce(hits["_hit"], F.lit(0)).alias("prediction")
-    )
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(_MISSING)).cast("bigint")
+    probed = df.withColumn("_x", text_mod(col, BLOOM_P))
+    tests = []
+    for i, at in enumerate(bloom_positions_of("_x", buckets, hashes)):
+        # Rows without a value find nothing, spread over keys that no filter has.
+        word = F.coalesce(F.expr(f"{at} div {WORD_BITS}"), -1 - salt)
+        words = bloom.select(F.col("word").alias(f"_word{i}"), F.col("bits").alias(f"_bits{i}"))
+        probed = probed.withColumn(f"_at{i}", word).join(words, F.col(f"_at{i}") == F.col(f"_word{i}"), "left")
+        tests.append(f"bit_get(_bits{i}, cast({at} % {WORD_BITS} as int)) = 1")
+    hit = F.expr(f"CASE WHEN {' AND '.join(tests)} THEN 1 ELSE 0 END")
+    return probed.select(*df.columns, hit.alias("prediction"))

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import BLOOM_A, BLOOM_B, BLOOM_BUCKETS, BLOOM_HASHES, BLOOM_P
+from ..functions.hashing import BLOOM_P, text_mod
 from ..operators import bloom as ops
 from .registry import Query, table
 
 
+LARGE_BUCKETS = 10_000_019
+LARGE_HASHES = 7
+
+
 def users(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(F.col("user_id").cast("string").alias("user"))
 
@@ -26,38 +30,56 @@ def bloom_probe(spark: SparkSession, folder: str) -> DataFrame:
     return ops.bloom_probe(customers, "user", bloom).select("c_custkey", "prediction")
 
 
+def bloom_probe_large(spark: SparkSession, folder: str) -> DataFrame:
+    """A filter of 1.25 MB, which is probed like a small one."""
+    bloom = ops.bloom_build(users(spark, folder), "user", LARGE_BUCKETS, LARGE_HASHES)
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", F.col("c_custkey").cast("string").alias("user")
+    )
+    found = ops.bloom_probe(customers, "user", bloom, LARGE_BUCKETS, LARGE_HASHES)
+    return found.select("c_custkey", "prediction")
+
+
+def document_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """Remainder of every whole text."""
+    return table(spark, folder, "documents").select("doc_id", text_mod("text", BLOOM_P).alias("remainder"))
+
+
 def mod_sql(text: str, p: int) -> str:
     """The bytes of ``text`` as one integer modulo ``p``, folded byte by byte."""
-    code = f"('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT"
     return f"""list_reduce(
       list_prepend(0::BIGINT,
-        list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {code})),
+        list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)),
       lambda acc, byte: (acc * 256 + byte) % {p})"""
 
 
-_A = ", ".join(str(a) for a in BLOOM_A[:BLOOM_HASHES])
+def _signature_sql(text: str, buckets: int = 5000) -> str:
+    return f"""list_transform([83, 96, 44, 82, 25, 5, 101]::BIGINT[],
+      lambda a: ((a * ({mod_sql(text, 233333333333)}) + 83) % 233333333333) % {buckets})"""
+
 
+def _seen_sql(buckets: int = 5000) -> str:
+    return f"""
+      SELECT DISTINCT unnest(signature) AS position FROM (
+        SELECT {_signature_sql('u', buckets)} AS signature
+        FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS u FROM events)
+      )
+    """
 
-def _signature_sql(text: str) -> str:
-    return f"""list_transform([{_A}]::BIGINT[],
-      lambda a: ((a * ({mod_sql(text, BLOOM_P)}) + {BLOOM_B}) % {BLOOM_P}) % {BLOOM_BUCKETS})"""
 
+def _probe_sql(buckets: int = 5000) -> str:
+    return f"""
+      WITH seen AS ({_seen_sql(buckets)}), bits AS (SELECT list(position) AS bits FROM seen)
+      SELECT c_custkey, CAST(list_has_all(bits, {_signature_sql('u', buckets)}) AS INTEGER) AS prediction
+      FROM (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS u FROM customer), bits
+    """
 
-_SEEN_SQL = f"""
-  SELECT DISTINCT unnest(signature) AS position FROM (
-    SELECT {_signature_sql('u')} AS signature
-    FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS u FROM events)
-  )
-"""
 
 QUERIES = {
-    "bloom_build": Query(bloom_build, _SEEN_SQL),
-    "bloom_probe": Query(
-        bloom_probe,
-        f"""
-        WITH seen AS ({_SEEN_SQL}), bits AS (SELECT list(position) AS bits FROM seen)
-        SELECT c_custkey, CAST(list_has_all(bits, {_signature_sql('u')}) AS INTEGER) AS prediction
-        FROM (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS u FROM customer), bits
-        """,
+    "bloom_build": Query(bloom_build, _seen_sql()),
+    "bloom_probe": Query(bloom_probe, _probe_sql()),
+    "bloom_probe_large": Query(bloom_probe_large, _probe_sql(10_000_019)),
+    "document_hashes": Query(
+        document_hashes, f"SELECT doc_id, {mod_sql('text', 233333333333)} AS remainder FROM documents"
     ),
 }

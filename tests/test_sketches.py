@@ -15,7 +15,9 @@ def frame_of(spark, values):
 
 def signature(value, buckets=5000, hashes=7):
     x = int.from_bytes(value.encode(), "big")
-    return {((a * x + 83) % 233333333333) % buckets for a in hashing.BLOOM_A[:hashes]}
+    fixed = [83, 96, 44, 82, 25, 5, 101]
+    more = [a for a in range(2, 60) if a not in fixed]
+    return {((a * x + 83) % 233333333333) % buckets for a in (fixed + more)[:hashes]}
 
 
 def plain_predictions(seen, probed, buckets=5000, hashes=7):
@@ -27,11 +29,19 @@ SEEN = [f"city {i}" for i in range(60)] + ["Zürich", "東京", "", None]
 PROBED = [f"city {i}" for i in range(0, 300)] + ["Zürich", "東京", "Paris", "", None]
 
 
-@pytest.mark.parametrize("buckets,hashes", [(5000, 7), (200, 3), (64, 1), (100_000, 36)])
+@pytest.fixture
+def joins(spark):
+    """Shuffled joins instead of broadcasts, as for filters beyond the session's threshold."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    yield lambda shuffled: spark.conf.set(name, "-1" if shuffled else before)
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("buckets,hashes", [(5000, 7), (200, 3), (64, 1), (100_000, 12)])
 @pytest.mark.parametrize("by_join", [False, True])
-def test_bloom(spark, monkeypatch, buckets, hashes, by_join):
-    if by_join:
-        monkeypatch.setattr(bloom, "ARRAY_WORDS", 0)
+def test_bloom(spark, joins, buckets, hashes, by_join):
+    joins(by_join)
     built = bloom.bloom_build(frame_of(spark, SEEN), "v", buckets, hashes)
     bits = set().union(*[signature(v, buckets, hashes) for v in SEEN if v])
     assert {r.position for r in bloom.bloom_positions(built).collect()} == bits
@@ -49,11 +59,11 @@ def test_bloom_of_nothing(spark):
     assert [r.prediction for r in got.collect()] == [0]
 
 
-def test_bloom_probe_by_join_keeps_repeated_records(spark, monkeypatch):
-    monkeypatch.setattr(bloom, "ARRAY_WORDS", 0)
+def test_bloom_probe_by_join_keeps_repeated_records(spark, joins):
+    joins(True)
     built = bloom.bloom_build(frame_of(spark, ["hot"]), "v")
-    got = bloom.bloom_probe(frame_of(spark, ["hot"] * 500 + ["cold"] * 100), "v", built)
-    assert Counter((r.v, r.prediction) for r in got.collect()) == {("hot", 1): 500, ("cold", 0): 100}
+    got = bloom.bloom_probe(frame_of(spark, ["hot"] * 500 + ["cold"] * 100 + [None] * 50), "v", built)
+    assert Counter((r.v, r.prediction) for r in got.collect()) == {("hot", 1): 500, ("cold", 0): 100, (None, 0): 50}
 
 
 BASE = datetime(2024, 1, 1)
