@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,15 +14,9 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), " ")
 
 
-def has_word(token: Column) -> Column:
-    """True if something is left of ``token`` without its punctuation."""
-    return token.rlike("[^" + re.escape(PUNCTUATION) + "]")
-
-
 def strip_punctuation(token: Column) -> Column:
-    """``token`` without punctuation; most tokens have none and pass unchanged."""
-    some = token.rlike("[" + re.escape(PUNCTUATION) + "]")
-    return F.when(some, F.translate(token, PUNCTUATION, "")).otherwise(token)
+    """``token`` without punctuation; empty if nothing else is in it."""
+    return F.translate(token, PUNCTUATION, "")
 
 
 def comma_list(text: Column) -> Column:

@@ -7,18 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (
-    comma_list,
-    has_word,
-    in_year,
-    present,
-    strip_punctuation,
-    tokens,
-)
-from ..session import fits_broadcast
-
-# A longer Python list of stop words is joined as a table instead of sitting in the plan.
-INLINE_STOP_WORDS = 10_000
+from ..functions.text import comma_list, in_year, present, strip_punctuation, tokens
 
 
 def review_summary(df: DataFrame, review: str, user: str, date: str, year: int) -> DataFrame:
@@ -46,29 +35,20 @@ def frequent_keys(df: DataFrame, key: str, n: int) -> DataFrame:
     return key_counts(df, key).filter(F.col("count") > n)
 
 
-def word_counts(df: DataFrame, text: str, stop_words: Sequence[str] | DataFrame) -> DataFrame:
-    """Rows per word. A stop word is compared before punctuation is removed."""
-    raw = df.select(F.explode(tokens(F.col(text))).alias("token")).filter(
-        has_word(F.col("token"))
-    )
-    if not isinstance(stop_words, DataFrame) and len(stop_words) > INLINE_STOP_WORDS:
-        rows = [(word,) for word in stop_words]
-        stop_words = df.sparkSession.createDataFrame(rows, "word string")
+def word_counts(df: DataFrame, text: str, stop_words: Sequence[str | None] | DataFrame) -> DataFrame:
+    """Rows per word. A stop word is compared before punctuation is removed.
 
+    Tokens are counted first, so a hot word meets the stop words as one row, whatever their number.
+    Null stop words stand for nothing.
+    """
     if not isinstance(stop_words, DataFrame):
-        kept = raw.filter(~F.col("token").isin(list(stop_words))) if stop_words else raw
-        kept = kept.withColumn("count", F.lit(1).cast("bigint"))
-    else:
-        stop = stop_words.select(F.col(stop_words.columns[0]).alias("token"))
-        if fits_broadcast(stop):
-            kept = raw.join(F.broadcast(stop), "token", "left_anti")
-            kept = kept.withColumn("count", F.lit(1).cast("bigint"))
-        else:
-            # Counted first, so that the shuffled join sees each token once.
-            kept = key_counts(raw, "token").join(stop, "token", "left_anti")
-
+        stop_words = df.sparkSession.createDataFrame([(word,) for word in stop_words], "word string")
+    stop = stop_words.select(F.col(stop_words.columns[0]).alias("token")).filter(F.col("token").isNotNull())
+    counted = key_counts(df.select(F.explode(tokens(F.col(text))).alias("token")), "token")
     return (
-        kept.select(strip_punctuation(F.col("token")).alias("word"), "count")
+        counted.join(stop, "token", "left_anti")
+        .select(strip_punctuation(F.col("token")).alias("word"), "count")
+        .filter(F.col("word") != "")
         .groupBy("word")
         .agg(F.sum("count").alias("count"))
     )

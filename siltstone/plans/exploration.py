@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import exploration as ops
 from ..operators import partitions
-from .registry import Query, rounded, spread_columns, table
+from .registry import Query, rounded, table
 
 YEAR = 1997
 TOP_USERS = 10
@@ -32,7 +32,7 @@ def top_users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_columns(spark, folder, "documents", "text")
+    return table(spark, folder, "documents").select("text")
 
 
 def top_words(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
-
 
 @dataclass(frozen=True)
 class Query:
@@ -21,11 +19,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_columns(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table for work that is heavy per row."""
-    return spread(table(spark, folder, name).select(*columns))
-
-
 def rounded(column: str | Column) -> Column:
     """Floating results are compared at six decimals."""
     return F.round(column, 6)

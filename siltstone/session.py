@@ -61,12 +61,3 @@ def fits_broadcast(
     )
     return rows <= max_rows and total <= max_bytes
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a scan of few small files one partition per core; larger scans stay as they are.
-
-    Fewer partitions than cores means at most that many file splits of data, so the shuffle is
-    small whatever the cluster.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -52,13 +52,10 @@ def test_stop_words_are_compared_before_punctuation_goes(reviews):
     assert rows(ops.top_words(reviews, "text", ["the"], 2)) == [("cat", 3), ("a\nb", 1)]
 
 
-def test_stop_word_tables_of_any_size(spark, reviews, monkeypatch):
-    table = spark.createDataFrame([("the",), ("other",)], "word string")
+def test_stop_word_lists_and_tables(spark, reviews):
+    table = spark.createDataFrame([("the",), ("other",), (None,), ("the",)], "word string")
     assert dict(rows(ops.word_counts(reviews, "text", table))) == EXPECTED_WORDS
-    monkeypatch.setattr(ops, "fits_broadcast", lambda df: False)
-    assert dict(rows(ops.word_counts(reviews, "text", table))) == EXPECTED_WORDS
-    monkeypatch.setattr(ops, "INLINE_STOP_WORDS", 1)
-    assert dict(rows(ops.word_counts(reviews, "text", ["the", "other"]))) == EXPECTED_WORDS
+    assert dict(rows(ops.word_counts(reviews, "text", ["the", None, "other", "the"]))) == EXPECTED_WORDS
     assert dict(rows(ops.word_counts(reviews, "text", [])))["the"] == 2
 
 
