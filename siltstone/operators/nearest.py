@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,8 +93,19 @@ def stats_from(rows: list, dimensions: int = 0) -> ClusterStats:
 
 
 def matrix(column: pa.Array, dimensions: int) -> np.ndarray:
-    """A list column as one row per point, without a copy per row."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dimensions)
+    """A list column as one row per point, without a copy per row.
+
+    A null list, or one of another length, is a row without numbers: its distances are no numbers
+    either, so it is assigned to no cluster, whatever else is in the batch.
+    """
+    fits = pc.fill_null(pc.equal(pc.list_value_length(column), dimensions), False)
+    if pc.all(fits, min_count=0).as_py():
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dimensions)
+    rows = np.full((len(column), dimensions), np.nan)
+    kept = column.filter(fits)
+    numbers = kept.flatten().to_numpy(zero_copy_only=False)
+    rows[fits.to_numpy(zero_copy_only=False)] = numbers.reshape(len(kept), dimensions)
+    return rows
 
 
 def distances(points: np.ndarray, centre: np.ndarray, deviation: np.ndarray | None) -> np.ndarray:

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from siltstone.operators.bfr import bfr
 from siltstone.operators.exploration import top_words
 from siltstone.sources import readers, schemas, writers
@@ -17,11 +19,16 @@ def read_back(path):
 
 def test_json_reviews(spark, tmp_path):
     path = lines(tmp_path / "r.json", [
-        json.dumps({"review_id": "r", "stars": 4.0, "extra": 1}), "not json",
+        json.dumps({"review_id": "r", "stars": 4.0, "extra": 1}), "not json", "", '{"review_id": "cut',
+        json.dumps({"review_id": "odd", "stars": "many", "text": "t"}),
     ])
-    rows = readers.read_reviews(spark, path).collect()
-    assert rows[0].review_id == "r" and rows[0].stars == 4.0 and rows[0].text is None
-    assert rows[1].review_id is None
+    rows = readers.read_reviews(spark, path)
+    first, odd = rows.orderBy(F.desc("review_id")).collect()
+    assert first.review_id == "r" and first.stars == 4.0 and first.text is None
+    # JSON of another type than the schema's is no broken line.
+    assert (odd.review_id, odd.stars, odd.text) == ("odd", None, "t")
+    assert rows.count() == 2
+    assert [tuple(r) for r in readers.count_bad_json(spark, path).collect()] == [("r.json", 2)]
 
 
 def test_json_businesses(spark, tmp_path):
@@ -40,11 +47,23 @@ def test_points(spark, tmp_path):
     }
     bad = readers.count_bad_points(spark, str(tmp_path / "in")).collect()
     assert [tuple(r) for r in bad] == [("b.txt", 4)]
+    assert readers.point_files(spark, str(tmp_path / "in")) == ["a.txt", "b.txt"]
+
+
+def test_points_of_another_length(spark, tmp_path):
+    lines(tmp_path / "in" / "a.txt", ["1,0,0", "2,1,1,9", "3,5", "4,5,5"])
+    points = readers.read_points(spark, str(tmp_path / "in"), dimensions=2)
+    assert sorted(r.id for r in points.collect()) == [1, 4]
+    bad = readers.count_bad_points(spark, str(tmp_path / "in"), dimensions=2).collect()
+    assert [tuple(r) for r in bad] == [("a.txt", 2)]
 
 
 def test_unique_points(spark):
-    points = spark.createDataFrame([(1, [0.0]), (1, [0.0]), (2, [1.0])], "id bigint, vec array<double>")
-    assert readers.unique_points(points).count() == 2
+    rows = [(1, [0.0], "a"), (1, [5.0], "b"), (1, [3.0], "a"), (2, [1.0], "a"), (2, [1.0], "a")]
+    points = spark.createDataFrame(rows, "id bigint, vec array<double>, chunk string")
+    for parts in (1, 5):
+        got = readers.unique_points(points.repartition(parts)).orderBy("id").collect()
+        assert [tuple(r) for r in got] == [(1, [5.0], "b"), (2, [1.0], "a")]
 
 
 def test_stop_words(spark, tmp_path):
@@ -58,7 +77,7 @@ def test_stop_words(spark, tmp_path):
 def test_lines_to_rows(spark):
     frame = spark.createDataFrame([(1, '{"city": "Rom"}'), (2, "{")], "n int, value string")
     rows = readers.parse_json_lines(frame, schemas.BUSINESS_EVENT).collect()
-    assert [(r.n, r.city) for r in rows] == [(1, "Rom"), (2, None)]
+    assert [(r.n, r.city) for r in rows] == [(1, "Rom")]
 
 
 def test_bfr_from_files_to_files(spark, tmp_path):
