@@ -57,7 +57,7 @@ _SENT_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("block"
 _BACK_SCHEMA = pa.schema([("block", pa.int64()), *_BINARY])
 _SENT = "kind int, bucket bigint, block bigint, items binary, owners binary, ids binary, counts binary, keys binary"
 _BACK = "block bigint, items binary, owners binary, ids binary, counts binary, keys binary"
-_DOCUMENTS = "uid bigint, doc_id bigint, n bigint, key1 bigint, key2 bigint, grams binary"
+_DOCUMENTS = "uid bigint, doc_id bigint, n bigint, key1 bigint, key2 bigint, items bigint, grams binary"
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -219,6 +219,7 @@ def _documents(t: Fraction) -> Callable[[pa.Table], pa.Table]:
                 "n": counts[owners],
                 "key1": keys[owners, 0],
                 "key2": keys[owners, 1],
+                "items": np.where(stays, found, 0)[owners],
                 "grams": pa.array(grams, pa.binary()),
             }
         )
@@ -394,11 +395,13 @@ def _postings(t: Fraction) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.R
     return posted
 
 
-def _parts(members: DataFrame) -> DataFrame:
-    """Members with the tasks that they take part in: one, or for a group too large one per pair of parts."""
+def _tasks(members: DataFrame) -> DataFrame:
+    """Nodes with the tasks that they take part in: one, or for a group too large one per pair of parts.
+
+    Needs ``node``, ``root``, ``n`` and ``items`` only, so no set moves until its tasks are known.
+    """
     band = F.floor(F.log("n") / math.log(BAND)).cast("int")
-    items = F.octet_length("grams") / 8
-    bands = members.groupBy("root", band.alias("band")).agg(F.sum(items).alias("items"))
+    bands = members.groupBy("root", band.alias("band")).agg(F.sum("items").alias("items"))
     large = bands.groupBy("root").agg(F.sum("items").alias("all")).where(F.col("all") > GROUP_ITEMS).select("root")
     split = bands.join(large, "root").select("root", "band", F.ceil(F.col("items") * 2 / GROUP_ITEMS).cast("int").alias("parts"))
     beside = lambda step, name: split.select("root", (F.col("band") - step).alias("band"), F.col("parts").alias(name))
@@ -415,7 +418,7 @@ def _parts(members: DataFrame) -> DataFrame:
             F.transform(up_to(F.col("below")), lambda i: key(here - 1, i, here, own)),
         )
     )
-    return placed.withColumn("task", F.explode(tasks)).select("root", "task.*", "node", "n", "grams")
+    return placed.select("root", "node", tasks.alias("tasks"))
 
 
 def jaccard_components(
@@ -451,14 +454,15 @@ def jaccard_components(
         "classes",
     )
     holders = classes.where("holder is not null").select(F.col("holder").alias("node"))
-    sets = written(
-        documents.where("grams is not null").select(F.col("uid").alias("node"), "n", "grams").join(holders, "node"), "holders"
-    )
-    postings = sets.mapInArrow(_postings(t), "item bigint, node bigint")
+    sets = documents.where("grams is not null").withColumnRenamed("uid", "node")
+    postings = sets.select("node", "n", "grams").mapInArrow(_postings(t), "item bigint, node bigint").join(holders, "node")
     heads = postings.groupBy("item").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("times")).where("times > 1")
     edges = postings.join(heads, "item").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    members = sets.join(components(edges), "node")
-    links = _parts(members).groupBy("root", "band1", "part1", "band2", "part2").applyInArrow(_joined(t), "a bigint, b bigint")
+    members = components(edges).join(sets.select("node", "n", "items"), "node")
+    tasks = written(_tasks(members), "tasks")
+    groups = sets.select("node", "n", "grams").join(tasks, "node").select("root", F.explode("tasks").alias("task"), "node", "n", "grams")
+    links = groups.select("root", "task.*", "node", "n", "grams")
+    links = links.groupBy("root", "band1", "part1", "band2", "part2").applyInArrow(_joined(t), "a bigint, b bigint")
     linked = classes.join(components(links), F.col("holder") == F.col("node"))
     lowest = linked.groupBy("root").agg(F.min("low").alias("component"))
     named = linked.select(*key, "root").join(lowest, "root").select(*key, "component")
