@@ -12,11 +12,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import squares, vector_sum
-from ..session import BROADCAST_MAX_ROWS, new_folder
+from ..session import BROADCAST_MAX_ROWS, new_folder, remove
 from .clusters import close_pairs, first_targets
 from .kmeans import KMeansResult, kmeans
 from .nearest import (
@@ -29,19 +30,32 @@ from .nearest import (
     no_clusters,
 )
 
-# Sample of the first chunk and limits of the inner k-means runs.
-SAMPLE_POINTS = 10_000
-SAMPLE_SHARE = 0.1
-DISCARD_ROUNDS = 5
-FIRST_REST_ROUNDS = 3
-RETAINED_ROUNDS = 5
-CLUSTER_FACTOR = 3
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Sample of the first chunk and rounds of the inner k-means runs.
+
+    The sample are the points of the first chunk with an id below ``sample_points``, or in a chunk
+    of no more points below ``sample_share`` of their number. ``cluster_factor`` times k clusters
+    are looked for among the points that no cluster took.
+    """
+
+    # The defaults.
+    sample_points: int = 10_000
+    sample_share: float = 0.1
+    discard_rounds: int = 5
+    first_rest_rounds: int = 3
+    retained_rounds: int = 5
+    cluster_factor: int = 3
+
 
 MEMBER, LEFT, SUMS = "member", "left", "sums"
 TABLE_SCHEMA = (
     "kind string, id bigint, vec array<double>, "
     "cluster bigint, n bigint, sum array<double>, sumsq array<double>"
 )
+# The column names of the rounds.
 ROUND_SCHEMA = (
     "round_id int, nof_cluster_discard int, nof_point_discard bigint, "
     "nof_cluster_compression int, nof_point_compression bigint, nof_point_retained bigint"
@@ -56,6 +70,11 @@ class BfrResult:
     labels: DataFrame
     rounds: DataFrame
     summaries: DataFrame
+    folder: str
+
+    def release(self) -> None:
+        """Delete the written tables; ``labels`` can't be read afterwards."""
+        remove(self.labels.sparkSession, self.folder)
 
 
 @dataclass
@@ -64,6 +83,7 @@ class _Sets:
     folder: str
     k: int
     seed: int
+    limits: Limits
     discard: ClusterStats = field(default_factory=no_clusters)
     compression: ClusterStats = field(default_factory=no_clusters)
     retained: DataFrame | None = None
@@ -71,6 +91,7 @@ class _Sets:
     next_key: int = 0
     joined: dict[int, int] = field(default_factory=dict)
     tables: list[str] = field(default_factory=list)
+    pools: int = 0
     records: list[tuple] = field(default_factory=list)
 
     def write(self, rows: DataFrame) -> DataFrame:
@@ -79,6 +100,13 @@ class _Sets:
         self.tables.append(path)
         return self.spark.read.schema(TABLE_SCHEMA).parquet(path)
 
+    def pool(self, points: DataFrame) -> DataFrame:
+        """Points that several passes read, written once."""
+        path = f"{self.folder}/pool-{self.pools:06d}"
+        self.pools += 1
+        points.select("id", "vec").write.parquet(path)
+        return self.spark.read.schema("id bigint, vec array<double>").parquet(path)
+
     def new_keys(self, count: int) -> np.ndarray:
         keys = np.arange(self.next_key, self.next_key + count)
         self.next_key += count
@@ -94,10 +122,13 @@ def bfr(
     assign_first: bool = False,
     include_previous: bool = False,
     chunks: Sequence | None = None,
+    limits: Limits = Limits(),
 ) -> BfrResult:
     """Cluster ``points (id, vec, chunk)`` with unique ids into ``k`` clusters.
 
-    ``chunks`` lists the chunk values in order; by default all of them, sorted. A point joins
+    ``chunks`` lists the chunk values in order, for files ``point_files``; by default they are looked
+    up by a scan, and sorted. Points whose vector is null or of another length than the first
+    clusters' belong to no cluster. Without points all tables are empty. A point joins
     the nearest cluster closer than ``alpha * sqrt(dimensions)`` deviations. ``match`` chooses
     the first or the nearest discard cluster in the last merge. ``assign_first`` tries the rest
     of the first chunk against the discard set before it is clustered.
@@ -107,14 +138,14 @@ def bfr(
     spark = points.sparkSession
     if chunks is None:
         chunks = [r.chunk for r in points.select("chunk").distinct().orderBy("chunk").collect()]
-    sets = _Sets(spark, new_folder(spark, "bfr"), k, seed)
+    sets = _Sets(spark, new_folder(spark, "bfr"), k, seed, limits)
     for number, chunk in enumerate(chunks):
         part = points.filter(F.col("chunk") == chunk).select("id", "vec")
         if number == 0:
             rest = _start(sets, part, include_previous)
-            rounds = FIRST_REST_ROUNDS
+            rounds = limits.first_rest_rounds
         else:
-            rest, rounds = part, RETAINED_ROUNDS
+            rest, rounds = part, limits.retained_rounds
         if number > 0 or assign_first:
             rest = _absorb(sets, rest, alpha)
         _compress(sets, rest, rounds, include_previous)
@@ -124,7 +155,10 @@ def bfr(
             _merge_into_discard(sets, alpha, match)
         _record(sets, number + 1)
     return BfrResult(
-        _labels(sets), spark.createDataFrame(sets.records, ROUND_SCHEMA), _summaries(sets)
+        _labels(sets),
+        spark.createDataFrame(sets.records, ROUND_SCHEMA),
+        _summaries(sets),
+        sets.folder,
     )
 
 
@@ -135,10 +169,16 @@ def _threshold(stats: ClusterStats, alpha: float) -> float:
 def _start(sets: _Sets, chunk: DataFrame, include_previous: bool) -> DataFrame:
     """Discard clusters from the first points; returns the rest of the chunk."""
     total = chunk.count()
-    first = SAMPLE_POINTS if total > SAMPLE_POINTS else int(total * SAMPLE_SHARE)
-    sample = chunk.filter(F.col("id") < first)
+    limits = sets.limits
+    first = limits.sample_points if total > limits.sample_points else int(total * limits.sample_share)
+    sample = sets.pool(chunk.filter(F.col("id") < first))
     found = kmeans(
-        sample, sets.k, DISCARD_ROUNDS, sets.seed, include_previous=include_previous
+        sample,
+        sets.k,
+        limits.discard_rounds,
+        sets.seed,
+        include_previous=include_previous,
+        persist=False,
     )
     sets.discard = found.stats
     sets.new_keys(len(found.stats))
@@ -170,7 +210,9 @@ def _absorb(sets: _Sets, chunk: DataFrame, alpha: float) -> DataFrame:
         return chunk
     threshold = _threshold(both, alpha)
     if len(both.blocks()) == 1:
-        table = sets.write(_routed(chunk, sets.discard, sets.compression, threshold))
+        shared = sets.spark.sparkContext.broadcast((sets.discard, sets.compression))
+        table = sets.write(_routed(chunk, shared, threshold))
+        shared.destroy()
         sums = combine_sums(table.filter(F.col("kind") == SUMS))
     else:
         found = assign(chunk, sets.discard, threshold).withColumnRenamed("cluster", "_discard")
@@ -195,11 +237,8 @@ def _absorb(sets: _Sets, chunk: DataFrame, alpha: float) -> DataFrame:
     return table.filter(F.col("kind") == LEFT).select("id", "vec")
 
 
-def _routed(
-    chunk: DataFrame, discard: ClusterStats, compression: ClusterStats, threshold: float
-) -> DataFrame:
+def _routed(chunk: DataFrame, shared: Broadcast, threshold: float) -> DataFrame:
     """One pass: member rows, left-over rows with their vector, and sums of each task."""
-    shared = chunk.sparkSession.sparkContext.broadcast((discard, compression))
     vectors = pa.list_(pa.float64())
     columns = ["kind", "id", "vec", "cluster", "n", "sum", "sumsq"]
 
@@ -259,13 +298,14 @@ def _updated(stats: ClusterStats, updates: dict) -> ClusterStats:
 
 def _compress(sets: _Sets, rest: DataFrame, rounds: int, include_previous: bool) -> None:
     """Cluster the rest with RS: clusters of several points join CS, the others become RS."""
-    pool = rest if sets.retained is None else rest.unionByName(sets.retained)
+    pool = sets.pool(rest if sets.retained is None else rest.unionByName(sets.retained))
     found = kmeans(
         pool,
-        sets.k * CLUSTER_FACTOR,
+        sets.k * sets.limits.cluster_factor,
         rounds,
         sets.seed,
         include_previous=include_previous,
+        persist=False,
     )
     several = found.stats.n > 1
     keys = np.full(len(found.stats), -1, np.int64)
@@ -310,7 +350,7 @@ def _merge_compression(sets: _Sets, alpha: float) -> None:
     cs = sets.compression
     if len(cs) < 2:
         return
-    pairs = list(close_pairs(cs, _threshold(cs, alpha)))
+    pairs = list(close_pairs(cs, _threshold(cs, alpha), sets.spark))
     if not pairs:
         return
     merged = [_combined(cs, i, cs, j) for i, j in pairs]
@@ -356,6 +396,8 @@ def _labels(sets: _Sets) -> DataFrame:
     moved_to = sets.spark.createDataFrame(moved, "cluster bigint, label bigint")
     if len(moved) <= BROADCAST_MAX_ROWS:
         moved_to = F.broadcast(moved_to)
+    if not sets.tables:
+        return sets.spark.createDataFrame([], "id bigint, cluster int")
     tables = sets.spark.read.schema(TABLE_SCHEMA).parquet(*sets.tables)
     members = tables.filter(F.col("kind") == MEMBER).select("id", "cluster")
     own = F.when(F.col("cluster") < n_discard, F.col("cluster")).otherwise(F.lit(-1))

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import moments
-from .nearest import ClusterStats, distances, matrix, stats_from
+from .nearest import ClusterStats, assign, distances, matrix, nearest_rows, stats_from
 
-MATCH_TYPE = "array<struct<cluster: bigint, distance: double>>"
+PAIRS = "first bigint, second bigint, distance double"
+# Most clusters whose statistics are gathered.
+MAX_CLUSTERS = 1_000_000
+# More clusters than this are compared with each other on the executors.
+DRIVER_CLUSTERS = 2_000
 
 
 def cluster_moments(points: DataFrame, cluster: str, vec: str = "vec") -> DataFrame:
@@ -20,44 +25,18 @@ def cluster_moments(points: DataFrame, cluster: str, vec: str = "vec") -> DataFr
     return moments(points, cluster, vec).withColumnRenamed(cluster, "cluster")
 
 
-def gather(summary: DataFrame) -> ClusterStats:
-    """Statistics of a summary table, one row per cluster."""
-    return stats_from(summary.select("cluster", "n", "mean", "mean_square").collect())
+def gather(summary: DataFrame, most: int = MAX_CLUSTERS) -> ClusterStats:
+    """Statistics of a summary table, one row per cluster, of which there are at most ``most``."""
+    rows = summary.select("cluster", "n", "mean", "mean_square").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} clusters")
+    return stats_from(rows)
 
 
 def point_count(summary: DataFrame) -> DataFrame:
     return summary.agg(F.sum("n").alias("n_points"), F.count(F.lit(1)).alias("n_clusters"))
 
 
-def matches_within(
-    rows: DataFrame, stats: ClusterStats, threshold: float, vec: str = "vec"
-) -> DataFrame:
-    """Add ``matches``: clusters strictly within the threshold, in key order."""
-    found: Column = F.array().cast(MATCH_TYPE)
-    for block in stats.blocks():
-        found = F.concat(found, _matches_block(rows, block, threshold)(F.col(vec)))
-    return rows.withColumn("matches", found)
-
-
-def _matches_block(rows: DataFrame, stats: ClusterStats, threshold: float):
-    shared = rows.sparkSession.sparkContext.broadcast(stats)
-
-    @F.arrow_udf(MATCH_TYPE)
-    def matches(vec: pa.Array) -> pa.Array:
-        block = shared.value
-        points = matrix(vec, block.dimensions)
-        spread = block.deviation
-        hits = [(i, distances(points, block.mean[i], spread[i])) for i in range(len(block))]
-        result: list[list[dict]] = [[] for _ in range(len(points))]
-        for i, d in hits:
-            for p in np.flatnonzero(d < threshold):
-                result[p].append({"cluster": int(block.key[i]), "distance": float(d[p])})
-        kind = pa.list_(pa.struct([("cluster", pa.int64()), ("distance", pa.float64())]))
-        return pa.array(result, kind)
-
-    return matches
-
-
 def _means(summary: DataFrame) -> DataFrame:
     return summary.select(F.col("cluster").cast("bigint").alias("cluster"), "mean")
 
@@ -65,14 +44,40 @@ def _means(summary: DataFrame) -> DataFrame:
 def merge_candidates(summary: DataFrame, threshold: float) -> DataFrame:
     """Pairs of clusters ``(first, second, distance)`` closer than the threshold.
 
-    The distance is scaled by the deviation of the first. Only pairs that match become rows.
+    The distance is scaled by the deviation of the first. Only pairs that match become rows, and each
+    cluster is compared with the earlier ones only, block by block of their statistics.
     """
-    found = matches_within(_means(summary), gather(summary), threshold, "mean")
-    return (
-        found.select(F.col("cluster").alias("second"), F.explode("matches").alias("m"))
-        .filter(F.col("m.cluster") < F.col("second"))
-        .select(F.col("m.cluster").alias("first"), "second", F.col("m.distance").alias("distance"))
-    )
+    means = _means(summary)
+    stats = gather(summary)
+    if not len(stats):
+        return means.sparkSession.createDataFrame([], PAIRS)
+    found = [means.mapInArrow(_earlier(means, block, threshold), PAIRS) for block in stats.blocks()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _earlier(means: DataFrame, stats: ClusterStats, threshold: float):
+    shared = means.sparkSession.sparkContext.broadcast(stats)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = shared.value
+        spread = block.deviation
+        for batch in batches:
+            second = batch.column(0).to_numpy()
+            points = matrix(batch.column(1), block.dimensions)
+            for i, key in enumerate(block.key.tolist()):
+                later = np.flatnonzero(second > key)
+                distance = distances(points[later], block.mean[i], spread[i])
+                close = distance < threshold
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(int(close.sum()), key)),
+                        pa.array(second[later[close]]),
+                        pa.array(distance[close]),
+                    ],
+                    ["first", "second", "distance"],
+                )
+
+    return pairs
 
 
 def match_clusters(
@@ -80,56 +85,51 @@ def match_clusters(
 ) -> DataFrame:
     """``(cluster, target, distance)``: first or nearest target cluster within the threshold.
 
-    The distance is scaled by the deviation of the target.
+    The distance is scaled by the deviation of the target. One cluster a row leaves a task.
     """
-    found = matches_within(_means(summary), gather(target), threshold, "mean")
-    if match == "first":
-        chosen = F.get("matches", F.lit(0))
-    elif match == "nearest":
-        by_distance = F.transform(
-            "matches", lambda m: F.struct(m["distance"].alias("distance"), m["cluster"].alias("cluster"))
-        )
-        chosen = F.array_min(by_distance)
-    else:
+    if match not in ("first", "nearest"):
         raise ValueError("match must be 'first' or 'nearest'")
-    return (
-        found.withColumn("m", chosen)
-        .filter(F.col("m").isNotNull())
-        .select("cluster", F.col("m.cluster").alias("target"), F.col("m.distance").alias("distance"))
+    own = _means(summary).withColumnRenamed("cluster", "_own")
+    found = assign(own, gather(target), threshold, "mean", match)
+    return found.filter(F.col("cluster").isNotNull()).select(
+        F.col("_own").alias("cluster"), F.col("cluster").alias("target"), "distance"
     )
 
 
-def close_pairs(stats: ClusterStats, threshold: float) -> Iterator[tuple[int, int]]:
-    """Greedy one-to-one pairs of rows of ``stats``.
+def close_pairs(
+    stats: ClusterStats, threshold: float, spark: SparkSession | None = None
+) -> Iterator[tuple[int, int]]:
+    """Greedy one-to-one pairs of rows of ``stats``, whose keys rise.
 
     In key order each free cluster takes the first later free one within the threshold, scaled
-    by the deviation of the earlier.
+    by the deviation of the earlier. With a session, statistics beyond ``DRIVER_CLUSTERS`` are
+    compared on the executors, and only pairs within the threshold come back.
     """
+    if spark is not None and len(stats) > DRIVER_CLUSTERS:
+        row_of = {key: row for row, key in enumerate(stats.key.tolist())}
+        found = merge_candidates(stats.frame(spark), threshold).orderBy("first", "second")
+        close = ((row_of[r["first"]], row_of[r["second"]]) for r in found.toLocalIterator())
+    else:
+        close = _close(stats, threshold)
     free = np.ones(len(stats), bool)
+    for i, j in close:
+        if free[i] and free[j]:
+            free[i] = free[j] = False
+            yield i, j
+
+
+def _close(stats: ClusterStats, threshold: float) -> Iterator[tuple[int, int]]:
     spread = stats.deviation
     for i in range(len(stats)):
-        if not free[i]:
-            continue
         later = distances(stats.mean[i + 1 :], stats.mean[i], spread[i])
-        within = np.flatnonzero((later < threshold) & free[i + 1 :])
-        if len(within):
-            j = i + 1 + int(within[0])
-            free[i] = free[j] = False
-            yield i, j
+        for j in np.flatnonzero(later < threshold):
+            yield i, i + 1 + int(j)
 
 
 def first_targets(
     stats: ClusterStats, target: ClusterStats, threshold: float, match: str = "first"
 ) -> Iterator[tuple[int, int]]:
     """For each row of ``stats`` the first or nearest row of ``target`` within the threshold."""
-    spread = target.deviation
-    for i in range(len(stats)):
-        gap = np.array(
-            [
-                distances(stats.mean[i : i + 1], target.mean[j], spread[j])[0]
-                for j in range(len(target))
-            ]
-        )
-        within = np.flatnonzero(gap < threshold)
-        if len(within):
-            yield i, int(within[0] if match == "first" else within[np.argmin(gap[within])])
+    rows = nearest_rows(stats.mean, target, threshold, match)[0]
+    for i in np.flatnonzero(rows >= 0).tolist():
+        yield i, int(rows[i])

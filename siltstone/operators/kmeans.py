@@ -61,7 +61,12 @@ def kmeans_step(
     n = np.zeros(len(current), np.int64)
     row_of = {int(key): row for row, key in enumerate(current.key)}
     extra = 1 if include_previous else 0
-    for sums in assigned_sums(points, current).collect():
+    shared = points.sparkSession.sparkContext.broadcast(current)
+    try:
+        moved = assigned_sums(points, current, shared=shared).collect()
+    finally:
+        shared.destroy()
+    for sums in moved:
         row = row_of[sums["cluster"]]
         n[row] = sums["n"]
         weight = sums["n"] + extra

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,12 +124,15 @@ def distances(points: np.ndarray, centre: np.ndarray, deviation: np.ndarray | No
 
 
 def nearest_rows(
-    points: np.ndarray, stats: ClusterStats, threshold: float | None
+    points: np.ndarray, stats: ClusterStats, threshold: float | None, pick: str = "nearest"
 ) -> tuple[np.ndarray, np.ndarray]:
     """Row of the nearest cluster (-1 for none) and its distance; the first wins a tie.
 
-    With a threshold distances are scaled, and only those strictly below it count.
+    With a threshold distances are scaled, and only those strictly below it count; ``pick="first"``
+    then takes the first such cluster instead of the nearest.
     """
+    if pick not in ("first", "nearest") or (pick == "first" and threshold is None):
+        raise ValueError("match must be 'first' or 'nearest', and 'first' needs a threshold")
     best = np.full(len(points), np.inf)
     row = np.full(len(points), -1, np.int64)
     spread = stats.deviation if threshold is not None else [None] * len(stats)
@@ -136,7 +140,9 @@ def nearest_rows(
         d = distances(points, stats.mean[i], spread[i])
         closer = d < best
         if threshold is not None:
-            closer &= d < threshold
+            closer = d < threshold if pick == "first" else closer & (d < threshold)
+            if pick == "first":
+                closer &= row < 0
         best[closer] = d[closer]
         row[closer] = i
     return row, best
@@ -146,14 +152,14 @@ NEAREST_TYPE = "struct<cluster: bigint, distance: double>"
 
 
 def _assign_block(
-    spark: SparkSession, stats: ClusterStats, threshold: float | None
+    spark: SparkSession, stats: ClusterStats, threshold: float | None, pick: str
 ) -> Callable:
     shared = spark.sparkContext.broadcast(stats)
 
     @F.arrow_udf(NEAREST_TYPE)
     def nearest(vec: pa.Array) -> pa.Array:
         block = shared.value
-        row, distance = nearest_rows(matrix(vec, block.dimensions), block, threshold)
+        row, distance = nearest_rows(matrix(vec, block.dimensions), block, threshold, pick)
         missing = row < 0
         keys = pa.array(block.key[np.where(missing, 0, row)], pa.int64(), mask=missing)
         found = pa.array(distance, pa.float64(), mask=missing)
@@ -163,9 +169,13 @@ def _assign_block(
 
 
 def assign(
-    points: DataFrame, stats: ClusterStats, threshold: float | None = None, vec: str = "vec"
+    points: DataFrame,
+    stats: ClusterStats,
+    threshold: float | None = None,
+    vec: str = "vec",
+    pick: str = "nearest",
 ) -> DataFrame:
-    """Add ``cluster`` and ``distance`` of the nearest cluster, null if none qualifies.
+    """Add ``cluster`` and ``distance`` of the nearest (or first) cluster, null if none qualifies.
 
     Without a threshold the distance is Euclidean; with one it is scaled by the deviation of
     the cluster and must lie strictly below the threshold. Rows are not shuffled.
@@ -176,14 +186,16 @@ def assign(
         )
     spark = points.sparkSession
     blocks = stats.blocks()
-    best = points.withColumn("_near", _assign_block(spark, blocks[0], threshold)(F.col(vec)))
+    best = points.withColumn("_near", _assign_block(spark, blocks[0], threshold, pick)(F.col(vec)))
     for block in blocks[1:]:
         # One block of statistics at a time in the tasks; ties stay with the earlier block.
         tried = written(best, "assign").withColumn(
-            "_other", _assign_block(spark, block, threshold)(F.col(vec))
+            "_other", _assign_block(spark, block, threshold, pick)(F.col(vec))
         )
         keep = F.col("_other.distance").isNull() | (
-            F.col("_near.distance") <= F.col("_other.distance")
+            F.col("_near.distance").isNotNull()
+            if pick == "first"
+            else F.col("_near.distance") <= F.col("_other.distance")
         )
         better = F.when(keep, F.col("_near")).otherwise(F.col("_other"))
         best = tried.withColumn("_near", better).drop("_other")
@@ -231,10 +243,16 @@ class TaskSums:
 
 
 def assigned_sums(
-    points: DataFrame, stats: ClusterStats, threshold: float | None = None, vec: str = "vec"
+    points: DataFrame,
+    stats: ClusterStats,
+    threshold: float | None = None,
+    vec: str = "vec",
+    shared: Broadcast | None = None,
 ) -> DataFrame:
     """``(cluster, n, sum, sumsq)`` over the points assigned to each cluster.
 
+    ``shared`` is a broadcast of ``stats`` that the caller destroys when the rows are there.
+
     Assignment and partial sums happen in one pass; a task hands one row per cluster to the
     shuffle, however many points it read and however uneven the clusters are.
     """
@@ -245,7 +263,8 @@ def assigned_sums(
             vector_sum(F.col(vec)).alias("sum"),
             vector_sum(squares(F.col(vec))).alias("sumsq"),
         )
-    shared = points.sparkSession.sparkContext.broadcast(stats)
+    if shared is None:
+        shared = points.sparkSession.sparkContext.broadcast(stats)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = TaskSums(shared.value)

@@ -6,14 +6,9 @@ clusters arise: discard clusters count from 0, later ones from a base per round.
 
 from __future__ import annotations
 
-from ..operators.bfr import (
-    CLUSTER_FACTOR,
-    DISCARD_ROUNDS,
-    FIRST_REST_ROUNDS,
-    RETAINED_ROUNDS,
-    SAMPLE_POINTS,
-    SAMPLE_SHARE,
-)
+# Written out here, so that the SQL doesn't follow the package.
+SAMPLE_POINTS, SAMPLE_SHARE = 10_000, 0.1
+DISCARD_ROUNDS, FIRST_REST_ROUNDS, RETAINED_ROUNDS, CLUSTER_FACTOR = 5, 3, 5, 3
 
 ROUND_BASE = 1_000_000
 MERGED_BASE = 500_000

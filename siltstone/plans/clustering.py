@@ -9,6 +9,7 @@ from ..operators import clusters as ops
 from ..operators.bfr import BfrResult, bfr
 from ..operators.kmeans import kmeans, kmeans_step, start_stats
 from ..operators.nearest import assign
+from ..session import new_folder
 from .bfr_sql import bfr_tables, statement
 from .registry import Query, rounded, table
 
@@ -90,10 +91,13 @@ def cs_to_ds_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bfr(spark: SparkSession, folder: str) -> BfrResult:
+    """Chunks are the partitions of a written table, so a pass reads its own files only."""
     vectors = points(spark, folder)
-    rows = vectors.agg(F.max("id") + 1).scalar()
-    chunk = F.floor(F.col("id") * BFR_CHUNKS / rows)
-    chunked = vectors.select("id", "vec", chunk.alias("chunk"))
+    rows = vectors.agg(F.max("id") + 1).first()[0]
+    chunk = F.floor(F.col("id") * BFR_CHUNKS / rows).cast("int")
+    path = new_folder(spark, "bfr-chunks")
+    vectors.select("id", "vec", chunk.alias("chunk")).write.partitionBy("chunk").parquet(path)
+    chunked = spark.read.schema("id bigint, vec array<double>, chunk int").parquet(path)
     return bfr(chunked, BFR_K, BFR_ALPHA, SEED, chunks=range(BFR_CHUNKS))
 
 

@@ -47,6 +47,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that was made below the shared folder."""
+    inner = f"{shared_folder(spark)}/siltstone/"
+    if not path.startswith(inner) or path == inner:
+        raise ValueError(f"{path} isn't below {inner}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def fits_broadcast(
     df: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,

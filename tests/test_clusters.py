@@ -1,13 +1,15 @@
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import plain_bfr
+from siltstone import session
 from siltstone.operators import clusters, nearest
-from siltstone.operators.bfr import bfr, sorted_members
+from siltstone.operators.bfr import Limits, bfr, sorted_members
 from siltstone.operators.kmeans import kmeans, kmeans_step, start_stats
 from siltstone.operators.nearest import ClusterStats, assign, assigned_sums
 
@@ -251,3 +253,70 @@ def test_ids_outside_the_sample(spark):
 def test_sorted_members(spark):
     labels = spark.createDataFrame([(3, 1), (1, 1), (2, 0)], "id bigint, cluster int")
     assert [tuple(r) for r in sorted_members(labels).collect()] == [(2, 0), (1, 1), (3, 1)]
+
+
+def test_more_points_than_the_sample(spark):
+    """The first chunk is larger than 10,000 points, so ids below 10,000 are the sample."""
+    points = blobs(10_400, 3, 2, 8, spread=0.5, outliers=100)
+    chunks = [{i: v for i, v in points.items() if i < 10_450}, {i: v for i, v in points.items() if i >= 10_450}]
+    labels, rounds = plain_bfr.bfr(chunks, 3, 3.0)
+    frame = frame_of(spark, points).withColumn("chunk", (F.col("id") >= 10_450).cast("int"))
+    found = bfr(frame, 3, 3.0, chunks=[0, 1])
+    assert [tuple(r) for r in found.rounds.orderBy("round_id").collect()] == rounds
+    assert {r.id: r.cluster for r in found.labels.collect()} == labels
+
+
+def test_limits_are_parameters(spark):
+    points = blobs(400, 3, 2, 9, spread=0.5)
+    frame = frame_of(spark, points).withColumn("chunk", (F.col("id") >= 300).cast("int"))
+    found = bfr(frame, 3, 3.0, limits=Limits(sample_points=100))
+    first = found.rounds.orderBy("round_id").first()
+    assert first.nof_point_discard == 100
+    assert first.nof_point_discard + first.nof_point_compression + first.nof_point_retained == 300
+
+
+def test_bfr_without_points(spark):
+    frame = frame_of(spark, {1: [0.0]}).withColumn("chunk", F.lit(0)).filter("id > 1")
+    found = bfr(frame, 3)
+    assert [t.collect() for t in (found.labels, found.rounds, found.summaries)] == [[], [], []]
+
+
+def test_release_deletes_the_tables(spark):
+    frame = frame_of(spark, blobs(60, 2, 2, 3)).withColumn("chunk", F.lit(0))
+    found = bfr(frame, 2)
+    folder = Path(found.folder.removeprefix("file:"))
+    assert folder.is_dir()
+    found.release()
+    assert not folder.exists()
+    with pytest.raises(ValueError):
+        session.remove(spark, "/tmp")
+
+
+@pytest.mark.parametrize("parts", [1, 2, 4])
+def test_vectors_of_another_length_belong_to_no_cluster(spark, parts):
+    """The lengths add up to those of a regular batch, and rows are batched in several ways."""
+    model = stats([(0, 1, [0, 0], [1, 1]), (1, 1, [5, 5], [1, 1])])
+    rows = [(0, [0.0, 0.0]), (1, [1.0, 1.0, 9.0]), (2, [5.0]), (3, [5.0, 5.0]), (4, None), (5, [None, 1.0])]
+    frame = spark.createDataFrame(rows, SCHEMA).repartitionByRange(parts, "id")
+    for threshold in (None, 3.0):
+        got = {r.id: r.cluster for r in assign(frame, model, threshold).collect()}
+        assert got == {0: 0, 1: None, 2: None, 3: 1, 4: None, 5: None}
+    sums = {r["cluster"]: (r["n"], r["sum"]) for r in assigned_sums(frame, model).collect()}
+    assert sums == {0: (1, [0.0, 0.0]), 1: (1, [5.0, 5.0])}
+    moved = kmeans_step(frame, model)
+    assert moved.mean.tolist() == [[0.0, 0.0], [5.0, 5.0]]
+
+
+def test_pairs_on_executors_equal_those_on_the_driver(spark, monkeypatch):
+    points = blobs(90, 6, 2, 4, spread=2)
+    model = stats([(i, 2, v, [1.0, 1.5]) for i, v in points.items()])
+    alone = list(clusters.close_pairs(model, 2.0))
+    monkeypatch.setattr(clusters, "DRIVER_CLUSTERS", 10)
+    assert list(clusters.close_pairs(model, 2.0, spark)) == alone and alone
+
+
+def test_gather_is_bounded(spark):
+    summary = stats([(i, 1, [i], [1]) for i in range(5)]).frame(spark)
+    assert len(clusters.gather(summary, 5)) == 5
+    with pytest.raises(ValueError):
+        clusters.gather(summary, 4)
