@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clustering, exploration, membership, samples, streams, windows
+from . import clustering, exploration, files, membership, samples, streams, windows
 from .registry import Query
 
 ALL: dict[str, Query] = {
@@ -12,4 +12,5 @@ ALL: dict[str, Query] = {
     **samples.QUERIES,
     **clustering.QUERIES,
     **streams.QUERIES,
+    **files.QUERIES,
 }

@@ -16,7 +16,7 @@ from .registry import Query, table
 # Files in a micro-batch, so that a large table isn't one.
 FILES_PER_BATCH = 1_000
 
-def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table as a stream of its files.
 
     A stream takes no path of a single file, but a pattern; this one matches the one name only.
@@ -29,7 +29,7 @@ def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     )
 
 
-def _finish(writer: DataStreamWriter) -> None:
+def finish(writer: DataStreamWriter) -> None:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
@@ -37,7 +37,7 @@ def _finish(writer: DataStreamWriter) -> None:
 def _written_rows(rows: DataFrame, label: str) -> DataFrame:
     """Append the rows of a stream to a table in the shared folder and read the table."""
     folder = new_folder(rows.sparkSession, label)
-    _finish(
+    finish(
         rows.writeStream.outputMode("append")
         .format("parquet")
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -48,11 +48,11 @@ def _written_rows(rows: DataFrame, label: str) -> DataFrame:
 
 def _windows(spark: SparkSession, folder: str, exact: bool) -> DataFrame:
     state = new_folder(spark, "stream-windows")
-    events = _stream(spark, folder, "events")
+    events = source(spark, folder, "events")
     writer = distinct.stream_windows(
         events, "ts", "user_id", windows.LENGTH, windows.SLIDE, state, f"{state}/checkpoint", exact
     )
-    _finish(writer)
+    finish(writer)
     return distinct.window_rows(spark, state, windows.LENGTH, windows.SLIDE, exact)
 
 
@@ -67,7 +67,7 @@ def stream_estimates(spark: SparkSession, folder: str) -> DataFrame:
 def stream_predictions(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "stream-filter")
     membership.save_bloom(filters.users(spark, folder), "user", path)
-    customers = _stream(spark, folder, "customer").select(
+    customers = source(spark, folder, "customer").select(
         "c_custkey", F.col("c_custkey").cast("string").alias("user")
     )
     found = membership.stream_predictions(customers, "user", path)
@@ -78,7 +78,7 @@ def stream_predictions_large(spark: SparkSession, folder: str) -> DataFrame:
     """The stream against a filter of 1.25 MB."""
     path, size = new_folder(spark, "stream-filter"), (filters.LARGE_BUCKETS, filters.LARGE_HASHES)
     membership.save_bloom(filters.users(spark, folder), "user", path, *size)
-    customers = _stream(spark, folder, "customer").select(
+    customers = source(spark, folder, "customer").select(
         "c_custkey", F.col("c_custkey").cast("string").alias("user")
     )
     found = membership.stream_predictions(customers, "user", path, *size)
@@ -86,9 +86,9 @@ def stream_predictions_large(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, folder: str) -> DataFrame:
-    events = tagged(samples.with_tags(_stream(spark, folder, "events")), "tags")
+    events = tagged(samples.with_tags(source(spark, folder, "events")), "tags")
     state = new_folder(spark, "stream-sample")
-    _finish(
+    finish(
         sampling.stream_reservoir(events, "event_id", "tags", state, samples.SIZE, samples.SEED)
     )
     return sampling.last_sample(spark, state)

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -32,7 +31,7 @@ def seen_path(folder: str, batch_id: int) -> str:
 
 def read_sample(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
     """Version ``batch_id``, one of the newest."""
-    return spark.read.parquet(sample_path(folder, batch_id))
+    return spark.read.parquet(sample_path(folder, batch_id)).drop("_new")
 
 
 def last_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,35 +58,28 @@ def fold_batch(
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        records = tagged(batch, tags).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            arrived = records.count()
-            candidates = reservoir(records, row_id, k, seed).withColumn("_new", F.lit(True))
-            seen = arrived
-            if batch_id > 0:
-                before = spark.read.parquet(seen_path(folder, batch_id - 1)).first()
-                seen += before["seen"]
-                kept = spark.read.schema(records.schema).parquet(
-                    sample_path(folder, batch_id - 1)
-                )
-                candidates = candidates.unionByName(kept.withColumn("_new", F.lit(False)))
-            chosen = reservoir(candidates, row_id, k, seed).persist()
-            changed = not chosen.filter("_new").isEmpty()
-            sample = chosen.drop("_new")
-            sample.write.mode("overwrite").parquet(sample_path(folder, batch_id))
-            if changed:
-                report = popular_tags(sample, tags, top).select(
-                    F.lit(seen).cast("bigint").alias("seen"), "tag", "count"
-                )
-                report.write.mode("overwrite").json(f"{folder}/report/batch={batch_id}")
-            totals = spark.range(1).select(
-                F.lit(seen).cast("bigint").alias("seen"),
-                F.lit(batch_id).cast("bigint").alias("version"),
+        # Counted in the pass that draws the sample, so the batch isn't kept.
+        arrived = Observation()
+        records = tagged(batch, tags).observe(arrived, F.count(F.lit(1)).alias("n"))
+        candidates = reservoir(records, row_id, k, seed).withColumn("_new", F.lit(True))
+        seen = 0
+        if batch_id > 0:
+            seen = spark.read.parquet(seen_path(folder, batch_id - 1)).first()["seen"]
+            kept = read_sample(spark, folder, batch_id - 1)
+            candidates = candidates.unionByName(kept.withColumn("_new", F.lit(False)))
+        path = sample_path(folder, batch_id)
+        reservoir(candidates, row_id, k, seed).write.mode("overwrite").parquet(path)
+        seen += arrived.get["n"]
+        if not spark.read.parquet(path).filter("_new").isEmpty():
+            report = popular_tags(read_sample(spark, folder, batch_id), tags, top).select(
+                F.lit(seen).cast("bigint").alias("seen"), "tag", "count"
             )
-            totals.write.mode("overwrite").parquet(seen_path(folder, batch_id))
-            chosen.unpersist()
-        finally:
-            records.unpersist()
+            report.write.mode("overwrite").json(f"{folder}/report/batch={batch_id}")
+        totals = spark.range(1).select(
+            F.lit(seen).cast("bigint").alias("seen"),
+            F.lit(batch_id).cast("bigint").alias("version"),
+        )
+        totals.write.mode("overwrite").parquet(seen_path(folder, batch_id))
 
     return fold
 
