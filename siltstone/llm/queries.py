@@ -38,6 +38,60 @@ def op3_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return shards(table(spark, folder, "documents"), EIGHT, grown(EIGHT, 8))
 
 
+def _draw_sql(path: str, weight: int) -> str:
+    """The draw of a child: 52 bits of an MD5 as u, then -ln(u) / weight."""
+    bits = f"('0x' || substr(md5('{path}/' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT"
+    return f"-ln(({bits} + 0.5) / 4503599627370496.0) / {weight}"
+
+
+def _smallest_sql(draws: dict[str, str]) -> str:
+    """The value whose draw is the smallest."""
+    pairs = ", ".join(f"{{'draw': {draw}, 'child': {child}}}" for child, draw in draws.items())
+    return f"list_min([{pairs}]).child"
+
+
+def _shard_sql() -> str:
+    """Two regions of two racks of two shards, all of weight 1."""
+
+    def rack(r: int, k: int) -> str:
+        path = f"region{r}/rack{k}"
+        return _smallest_sql({str(s): _draw_sql(f"{path}/{s}", 1) for s in (2 * k, 2 * k + 1)})
+
+    def region(r: int) -> str:
+        first, second = 2 * r, 2 * r + 1
+        chosen = _smallest_sql({"0": _draw_sql(f"region{r}/rack{first}", 2), "1": _draw_sql(f"region{r}/rack{second}", 2)})
+        return f"CASE WHEN {chosen} = 0 THEN {rack(r, first)} ELSE {rack(r, second)} END"
+
+    return f"CASE top WHEN 0 THEN {region(0)} WHEN 1 THEN {region(1)} ELSE 8 END"
+
+
+_REGIONS = {"0": _draw_sql("region0", 4), "1": _draw_sql("region1", 4)}
+OP3_SQL = f"""
+WITH steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS step
+), sized AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+           list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes
+    FROM documents
+), summed AS (
+    SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, bytes),
+        lambda c, b: xor(c // 256, step[xor(c % 256, b) + 1])), 4294967295) AS text_crc32
+    FROM sized, steps
+), placed AS (
+    SELECT *, {_smallest_sql(_REGIONS)} AS top,
+           {_smallest_sql(_REGIONS | {"2": _draw_sql("region-of-8", 1)})} AS grown_top
+    FROM summed
+), sharded AS (
+    SELECT *, CAST({_shard_sql()} AS INTEGER) AS shard, CAST({_shard_sql().replace("CASE top", "CASE grown_top")} AS INTEGER) AS grown_shard
+    FROM placed
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+FROM sharded
+"""
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     weights = toxicity.fit(docs, labels.where(fold("doc_id", 4) != 2))
@@ -107,7 +161,7 @@ def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": Query(op1_exact_dedup, OP1_SQL),
     "op2_jaccard_join": Query(op2_jaccard_join),
-    "op3_hash_tree": Query(op3_hash_tree),
+    "op3_hash_tree": Query(op3_hash_tree, OP3_SQL),
     "op4_token_counts": Query(op4_token_counts),
     "op5_toxicity": Query(op5_toxicity),
     "op6_chat_perspectives": Query(op6_chat_perspectives, OP6_SQL),
