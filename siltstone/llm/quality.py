@@ -25,6 +25,8 @@ PLACES = 1 << BITS
 SMOOTH = 20, 100
 #: Most labelled rows that are used for training and calibration.
 MAX_ROWS = 8_000
+#: Most features of all those rows together, for samples of long texts; the rows beyond aren't used.
+MAX_FEATURES = 30_000_000
 #: Every fourth row of the sample calibrates.
 CALIBRATION = 4
 
@@ -177,15 +179,21 @@ def _calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Model:
     """Train on at most ``max_rows`` labelled documents; one task trains, no text reaches the driver.
 
-    Without labelled rows every probability is 0.5, which keeps.
+    Rows are taken in the order of a hash until they have ``MAX_FEATURES`` features. Without labelled
+    rows every probability is 0.5, which keeps.
     """
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, y = [], []
+        rows, y, room = [], [], MAX_FEATURES
         for batch in batches:
-            y += batch.column("y").to_pylist()
+            marks = batch.column("y").to_pylist()
             for piece in array_slices(batch.column("text")):
-                rows += _frequencies(piece)
+                for mark, found in zip(marks, _frequencies(piece)):
+                    room -= len(found[0])
+                    if room >= 0:
+                        rows.append(found)
+                        y.append(mark)
+                marks = marks[len(piece) :]
         if rows:
             model = _fit(np.array(y), rows)
             yield pa.RecordBatch.from_pydict(

@@ -24,6 +24,8 @@ BITS = 24
 GAPS = (1, 2, 3)
 #: Most labelled rows that are used for training.
 MAX_ROWS = 12_000
+#: Most features of all training rows together, for samples of long texts; the rows beyond aren't used.
+MAX_FEATURES = 60_000_000
 
 
 @dataclass(frozen=True)
@@ -97,15 +99,18 @@ def _fit(rows: list[tuple[float, np.ndarray]], how: Ftrl) -> Weights:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_ROWS, how: Ftrl = Ftrl()) -> Weights:
     """Train on at most ``max_rows`` labelled documents; one task trains, no text reaches the driver.
 
-    Without any labelled row all weights are 0 and every text scores 0.5.
+    Rows are taken in the order of a hash until they have ``MAX_FEATURES`` features. Without any labelled row all weights are 0 and every text scores 0.5.
     """
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        rows, room = [], MAX_FEATURES
         for batch in batches:
             y = batch.column("y").to_pylist()
             for piece in array_slices(batch.column("text")):
-                rows += zip(y[: len(piece)], _distinct(piece))
+                for mark, places in zip(y, _distinct(piece)):
+                    room -= len(places)
+                    if room >= 0:
+                        rows.append((mark, places))
                 y = y[len(piece) :]
         found = _fit(rows, how)
         yield pa.RecordBatch.from_pydict(
