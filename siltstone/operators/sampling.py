@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,16 +44,12 @@ def tag_counts(sample: DataFrame, tags: str) -> DataFrame:
 def popular_tags(sample: DataFrame, tags: str, top: int = 3) -> DataFrame:
     """Tags whose count is among the ``top`` largest distinct counts, ties kept.
 
-    One pass over the sample. The ranking is over the tags of at most k sampled records.
+    The smallest of these counts is looked up first, so that no task ranks all tags.
     """
-    place = F.dense_rank().over(Window.orderBy(F.desc("count")))
-    return (
-        tag_counts(sample, tags)
-        .withColumn("_place", place)
-        .filter(F.col("_place") <= top)
-        .drop("_place")
-        .orderBy(F.desc("count"), F.asc("tag"))
-    )
+    counts = tag_counts(sample, tags)
+    largest = counts.select("count").distinct().orderBy(F.desc("count")).limit(top)
+    least = largest.agg(F.min("count")).scalar()
+    return counts.filter(F.col("count") >= least).orderBy(F.desc("count"), F.asc("tag"))
 
 
 def topic_filter(

@@ -1,4 +1,4 @@
-"""Session-level helpers: shared folder, written intermediate tables, size checks."""
+"""Session-level helpers: shared folder and written intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,11 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A side is broadcast only when it was counted and lies below both bounds.
+# A side of counted rows is broadcast up to this many.
 BROADCAST_MAX_ROWS = 100_000
-BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 _local_folders: dict[str, str] = {}
 
@@ -54,19 +52,3 @@ def remove(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} isn't below {inner}")
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
-
-
-def fits_broadcast(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> bool:
-    """Count at most ``max_rows + 1`` rows of ``df`` and compare with the bounds."""
-    size = F.octet_length(F.to_json(F.struct("*")))
-    rows, total = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and total <= max_bytes
-

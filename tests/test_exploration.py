@@ -82,14 +82,6 @@ def test_review_report(reviews):
     }
 
 
-def test_fits_broadcast(spark):
-    assert session.fits_broadcast(spark.range(10), max_rows=10)
-    assert not session.fits_broadcast(spark.range(11), max_rows=10)
-    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
-    assert not session.fits_broadcast(wide, max_bytes=5000)
-    assert session.fits_broadcast(spark.range(0))
-
-
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert rows(session.written(spark.range(3), "t").orderBy("id")) == [(0,), (1,), (2,)]
