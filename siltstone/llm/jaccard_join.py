@@ -232,7 +232,7 @@ def _documents(t: Fraction) -> Callable[[pa.Table], pa.Table]:
 
 @dataclass
 class _Member:
-    """A set that follows a leader: its n-grams, and those that only one of the two has."""
+    """A set that follows a leader, and the n-grams that only one of the two has."""
 
     number: int
     added: np.ndarray
@@ -240,25 +240,31 @@ class _Member:
 
 
 class _Group:
-    """Sets that may link, in rising order of size, joined one after the other.
+    """Sets that may link, joined one after the other; those with the fewest unshared n-grams first.
 
     Leaders alone stand in the inverted lists. A follower f of leader p has J(f, p) >= (1 + t) / 2, so
     two followers can only link if their leaders reach the looser similarity 2 t - 1 (``near``): the
-    Jaccard distance obeys the triangle inequality. Leaders that are near know each other's overlap, and the
-    overlap of their followers differs from it by no more than the n-grams added.
+    Jaccard distance obeys the triangle inequality. Leaders that are near know each other's overlap,
+    and the overlap of their followers differs from it by no more than the n-grams added.
     """
 
     def __init__(self, sizes: np.ndarray, sets: list[np.ndarray], t: Fraction) -> None:
-        self.sizes, self.sets, self.t = sizes, sets, t
+        self.sizes, self.t = sizes, t
+        _, codes = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True)
+        cuts = np.cumsum([0, *map(len, sets)])
+        #: The n-grams as small numbers, rarest first as they came.
+        self.sets = [codes[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        self.marked = np.zeros(int(codes.max()) + 1 if len(codes) else 0, bool)
         self.leader = (1 + t) / 2
         self.near = 1 - (2 * (1 - self.leader) + (1 - t))
         self.parent = list(range(len(sets)))
         self.followers: dict[int, list[_Member]] = {}
-        #: Overlaps of each leader with the earlier leaders that are near.
-        self.answers: dict[int, dict[int, int]] = {}
-        #: n-gram -> first position of a block -> leaders that have it there, with their sizes.
-        self.lists: dict[int, dict[int, list[tuple[int, int]]]] = {}
-        self.block_sizes: dict[tuple[int, int], int] = {}
+        #: Pairs of leaders that are near, and their overlaps.
+        self.pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        #: n-gram -> first position of a block -> leaders that have it there.
+        self.lists: dict[int, dict[int, list[int]]] = {}
+        #: The most n-grams that a leader of the block has from the position on.
+        self.rests: dict[tuple[int, int], int] = {}
 
     def root(self, x: int) -> int:
         while self.parent[x] != x:
@@ -271,99 +277,112 @@ class _Group:
         if a != b:
             self.parent[max(a, b)] = min(a, b)
 
-    def reaches(self, similarity: Fraction, overlap: int, a: int, b: int) -> bool:
-        whole = int(self.sizes[a] + self.sizes[b]) - overlap
-        return overlap * similarity.denominator >= similarity.numerator * whole
-
     def prefix(self, number: int, similarity: Fraction) -> int:
         """Shared n-grams in the prefix; the unshared ones stand before them."""
         size = int(self.sizes[number])
         return max(0, size - need(similarity, size) + 1 - (size - len(self.sets[number])))
 
-    def candidates(self, number: int, similarity: Fraction) -> set[int]:
+    def candidates(self, number: int, similarity: Fraction) -> np.ndarray:
         """Leaders that meet the set in a prefix and can still reach the similarity by position and size."""
         size, own = int(self.sizes[number]), self.sets[number]
-        unshared = size - len(own)
         least = need(similarity, size)
+        # Sets of these sizes or larger share at least so many n-grams if they are similar.
+        shared = need(similarity / (1 + similarity), size + least)
         found: set[int] = set()
         for place, gram in enumerate(own[: self.prefix(number, similarity)].tolist()):
+            if len(own) - place < shared:
+                break
             for position, block in self.lists.get(gram, {}).items():
-                rest = size - unshared - place
-                # All leaders of a block stand at `position` or later; the largest has the most to come.
-                largest = self.block_sizes[gram, position]
-                if min(rest, largest - position) * (similarity.numerator + similarity.denominator) < similarity.numerator * (size + least):
-                    continue
-                found.update(leader for leader, leader_size in block if leader_size >= least)
-        return found
-
-    def overlaps(self, grams: np.ndarray, others: list[int]) -> list[int]:
+                if self.rests[gram, position] >= shared:
+                    found.update(block)
+        close = np.sort(np.fromiter(found, np.int64, len(found)))
+        sizes = self.sizes[close]
+        return close[(sizes >= least) & (size >= need(similarity, sizes))]
+
+    def overlaps(self, grams: np.ndarray, others: np.ndarray) -> np.ndarray:
         """How many of ``grams`` each of the other sets has."""
-        own = np.sort(grams)
-        if not len(own) or not others:
-            return [0] * len(others)
-        joined = np.concatenate([self.sets[o] for o in others])
-        at = np.searchsorted(own, joined)
-        hit = own[np.minimum(at, len(own) - 1)] == joined
-        ends = np.cumsum([len(self.sets[o]) for o in others])
-        total = np.concatenate([[0], np.cumsum(hit)])
-        return np.diff(total[np.concatenate([[0], ends])]).tolist()
+        if not len(others):
+            return np.zeros(0, np.int64)
+        self.marked[grams] = True
+        joined = [self.sets[o] for o in others.tolist()]
+        ends = np.cumsum([len(one) for one in joined])
+        total = np.concatenate([[0], np.cumsum(self.marked[np.concatenate(joined)])])
+        self.marked[grams] = False
+        return np.diff(total[np.concatenate([[0], ends])])
+
+    def similar(self, similarity: Fraction, overlap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether sets of sizes ``a`` and ``b`` with this overlap reach the similarity."""
+        return overlap * (similarity.numerator + similarity.denominator) >= similarity.numerator * (a + b)
 
     def join(self) -> None:
-        for number in np.argsort(self.sizes, kind="stable").tolist():
+        unshared = self.sizes - np.array([len(own) for own in self.sets], np.int64)
+        for number in np.lexsort((self.sizes, unshared)).tolist():
             self.place(number)
-        for leader, answers in self.answers.items():
-            for other, overlap in answers.items():
-                self.derive(leader, other, overlap)
+        if not self.pairs:
+            return
+        a, b, overlap = (np.concatenate(part) for part in zip(*self.pairs))
+        alone = np.ones(len(self.sets), bool)
+        most, least = np.zeros(len(self.sets), np.int64), self.sizes.copy()
+        for leader, members in self.followers.items():
+            if members:
+                alone[leader] = False
+                most[leader] = max(len(m.added) for m in members)
+                least[leader] = min(int(self.sizes[m.number]) for m in members)
+        least = np.minimum(least, self.sizes)
+        can = ~(alone[a] & alone[b]) & self.similar(self.t, overlap + most[a] + most[b], least[a], least[b])
+        for i in np.flatnonzero(can).tolist():
+            self.derive(int(a[i]), int(b[i]), int(overlap[i]))
 
     def place(self, number: int) -> None:
-        close = sorted(self.candidates(number, self.leader))
-        for leader, overlap in zip(close, self.overlaps(self.sets[number], close)):
-            if self.reaches(self.leader, overlap, number, leader):
-                self.link(number, leader)
-                self.followers[leader].append(
-                    _Member(number, np.setdiff1d(self.sets[number], self.sets[leader]), np.setdiff1d(self.sets[leader], self.sets[number]))
-                )
-                return
-        close = sorted(self.candidates(number, self.near))
-        self.answers[number] = {
-            leader: overlap
-            for leader, overlap in zip(close, self.overlaps(self.sets[number], close))
-            if self.reaches(self.near, overlap, number, leader)
-        }
+        close = self.candidates(number, self.leader)
+        overlap = self.overlaps(self.sets[number], close)
+        able = np.flatnonzero(self.similar(self.leader, overlap, self.sizes[number], self.sizes[close]))
+        if len(able):
+            leader = int(close[able[0]])
+            own, theirs = self.sets[number], self.sets[leader]
+            self.link(number, leader)
+            self.followers[leader].append(_Member(number, np.setdiff1d(own, theirs), np.setdiff1d(theirs, own)))
+            return
+        close = self.candidates(number, self.near)
+        overlap = self.overlaps(self.sets[number], close)
+        for other in close[self.similar(self.t, overlap, self.sizes[number], self.sizes[close])].tolist():
+            self.link(number, other)
+        near = self.similar(self.near, overlap, self.sizes[number], self.sizes[close])
+        self.pairs.append((np.full(int(near.sum()), number), close[near], overlap[near]))
         self.followers[number] = []
-        unshared = int(self.sizes[number]) - len(self.sets[number])
-        for place, gram in enumerate(self.sets[number][: self.prefix(number, self.near)].tolist()):
-            position = (unshared + place) // POSITIONS * POSITIONS
-            self.lists.setdefault(gram, {}).setdefault(position, []).append((number, int(self.sizes[number])))
-            self.block_sizes[gram, position] = max(self.block_sizes.get((gram, position), 0), int(self.sizes[number]))
+        own, size = self.sets[number], int(self.sizes[number])
+        for place, gram in enumerate(own[: self.prefix(number, self.near)].tolist()):
+            position = (size - len(own) + place) // POSITIONS * POSITIONS
+            self.lists.setdefault(gram, {}).setdefault(position, []).append(number)
+            self.rests[gram, position] = max(self.rests.get((gram, position), 0), len(own) - place)
 
     def derive(self, a: int, b: int, overlap: int) -> None:
         """Compare leader a and its followers with leader b and its followers, until they are linked."""
         if self.root(a) == self.root(b):
             return
-        none = np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
         ours, theirs = [_Member(a, none, none), *self.followers[a]], [_Member(b, none, none), *self.followers[b]]
         sizes = self.sizes[[m.number for m in theirs]]
         most = np.array([len(m.added) for m in theirs])
         for member in ours:
             own = int(self.sizes[member.number])
             # What the two share can't be more than the leaders do, and what was added on either side.
-            bound = overlap + len(member.added) + most
-            can = np.flatnonzero(bound * (self.t.numerator + self.t.denominator) >= self.t.numerator * (own + sizes))
+            can = np.flatnonzero(self.similar(self.t, overlap + len(member.added) + most, own, sizes))
             if not len(can):
                 continue
+            self.marked[self.sets[b]] = True
             # From a to the member on one side, then from b to each of its followers on the other.
-            with_b = overlap + _both(member.added, self.sets[b]) - _both(member.removed, self.sets[b])
-            for i in can:
-                other = theirs[i]
-                shared = with_b + _both(other.added, self.sets[member.number]) - _both(other.removed, self.sets[member.number])
-                if self.reaches(self.t, shared, member.number, other.number):
-                    self.link(member.number, other.number)
-                    return
-
-
-def _both(few: np.ndarray, many: np.ndarray) -> int:
-    return int(np.isin(few, many).sum()) if len(few) else 0
+            with_b = overlap + int(self.marked[member.added].sum()) - int(self.marked[member.removed].sum())
+            self.marked[self.sets[b]] = False
+            self.marked[self.sets[member.number]] = True
+            shared = np.array(
+                [with_b + int(self.marked[theirs[i].added].sum()) - int(self.marked[theirs[i].removed].sum()) for i in can]
+            )
+            self.marked[self.sets[member.number]] = False
+            linked = np.flatnonzero(self.similar(self.t, shared, own, sizes[can]))
+            if len(linked):
+                self.link(member.number, theirs[can[linked[0]]].number)
+                return
 
 
 def _joined(t: Fraction) -> Callable[[pa.Table], pa.Table]:
@@ -466,7 +485,8 @@ def jaccard_components(
     linked = classes.join(components(links), F.col("holder") == F.col("node"))
     lowest = linked.groupBy("root").agg(F.min("low").alias("component"))
     named = linked.select(*key, "root").join(lowest, "root").select(*key, "component")
-    together = classes.join(named, key, "left").select(*key, F.coalesce("component", "low").alias("component"))
+    # Written, so that the join with the documents is one that Spark can split at a hot class.
+    together = written(classes.join(named, key, "left").select(*key, F.coalesce("component", "low").alias("component")), "named")
     return documents.join(together, key, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
