@@ -23,7 +23,8 @@ BLOCK = 256
 def _before(rows: DataFrame, keys: list[str], order: list[Column], size: Column) -> DataFrame:
     """Adds ``seq`` and ``char_start``: rows and characters before each row within ``keys``."""
     local = Window.partitionBy(*keys, "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("size", size)
+    # By block, so that the turns of a long conversation are spread over tasks.
+    rows = rows.withColumn("size", size).repartition(*keys, "block")
     own = rows.withColumns({"own_rows": F.count(F.lit(1)).over(local), "own_size": F.coalesce(F.sum("size").over(local), F.lit(0))})
     totals = rows.groupBy(*keys, "block").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
     earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -33,11 +34,11 @@ def _before(rows: DataFrame, keys: list[str], order: list[Column], size: Column)
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("size_before"),
     )
-    same = [own[k].eqNullSafe(starts[k]) for k in [*keys, "block"]]
-    return own.join(starts, same).select(
-        *[own[c] for c in rows.columns],
-        (own.own_rows + starts.rows_before).alias("seq"),
-        (own.own_size + starts.size_before).alias("char_start"),
+    # On the keys of the window, so that the rows stay where they are.
+    return own.join(starts, [*keys, "block"]).select(
+        *rows.columns,
+        (F.col("own_rows") + F.col("rows_before")).alias("seq"),
+        (F.col("own_size") + F.col("size_before")).alias("char_start"),
     )
 
 
@@ -60,22 +61,25 @@ def perspectives(
     """
     rows = turns.select(
         F.col(conv_column).alias("conv_id"),
+        # Two keys that are never null stand for the conversation.
+        F.coalesce(F.col(conv_column).cast("string"), F.lit("")).alias("conv"),
+        F.col(conv_column).isNull().alias("nowhere"),
         F.col(turn_column).cast("long").alias("turn"),
         F.col(role_column).alias("speaker"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
         F.coalesce(F.floor(F.col(turn_column) / BLOCK).cast("long"), F.lit(-(1 << 62))).alias("block"),
     )
     speakers = rows.where(F.col("speaker").isNotNull() & (F.col("speaker") != system)).select(
-        F.col("conv_id").alias("of"), F.col("speaker").alias("participant")
+        "conv", "nowhere", F.col("speaker").alias("participant")
     ).distinct()
-    seen = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    seen = rows.join(speakers, ["conv", "nowhere"])
     own = F.coalesce(F.col("speaker") == F.col("participant"), F.lit(False))
     role = F.when(own, "assistant").when(F.col("speaker") == system, "system").otherwise("user")
     named = ~own & F.col("speaker").isNotNull() & (F.col("speaker") != system)
     header = F.concat(F.lit(OPEN), role, F.when(named, F.concat(F.lit(" name="), F.col("speaker"))).otherwise(""), F.lit(CLOSE))
     seen = seen.withColumns({"own": own, "role": role, "head": F.length(header), "segment": F.concat(header, "text", F.lit(END))})
     order = [F.asc("turn"), F.asc("speaker"), F.asc("text")]
-    placed = _before(seen, ["conv_id", "participant"], order, F.length("segment"))
+    placed = _before(seen, ["conv", "nowhere", "participant"], order, F.length("segment"))
     learnt = lambda place: F.when(F.col("own"), place)
     return placed.select(
         "conv_id",

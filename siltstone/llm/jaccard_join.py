@@ -42,9 +42,13 @@ from ..session import written
 from .components import components
 from .spans import SPACES, mix, slices, spans, texts, windows
 
-#: n-grams in a block, at about which it is sent; and documents, at most.
+#: n-grams in a block, at about which it is sent; and documents, at most. With very many buckets a block
+#: grows up to MOST_ITEMS, so that a row still carries some n-grams.
 BLOCK_ITEMS = 1 << 20
+MOST_ITEMS = 1 << 23
 BLOCK_ROWS = 60_000
+#: Ranges of a bucket that are sorted one after the other.
+RANGES = 8
 #: n-grams of a group that one task takes.
 GROUP_ITEMS = 2_000_000
 #: Positions in a block of an inverted list.
@@ -126,13 +130,15 @@ class _Block:
 
 
 def _send(width: int, buckets: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    full = min(max(BLOCK_ITEMS, 16 * buckets), MOST_ITEMS)
+
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
         block = _Block(number)
         for batch in slices(batches, "text", 2 << 20):
             for doc_id, grams in zip(batch.column("id").to_pylist(), _sets(batch.column("text"), width)):
                 block.add(doc_id, grams)
-                if block.items >= BLOCK_ITEMS or len(block.ids) >= BLOCK_ROWS:
+                if block.items >= full or len(block.ids) >= BLOCK_ROWS:
                     yield pa.RecordBatch.from_pylist(list(block.rows(buckets)), _SENT_SCHEMA)
                     number += 1
                     block = _Block(number)
@@ -155,13 +161,14 @@ def _shared(table: pa.Table) -> pa.Table:
         wide = np.zeros((len(owners), 8), np.uint8)
         np.concatenate(parts, out=wide[:, :6])
         items = wide.view(np.uint64).ravel()
-        order = np.argsort(items, kind="stable")
-        new = np.ones(len(items), bool)
-        new[1:] = items[order[1:]] != items[order[:-1]]
-        begins = np.flatnonzero(new)
-        times = np.diff(np.append(begins, len(items)))
         frequency = np.zeros(len(items), np.uint8)
-        frequency[order] = np.repeat(np.ceil(4 * np.log2(times)), times).astype(np.uint8)
+        for one in range(RANGES):
+            here = np.flatnonzero(items % np.uint64(RANGES) == one)
+            here = here[np.argsort(items[here])]
+            sorted_items = items[here]
+            begins = np.flatnonzero(np.append(True, sorted_items[1:] != sorted_items[:-1])[: len(here)])
+            times = np.diff(np.append(begins, len(here)))
+            frequency[here] = np.repeat(np.ceil(4 * np.log2(times)), times).astype(np.uint8)
         cuts = np.cumsum([0, *map(len, parts)])
         columns = {"block": [], "items": [], "owners": []}
         for block, a, b in zip(rows.column("block").to_pylist(), cuts[:-1], cuts[1:]):
@@ -425,6 +432,8 @@ def _tasks(members: DataFrame) -> DataFrame:
     split = bands.join(large, "root").select("root", "band", F.ceil(F.col("items") * 2 / GROUP_ITEMS).cast("int").alias("parts"))
     beside = lambda step, name: split.select("root", (F.col("band") - step).alias("band"), F.col("parts").alias(name))
     plan = split.join(beside(1, "above"), ["root", "band"], "left").join(beside(-1, "below"), ["root", "band"], "left")
+    # Only large groups have rows here, mostly none: written, its size decides how it is joined.
+    plan = written(plan, "parts")
     placed = members.withColumn("band", band).join(plan, ["root", "band"], "left")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     key = lambda a, x, b, y: F.struct(a.alias("band1"), x.alias("part1"), b.alias("band2"), y.alias("part2"))
