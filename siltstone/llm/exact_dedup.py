@@ -2,7 +2,7 @@
 
 Rows are range partitioned and sorted by their normalised bytes, so that equal texts are neighbours,
 and neighbours are compared in full. The splitters that Spark samples hold no whole text, only its
-first bytes, a 64-bit hash and the identifier; the rest of the order (the text itself) is applied by
+first characters, a hash of 128 bits and the identifier; the rest of the order (the text itself) is applied by
 the external sort within a partition. As the identifier is part of the order, a text that a third of
 all rows share is spread over as many partitions as its size asks for: the runs at the ends of
 partitions are put together afterwards, one row per end.
@@ -104,9 +104,10 @@ def _decided(
         *([F.struct(*rest).alias("rest")] if rest else []),
     )
     by_id = F.asc_nulls_last("id") if keep == "smallest" else F.desc_nulls_last("id")
-    prefix, folded = F.substring("text", 1, PREFIX_CHARACTERS), F.xxhash64("text")
+    # Two hashes, as different texts between which ids could alternate must not share a place.
+    place = [F.substring("text", 1, PREFIX_CHARACTERS), F.xxhash64("text"), F.xxhash64(F.lit(PREFIX_CHARACTERS), "text")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(parts, prefix, folded, by_id).sortWithinPartitions(prefix, folded, "text", by_id)
+    placed = rows.repartitionByRange(parts, *place, by_id).sortWithinPartitions(*place, "text", by_id)
     fields = {f.name: f.dataType for f in rows.schema}
     schema = (
         T.StructType()
