@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import new_folder, remove
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,14 +14,23 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: each node hangs its larger neighbours below its
     smallest one, then each node hangs its smaller neighbours below the smallest. Every step is an
     aggregation and a join over the edges, whose number never grows beyond nodes and edges; rounds grow
-    with the logarithm of the size of a component. Edges are written after each round.
+    with the logarithm of the size of a component. Edges are written after each round, and those of
+    the round before are deleted.
     """
+    spark = edges.sparkSession
     ordered = edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
-    links = written(ordered.where("low < high").distinct(), "links")
+
+    def kept(rows: DataFrame) -> tuple[str, DataFrame]:
+        path = new_folder(spark, "links")
+        rows.write.parquet(path)
+        return path, spark.read.schema(rows.schema).parquet(path)
+
+    path, links = kept(ordered.where("low < high").distinct())
     before = None
     while before != (state := _state(links)):
-        before = state
-        links = written(_small_star(_large_star(links)), "links")
+        before, old = state, path
+        path, links = kept(_small_star(_large_star(links)))
+        remove(spark, old)
     tops = links.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("root"))
     return tops.unionByName(tops.select(F.col("root").alias("node"), "root").distinct())
 
