@@ -29,6 +29,10 @@ MAX_ROWS = 8_000
 MAX_FEATURES = 30_000_000
 #: Every fourth row of the sample calibrates.
 CALIBRATION = 4
+#: Rows whose features are handled at a time.
+CHUNK_ROWS = 500
+#: Bytes of text that a worker handles at a time.
+SLICE_BYTES = 4 << 20
 
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
@@ -132,29 +136,46 @@ def _frequencies(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _fit(y: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], steps: int = 120, ridge: float = 1e-3) -> Model:
-    """Regression by Adam over all rows at a time, on features scaled to unit deviation."""
+    """Regression by Adam over all rows at a time, on features scaled to unit deviation.
+
+    ``rows`` is emptied: the features are held once, in chunks.
+    """
     held = np.arange(len(rows)) % CALIBRATION == CALIBRATION - 1
     if held.all() or not held.any():
         held[:] = False
-    lengths = np.array([len(p) for p, _ in rows])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    places = np.concatenate([p for p, _ in rows])
-    values = np.concatenate([v for _, v in rows])
-    mean = np.bincount(places, values, 2 * PLACES) / len(rows)
-    deviation = np.sqrt(np.maximum(np.bincount(places, values * values, 2 * PLACES) / len(rows) - mean**2, 0))
-    scale = 1.0 / (deviation + 1e-4)
-    scaled = (values * scale[places]).astype(np.float32)
+    chunks = []
+    for start in range(0, len(rows), CHUNK_ROWS):
+        part = rows[start : start + CHUNK_ROWS]
+        lengths = np.array([len(p) for p, _ in part])
+        chunks.append((start, lengths, np.concatenate([p for p, _ in part]), np.concatenate([v for _, v in part])))
+    rows.clear()
+    size = 2 * PLACES
+    mean = sum(np.bincount(places, values, size) for _, _, places, values in chunks) / len(y)
+    square = sum(np.bincount(places, values * values, size) for _, _, places, values in chunks) / len(y)
+    scale = 1.0 / (np.sqrt(np.maximum(square - mean**2, 0)) + 1e-4)
     learn = np.where(held, 0.0, 1.0)
-    w, bias = np.zeros(2 * PLACES), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    first, second = np.zeros(2 * PLACES + 1), np.zeros(2 * PLACES + 1)
+    w, bias = np.zeros(size), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    first, second = np.zeros(size + 1), np.zeros(size + 1)
+
+    def step_over(w: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
+        """Margins of all rows, and the slope of the loss."""
+        scaled, margins, slope = w * scale, np.zeros(len(y)), np.zeros(size + 1)
+        for start, lengths, places, values in chunks:
+            own = slice(start, start + len(lengths))
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            margins[own] = np.bincount(owner, values * scaled[places], len(lengths)) + bias
+            error = learn[own] * (_sigmoid(margins[own]) - y[own]) / max(1.0, learn.sum())
+            slope[:-1] += np.bincount(places, values * error[owner], size)
+            slope[-1] += error.sum()
+        slope[:-1] = slope[:-1] * scale + ridge * w
+        return margins, slope
+
     for step in range(1, steps + 1):
-        margins = np.bincount(owner, scaled * w[places], len(rows)) + bias
-        error = learn * (_sigmoid(margins) - y) / max(1.0, learn.sum())
-        slope = np.append(np.bincount(places, scaled * error[owner], 2 * PLACES) + ridge * w, error.sum())
+        _, slope = step_over(w, bias)
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         move = 0.02 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
-    margins = np.bincount(owner, scaled * w[places], len(rows)) + bias
+    margins, _ = step_over(w, bias)
     use = held if held.any() else ~held
     slope, shift = _calibrate(margins[use], y[use])
     w = (w * scale).astype(np.float32)
@@ -187,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
         rows, y, room = [], [], MAX_FEATURES
         for batch in batches:
             marks = batch.column("y").to_pylist()
-            for piece in array_slices(batch.column("text")):
+            for piece in array_slices(batch.column("text"), SLICE_BYTES):
                 for mark, found in zip(marks, _frequencies(piece)):
                     room -= len(found[0])
                     if room >= 0:
@@ -232,7 +253,7 @@ def judge(spark: SparkSession, model: Model, text: Column) -> Column:
 
     def judged(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            parts = [_judged(piece, shared.value) for piece in array_slices(column)]
+            parts = [_judged(piece, shared.value) for piece in array_slices(column, SLICE_BYTES)]
             yield pa.concat_arrays(parts) if parts else _judged(column, shared.value)
 
     judged.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -28,6 +28,10 @@ MAX_ROWS = 12_000
 MAX_FEATURES = 60_000_000
 
 
+#: Bytes of text that a worker handles at a time.
+SLICE_BYTES = 4 << 20
+
+
 @dataclass(frozen=True)
 class Ftrl:
     alpha: float = 1.5
@@ -106,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
         rows, room = [], MAX_FEATURES
         for batch in batches:
             y = batch.column("y").to_pylist()
-            for piece in array_slices(batch.column("text")):
+            for piece in array_slices(batch.column("text"), SLICE_BYTES):
                 for mark, places in zip(y, _distinct(piece)):
                     room -= len(places)
                     if room >= 0:
@@ -140,7 +144,7 @@ def score(spark: SparkSession, weights: Weights, text: Column) -> Column:
         used = np.zeros(1 << BITS, bool)
         used[shared.value.places] = True
         for column in columns:
-            parts = [_scores(piece, shared.value, used) for piece in array_slices(column)]
+            parts = [_scores(piece, shared.value, used) for piece in array_slices(column, SLICE_BYTES)]
             yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 
     scores.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
