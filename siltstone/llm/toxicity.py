@@ -1,7 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-A text's features are the distinct words, pairs of neighbours, and pairs with one or two words
-between them, hashed to 2**24 places. Words are runs of letters and digits, lower-cased; a text with
+A text's features are the distinct words, the first bytes of longer words as their stems, pairs of
+neighbours, and pairs with one or two words between them, hashed to 2**24 places. Words are runs of letters and digits, lower-cased; a text with
 none has the bias alone. Training reads a bounded sample once per pass, row by row, with a learning
 rate per coordinate; the L1 term leaves a few thousand weights, which are broadcast.
 """
@@ -22,6 +22,10 @@ from .spans import NOT_ALNUM, array_slices, mix, spans, texts
 
 BITS = 24
 GAPS = (1, 2, 3)
+#: Bytes of the stems of longer words.
+STEMS = (4, 6)
+_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER[65:91] += np.uint64(32)
 #: Most labelled rows that are used for training.
 MAX_ROWS = 12_000
 #: Most features of all training rows together, for samples of long texts; the rows beyond aren't used.
@@ -57,6 +61,13 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     owners, hashes = words.owners(), words.hashes
     shift = np.uint64(64 - BITS)
     places, owner = [hashes >> shift], [owners]
+    for length in STEMS:
+        long = np.flatnonzero(words.ends - words.starts > length)
+        stem = np.full(len(long), length, np.uint64)
+        for k in range(length):
+            stem = stem * np.uint64(0x100000001B3) + _LOWER[data[words.starts[long] + k]]
+        places.append(mix(stem) >> shift)
+        owner.append(owners[long])
     for gap in GAPS:
         same = np.flatnonzero(owners[gap:] == owners[:-gap]) if len(owners) > gap else np.zeros(0, np.int64)
         pair = hashes[same] * np.uint64(0x9E3779B97F4A7C15) + hashes[same + gap] * np.uint64(2 * gap + 0xC2B2AE3D27D4EB4F)
