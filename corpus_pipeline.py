@@ -2,8 +2,8 @@
 
 Each stage gets the rows that its predecessor kept, written and read again, and returns rows with the
 columns of `documents`; the last one returns the packing. Decisions take effect: rejected rows don't
-reach the next stage. Rows travel with their decision wherever that is made row by row, so repeated
-or null identifiers can't mix rows up; the stage of the join goes by identifier.
+reach the next stage. Rows travel with their decision, or go by a number of their own in the stage of
+the join, so repeated or null identifiers can't mix rows up.
 """
 
 from __future__ import annotations
@@ -41,16 +41,20 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component, that with the smallest identifier.
+    """One document of each component, that with the smallest identifier; nulls come last.
 
-    A row goes if its identifier is the smallest of no component. Rows with a null identifier stay,
-    unless they are linked to a row that has one.
+    Rows go by a number of their own, so repeated or null identifiers can't mix them up: of near copies
+    without any identifier one stays, too.
     """
-    found = written(jaccard_components(docs), "components")
-    gone = found.where("component_id is not null and (doc_id is null or doc_id <> component_id)").select("doc_id").distinct()
-    heads = found.where("doc_id = component_id").select("doc_id").distinct()
-    gone = gone.join(heads, "doc_id", "left_anti")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    number = "row_number"
+    while number in [name.lower() for name in docs.columns]:
+        number += "_"
+    docs = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = jaccard_components(docs, id_column=number).select(F.col("doc_id").alias("number"), "component_id")
+    known = found.join(docs.select(F.col(number).alias("number"), F.col("doc_id").alias("known")), "number")
+    first = F.min_by("number", F.struct(F.col("known").isNull(), "known", "number"))
+    heads = known.groupBy("component_id").agg(first.alias(number)).select(number)
+    return docs.join(heads, number, "left_semi").select([F.col(f"`{name}`") for name in docs.columns if name != number])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

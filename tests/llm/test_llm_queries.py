@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as driver
 import corpus_pipeline
 from compare import spark_rows, sql_connection, sql_rows
-from odd import CLASHING, SPACE, base_counts, linked, odd_docs, odd_rows, rows_of
+from odd import CLASHING, SPACE, base_counts, linked, odd_docs, odd_rows, prose, rows_of
 from siltstone.llm.queries import QUERIES
 from siltstone.session import written
 
@@ -147,3 +147,19 @@ def test_pipeline_with_odd_rows(spark, tmp_path):
     first = {t: min((i for i, u in base if u == t and i is not None), default=None) for t in texts}
     heads = {c for _, _, c in linked([(i, t) for t, i in first.items()])}
     assert sorted(repr(r.doc_id) for r in docs.collect()) == sorted(map(repr, heads))
+
+
+def test_near_copies_with_null_identifiers(spark, tmp_path):
+    """A null identifier doesn't tie rows together: each goes only for a near copy of its own."""
+    first, second, third = (prose(70 + k, 100) for k in range(3))
+    rows = [
+        (1, first), (None, first + " tail"), (None, prose(80, 100)), (None, second), (None, second + " tail"),
+        (2, third), (2, third + " tail"), (2, prose(81, 100)),
+    ]
+    docs = written(odd_docs(spark, rows), "t")
+    left = written(corpus_pipeline.near_dedup(spark, docs, str(tmp_path)), "t")
+    assert left.columns == docs.columns and left.exceptAll(docs).count() == 0
+    texts = {r.text for r in left.collect()}
+    assert left.count() == len(texts) == 5
+    assert {first, prose(80, 100), prose(81, 100)} <= texts
+    assert len(texts & {second, second + " tail"}) == len(texts & {third, third + " tail"}) == 1
