@@ -30,9 +30,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def no_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with a score below the threshold; the classifier learns from all labelled documents."""
+    """Rows with a score below the threshold; the classifier learns from all labelled documents.
+
+    Without any usable label nothing counts as toxic, and all rows stay.
+    """
     weights = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), _labels(spark, sf_dir))
-    return docs.where(toxicity.score(spark, weights, F.col("text")) < TOXIC_FROM)
+    return docs.where(~toxicity.toxic(weights, toxicity.score(spark, weights, F.col("text")), TOXIC_FROM))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,11 +47,12 @@ class Ftrl:
 
 @dataclass
 class Weights:
-    """Places with a weight, in order, and the bias."""
+    """Places with a weight, in order, and the bias; ``learnt`` from any row at all."""
 
     places: np.ndarray
     values: np.ndarray
     bias: float
+    learnt: bool = True
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +115,8 @@ def _fit(rows: list[tuple[float, np.ndarray]], how: Ftrl) -> Weights:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_ROWS, how: Ftrl = Ftrl()) -> Weights:
     """Train on at most ``max_rows`` labelled documents; one task trains, no text reaches the driver.
 
-    Rows are taken in the order of a hash until they have ``MAX_FEATURES`` features. Without any labelled row all weights are 0 and every text scores 0.5.
+    Rows are taken in the order of a hash until they have ``MAX_FEATURES`` features. Without any usable
+    labelled row all weights are 0, every text scores 0.5 and ``toxic`` marks none.
     """
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,13 +131,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
                 y = y[len(piece) :]
         found = _fit(rows, how)
         yield pa.RecordBatch.from_pydict(
-            {"places": [found.places.tobytes()], "weights": [found.values.tobytes()], "bias": [found.bias]}
+            {"places": [found.places.tobytes()], "weights": [found.values.tobytes()], "bias": [found.bias], "learnt": [bool(rows)]}
         )
 
-    rows = sample(docs, labels, label, max_rows).mapInArrow(train, "places binary, weights binary, bias double").collect()
+    rows = sample(docs, labels, label, max_rows).mapInArrow(train, "places binary, weights binary, bias double, learnt boolean").collect()
     if not rows:
-        return Weights(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0)
-    return Weights(np.frombuffer(rows[0].places, np.int32), np.frombuffer(rows[0].weights, np.float32), rows[0].bias)
+        return Weights(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0, False)
+    row = rows[0]
+    return Weights(np.frombuffer(row.places, np.int32), np.frombuffer(row.weights, np.float32), row.bias, row.learnt)
 
 
 def _scores(column: pa.Array, weights: Weights, used: np.ndarray) -> np.ndarray:
@@ -160,3 +163,8 @@ def score(spark: SparkSession, weights: Weights, text: Column) -> Column:
 
     scores.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(scores, "double")(text)
+
+
+def toxic(weights: Weights, score: Column, threshold: float) -> Column:
+    """Whether the score reaches the threshold; of a model that learnt from no row, none does."""
+    return score >= threshold if weights.learnt else F.lit(False)

@@ -163,3 +163,18 @@ def test_near_copies_with_null_identifiers(spark, tmp_path):
     assert left.count() == len(texts) == 5
     assert {first, prose(80, 100), prose(81, 100)} <= texts
     assert len(texts & {second, second + " tail"}) == len(texts & {third, third + " tail"}) == 1
+
+
+@pytest.mark.parametrize("labels", [[], [(10, None, None)], [(9999, 1, 1)]])
+def test_pipeline_without_usable_labels(spark, tmp_path, labels):
+    """Nothing learnt: no row counts as toxic, and the odd rows go through every stage."""
+    rows = odd_rows()
+    folder = clash(spark, rows, labels, tmp_path)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    calm = corpus_pipeline.no_toxicity(spark, docs, folder)
+    assert calm.columns == docs.columns and calm.count() == len(rows)
+    assert {r.predicted for r in driver.queries()["op5_toxicity"](spark, folder).collect()} == {0}
+    base = [(i, t) for i, t in rows if (n := base_counts(t))[0] >= 10 and 100 * n[4] <= 20 * n[0]]
+    firsts = {t: min((i for i, u in base if u == t and i is not None), default=None) for t in {t for _, t in base}}
+    heads = {c for _, _, c in linked([(i, t) for t, i in firsts.items()])}
+    assert heads and {r.doc_id for r in driver.queries()["pipeline"](spark, folder).collect()} == heads
