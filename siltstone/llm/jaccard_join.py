@@ -53,8 +53,9 @@ RANGES = 8
 GROUP_ITEMS = 2_000_000
 #: Positions in a block of an inverted list.
 POSITIONS = 16
-#: Sets of one size band and of the next can link; a band's sizes differ by less than this factor.
-BAND = 1.26
+#: Sizes of a band differ by less than this factor over the threshold, so only sets of one size band and
+#: of the next can link.
+BAND = 1.008
 
 _BINARY = [(name, pa.binary()) for name in ("items", "owners", "ids", "counts", "keys")]
 _SENT_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), *_BINARY])
@@ -421,12 +422,12 @@ def _postings(t: Fraction) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.R
     return posted
 
 
-def _tasks(members: DataFrame) -> DataFrame:
+def _tasks(members: DataFrame, t: Fraction) -> DataFrame:
     """Nodes with the tasks that they take part in: one, or for a group too large one per pair of parts.
 
     Needs ``node``, ``root``, ``n`` and ``items`` only, so no set moves until its tasks are known.
     """
-    band = F.floor(F.log("n") / math.log(BAND)).cast("int")
+    band = F.floor(F.log("n") / math.log(BAND / t)).cast("int")
     bands = members.groupBy("root", band.alias("band")).agg(F.sum("items").alias("items"))
     large = bands.groupBy("root").agg(F.sum("items").alias("all")).where(F.col("all") > GROUP_ITEMS).select("root")
     split = bands.join(large, "root").select("root", "band", F.ceil(F.col("items") * 2 / GROUP_ITEMS).cast("int").alias("parts"))
@@ -487,7 +488,7 @@ def jaccard_components(
     heads = postings.groupBy("item").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("times")).where("times > 1")
     edges = postings.join(heads, "item").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     members = components(edges).join(sets.select("node", "n", "items"), "node")
-    tasks = written(_tasks(members), "tasks")
+    tasks = written(_tasks(members, t), "tasks")
     groups = sets.select("node", "n", "grams").join(tasks, "node").select("root", F.explode("tasks").alias("task"), "node", "n", "grams")
     links = groups.select("root", "task.*", "node", "n", "grams")
     links = links.groupBy("root", "band1", "part1", "band2", "part2").applyInArrow(_joined(t), "a bigint, b bigint")

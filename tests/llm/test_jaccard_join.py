@@ -48,6 +48,19 @@ def test_large_groups_are_split(spark, monkeypatch):
     assert rows_of(J.jaccard_components(odd_docs(spark, rows)), *COLUMNS) == sort(linked(rows))
 
 
+def test_split_groups_at_a_low_threshold(spark, monkeypatch):
+    """Sets whose sizes differ by nearly 1 / t link in a group that is split, as in one that isn't."""
+    rows = []
+    for k in range(12):
+        words = prose(300 + k, 164).split()
+        rows += [(2 * k, " ".join(words[: 104 + 3 * k])), (2 * k + 1, " ".join(words))]
+    expected = sort((i, len(text.split()) - 4, i // 2 * 2) for i, text in rows)
+    docs = odd_docs(spark, rows)
+    assert rows_of(J.jaccard_components(docs, Fraction(3, 5)), *COLUMNS) == expected
+    monkeypatch.setattr(J, "GROUP_ITEMS", 50)
+    assert rows_of(J.jaccard_components(docs, Fraction(3, 5)), *COLUMNS) == expected
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_group_equals_all_pairs(seed):
     rng = random.Random(seed)
