@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +42,47 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_col
         .limit(max_rows)
         .select("y", "text")
     )
+
+
+class Held:
+    """Tuples of arrays to read again and again, in their order.
+
+    Up to ``most`` numbers stay in memory; what doesn't fit is in a temporary file that ends with the task.
+    """
+
+    def __init__(self, most: int) -> None:
+        self.room = most
+        self.parts: list[tuple[np.ndarray, ...] | list[tuple[int, int, np.dtype]]] = []
+        self.file = None
+        self.end = 0
+
+    def __len__(self) -> int:
+        return len(self.parts)
+
+    def add(self, *arrays: np.ndarray) -> None:
+        size = sum(map(len, arrays))
+        if size <= self.room:
+            self.room -= size
+            self.parts.append(arrays)
+            return
+        if self.file is None:
+            self.file = tempfile.TemporaryFile(buffering=0)
+        places = []
+        for array in arrays:
+            self.file.seek(self.end)
+            left = memoryview(array.tobytes())
+            places.append((self.end, len(left), array.dtype))
+            self.end += len(left)
+            while left:
+                left = left[self.file.write(left) :]
+        self.parts.append(places)
+
+    def _read(self, start: int, size: int, kind: np.dtype) -> np.ndarray:
+        found = bytearray()
+        while len(found) < size:
+            found += os.pread(self.file.fileno(), size - len(found), start + len(found))
+        return np.frombuffer(found, kind)
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, ...]]:
+        for part in self.parts:
+            yield part if isinstance(part, tuple) else tuple(self._read(*place) for place in part)

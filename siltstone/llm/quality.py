@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .labelled import sample
+from .labelled import Held, sample
 from .spans import NEWLINE, SPACES, Spans, array_slices, byte_set, spans, sums, texts, windows
 
 BITS = 14
@@ -25,12 +25,13 @@ PLACES = 1 << BITS
 SMOOTH = 20, 100
 #: Most labelled rows that are used for training and calibration.
 MAX_ROWS = 8_000
-#: Most features of all those rows together, for samples of long texts; the rows beyond aren't used.
-MAX_FEATURES = 30_000_000
+#: Most numbers of their features that are held in memory, two a feature; the rest is in a temporary file.
+HELD_NUMBERS = 60_000_000
 #: Every fourth row of the sample calibrates.
 CALIBRATION = 4
-#: Rows whose features are handled at a time.
+#: Rows whose features are handled at a time, and about as many features at most.
 CHUNK_ROWS = 500
+CHUNK_FEATURES = 4_000_000
 #: Bytes of text that a worker handles at a time.
 SLICE_BYTES = 4 << 20
 
@@ -135,20 +136,44 @@ def _frequencies(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return found
 
 
-def _fit(y: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], steps: int = 120, ridge: float = 1e-3) -> Model:
-    """Regression by Adam over all rows at a time, on features scaled to unit deviation.
+class _Chunks:
+    """Features of the training rows, in chunks of neighbouring rows."""
 
-    ``rows`` is emptied: the features are held once, in chunks.
-    """
-    held = np.arange(len(rows)) % CALIBRATION == CALIBRATION - 1
+    def __init__(self, held_numbers: int) -> None:
+        self.parts = Held(held_numbers)
+        self.rows: list[tuple[np.ndarray, np.ndarray]] = []
+        self.features = 0
+
+    def add(self, row: tuple[np.ndarray, np.ndarray]) -> None:
+        self.rows.append(row)
+        self.features += len(row[0])
+        if len(self.rows) >= CHUNK_ROWS or self.features >= CHUNK_FEATURES:
+            self.close()
+
+    def close(self) -> None:
+        if self.rows:
+            lengths = np.array([len(places) for places, _ in self.rows])
+            self.parts.add(lengths, np.concatenate([p for p, _ in self.rows]), np.concatenate([v for _, v in self.rows]))
+        self.rows, self.features = [], 0
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        start = 0
+        for lengths, places, values in self.parts:
+            yield start, lengths, places, values
+            start += len(lengths)
+
+
+def _fit(y: np.ndarray, rows: _Chunks | list[tuple[np.ndarray, np.ndarray]], steps: int = 120, ridge: float = 1e-3) -> Model:
+    """Regression by Adam over all rows at a time, on features scaled to unit deviation."""
+    held = np.arange(len(y)) % CALIBRATION == CALIBRATION - 1
     if held.all() or not held.any():
         held[:] = False
-    chunks = []
-    for start in range(0, len(rows), CHUNK_ROWS):
-        part = rows[start : start + CHUNK_ROWS]
-        lengths = np.array([len(p) for p, _ in part])
-        chunks.append((start, lengths, np.concatenate([p for p, _ in part]), np.concatenate([v for _, v in part])))
-    rows.clear()
+    chunks = rows
+    if not isinstance(rows, _Chunks):
+        chunks = _Chunks(HELD_NUMBERS)
+        for row in rows:
+            chunks.add(row)
+        chunks.close()
     size = 2 * PLACES
     mean = sum(np.bincount(places, values, size) for _, _, places, values in chunks) / len(y)
     square = sum(np.bincount(places, values * values, size) for _, _, places, values in chunks) / len(y)
@@ -197,26 +222,23 @@ def _calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(at[0]), float(at[1])) if at[0] > 0 else (1.0, 0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS, held_numbers: int = HELD_NUMBERS) -> Model:
     """Train on at most ``max_rows`` labelled documents; one task trains, no text reaches the driver.
 
-    Rows are taken in the order of a hash until they have ``MAX_FEATURES`` features. Without labelled
-    rows every probability is 0.5, which keeps.
+    Every row of the sample is used, however long: features beyond ``held_numbers`` are in a temporary
+    file of the task. Without labelled rows every probability is 0.5, which keeps.
     """
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, y, room = [], [], MAX_FEATURES
+        chunks, y = _Chunks(held_numbers), []
         for batch in batches:
-            marks = batch.column("y").to_pylist()
+            y += batch.column("y").to_pylist()
             for piece in array_slices(batch.column("text"), SLICE_BYTES):
-                for mark, found in zip(marks, _frequencies(piece)):
-                    room -= len(found[0])
-                    if room >= 0:
-                        rows.append(found)
-                        y.append(mark)
-                marks = marks[len(piece) :]
-        if rows:
-            model = _fit(np.array(y), rows)
+                for found in _frequencies(piece):
+                    chunks.add(found)
+        chunks.close()
+        if y:
+            model = _fit(np.array(y), chunks)
             yield pa.RecordBatch.from_pydict(
                 {"words": [model.words.tobytes()], "runs": [model.runs.tobytes()], "rest": [[model.bias, model.slope, model.shift]]}
             )

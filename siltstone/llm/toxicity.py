@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .labelled import sample
+from .labelled import Held, sample
 from .spans import NOT_ALNUM, array_slices, mix, spans, texts
 
 BITS = 24
@@ -28,8 +28,8 @@ _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 #: Most labelled rows that are used for training.
 MAX_ROWS = 12_000
-#: Most features of all training rows together, for samples of long texts; the rows beyond aren't used.
-MAX_FEATURES = 60_000_000
+#: Most features of the training rows that are held in memory; the rest is in a temporary file.
+HELD_FEATURES = 60_000_000
 
 
 #: Bytes of text that a worker handles at a time.
@@ -90,7 +90,7 @@ def _sigmoid(margin: np.ndarray | float) -> np.ndarray | float:
     return 1.0 / (1.0 + np.exp(-np.clip(margin, -35.0, 35.0)))
 
 
-def _fit(rows: list[tuple[float, np.ndarray]], how: Ftrl) -> Weights:
+def _fit(marks: list[float], rows: Held, how: Ftrl) -> Weights:
     z, n = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
     bias_z = bias_n = 0.0
 
@@ -98,7 +98,7 @@ def _fit(rows: list[tuple[float, np.ndarray]], how: Ftrl) -> Weights:
         return np.where(np.abs(z) > l1, -(z - np.sign(z) * l1) / ((how.beta + np.sqrt(n)) / how.alpha + how.l2), 0.0)
 
     for _ in range(how.passes):
-        for y, places in rows:
+        for y, (places,) in zip(marks, rows):
             own_z, own_n = z[places], n[places]
             w, b = weight(own_z, own_n, how.l1), float(weight(bias_z, bias_n, 0.0))
             g = float(_sigmoid(w.sum() + b)) - y
@@ -112,26 +112,31 @@ def _fit(rows: list[tuple[float, np.ndarray]], how: Ftrl) -> Weights:
     return Weights(places.astype(np.int32), values.astype(np.float32), float(weight(bias_z, bias_n, 0.0)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_ROWS, how: Ftrl = Ftrl()) -> Weights:
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    max_rows: int = MAX_ROWS,
+    how: Ftrl = Ftrl(),
+    held_features: int = HELD_FEATURES,
+) -> Weights:
     """Train on at most ``max_rows`` labelled documents; one task trains, no text reaches the driver.
 
-    Rows are taken in the order of a hash until they have ``MAX_FEATURES`` features. Without any usable
-    labelled row all weights are 0, every text scores 0.5 and ``toxic`` marks none.
+    Every row of the sample is used, however long: features beyond ``held_features`` are in a temporary
+    file of the task. Without any usable labelled row all weights are 0, every text scores 0.5 and
+    ``toxic`` marks none.
     """
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, room = [], MAX_FEATURES
+        marks, rows = [], Held(held_features)
         for batch in batches:
-            y = batch.column("y").to_pylist()
+            marks += batch.column("y").to_pylist()
             for piece in array_slices(batch.column("text"), SLICE_BYTES):
-                for mark, places in zip(y, _distinct(piece)):
-                    room -= len(places)
-                    if room >= 0:
-                        rows.append((mark, places))
-                y = y[len(piece) :]
-        found = _fit(rows, how)
+                for places in _distinct(piece):
+                    rows.add(places)
+        found = _fit(marks, rows, how)
         yield pa.RecordBatch.from_pydict(
-            {"places": [found.places.tobytes()], "weights": [found.values.tobytes()], "bias": [found.bias], "learnt": [bool(rows)]}
+            {"places": [found.places.tobytes()], "weights": [found.values.tobytes()], "bias": [found.bias], "learnt": [bool(marks)]}
         )
 
     rows = sample(docs, labels, label, max_rows).mapInArrow(train, "places binary, weights binary, bias double, learnt boolean").collect()

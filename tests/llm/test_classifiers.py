@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,20 @@ def test_sample_is_bounded_and_by_hash(spark):
     assert sample(docs, marks, "toxic", 10_000).count() == 500
 
 
+@pytest.mark.parametrize("held", [0, 100, 1_000])
+def test_long_rows_are_learnt_from(spark, held):
+    """What doesn't fit in memory is spilled: the model is that of all rows."""
+    rows = [(i, f"stone{i} river " * (400 if i % 7 == 0 else 12) + ("moron loser" if i % 2 else "kind word")) for i in range(120)]
+    docs, marks = odd_docs(spark, rows), spark.createDataFrame([(i, 1 - i % 2, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    spilled, whole = toxicity.fit(docs, marks, held_features=held), toxicity.fit(docs, marks)
+    assert len(whole.places) and whole.places.tolist() == spilled.places.tolist()
+    assert whole.values.tolist() == spilled.values.tolist() and whole.bias == spilled.bias
+    spilled, whole = quality.fit(docs, marks, held_numbers=held), quality.fit(docs, marks)
+    assert np.abs(whole.words).max() > 0
+    assert whole.words.tolist() == spilled.words.tolist() and whole.runs.tolist() == spilled.runs.tolist()
+    assert (whole.bias, whole.slope, whole.shift) == (spilled.bias, spilled.slope, spilled.shift)
+
+
 def test_fold_of_a_null_id(spark):
     rows = odd_docs(spark, [(None, "a"), (12, "b")]).select("doc_id", fold("doc_id", 4).alias("f")).collect()
     assert {r.doc_id: r.f for r in rows} == {None: zlib.crc32(b"") % 4, 12: crc(12) % 4}
