@@ -1,7 +1,7 @@
 """Quality rules: counts of a text, and a calibrated classifier with fixed thresholds.
 
-The classifier is a logistic regression over the frequencies of hashed words and of hashed runs of
-three bytes, trained on labelled rows; its scores become probabilities by a logistic curve fitted to
+The classifier is a logistic regression over the frequencies of hashed words, pairs and triples of
+neighbouring words, and runs of three characters, trained on labelled rows; its scores become probabilities by a logistic curve fitted to
 labelled rows that the regression didn't see. Counts and scores are made together, in Arrow batches.
 """
 
@@ -17,12 +17,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .labelled import Held, sample
-from .spans import NEWLINE, SPACES, Spans, array_slices, byte_set, spans, sums, texts, windows
+from .spans import NEWLINE, SPACES, Spans, array_slices, byte_set, mix, spans, sums, texts, windows
 
 BITS = 14
 PLACES = 1 << BITS
-#: Added to the number of words and of bytes: frequencies of short texts shrink towards 0.
+#: Neighbouring words in an n-gram, and characters in a run.
+ORDERS = (1, 2, 3)
+RUN = 3
+#: Added to the number of n-grams of words and of runs: frequencies of short texts shrink towards 0.
 SMOOTH = 20, 100
+#: Tables of the model, in the order of ``_places``.
+TABLES = len(ORDERS) + 1
 #: Most labelled rows that are used for training and calibration.
 MAX_ROWS = 8_000
 #: Most numbers of their features that are held in memory, two a feature; the rest is in a temporary file.
@@ -50,7 +55,7 @@ RESULT = (
 
 @dataclass
 class Model:
-    """Weights of the words, weights of the byte runs, bias; slope and shift of the calibration."""
+    """Weights of the n-grams of words by order, weights of the runs, bias; slope and shift of the calibration."""
 
     words: np.ndarray
     runs: np.ndarray
@@ -63,12 +68,37 @@ def _owners(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
-def _places(data: np.ndarray, words: Spans) -> tuple[np.ndarray, np.ndarray]:
-    """Place of every word, and of the three bytes that begin at every byte."""
-    wide = data.astype(np.uint32)
-    padded = np.concatenate([wide, np.zeros(2, np.uint32)])
-    runs = padded[:-2] * np.uint32(0x9E3779B1) + padded[1:-1] * np.uint32(0x85EBCA77) + padded[2:] * np.uint32(0xC2B2AE3D)
-    return words.hashes >> np.uint64(64 - BITS), (runs * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS)
+def _joined(values: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``width`` neighbours within a text, and offsets of each text's runs."""
+    made = np.maximum(np.diff(offsets) - width + 1, 0)
+    cuts = np.concatenate([[0], np.cumsum(made)])
+    at = np.repeat(offsets[:-1] - cuts[:-1], made) + np.arange(cuts[-1])
+    runs = values[at]
+    for k in range(1, width):
+        runs = mix(runs) + values[at + k]
+    return mix(runs), cuts
+
+
+def _characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of every character as one number, and offsets of each text's characters."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    codes = data[starts].astype(np.uint64)
+    wide = np.flatnonzero(codes >= 0xC0)
+    ends = np.append(starts[1:], len(data))[wide]
+    for k in range(1, 4):
+        inside = wide[starts[wide] + k < ends]
+        codes[inside] |= data[starts[inside] + k].astype(np.uint64) << np.uint64(8 * k)
+    return codes, np.searchsorted(starts, offsets)
+
+
+def _places(data: np.ndarray, offsets: np.ndarray, words: Spans) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Places of the n-grams of words by order, then of the runs of characters; each with offsets and smoothing."""
+    shift = np.uint64(64 - BITS)
+    for order in ORDERS:
+        hashes, cuts = (words.hashes, words.offsets) if order == 1 else _joined(words.hashes, words.offsets, order)
+        yield (hashes >> shift).astype(np.int64), cuts, SMOOTH[0]
+    runs, cuts = _joined(*_characters(data, offsets), RUN)
+    yield (runs >> shift).astype(np.int64), cuts, SMOOTH[1]
 
 
 def counts(data: np.ndarray, offsets: np.ndarray, words: Spans) -> dict[str, np.ndarray]:
@@ -121,18 +151,17 @@ def _sigmoid(margin: np.ndarray) -> np.ndarray:
 
 
 def _frequencies(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Places with their frequency for each text: words below PLACES, byte runs from there on."""
+    """Places with their frequency for each text, table after table."""
     data, offsets = texts(column)
-    words = spans(data, offsets, SPACES)
-    word_places, run_places = _places(data, words)
+    tables = list(_places(data, offsets, spans(data, offsets, SPACES)))
     found = []
     for text in range(len(column)):
-        own = word_places[words.offsets[text] : words.offsets[text + 1]].astype(np.int64)
-        run = run_places[offsets[text] : offsets[text + 1]].astype(np.int64) + PLACES
-        a, n = np.unique(own, return_counts=True)
-        b, m = np.unique(run, return_counts=True)
-        values = np.concatenate([n / (len(own) + SMOOTH[0]), m / (len(run) + SMOOTH[1])])
-        found.append((np.concatenate([a, b]).astype(np.int32), values.astype(np.float32)))
+        places, values = [], []
+        for number, (all_places, cuts, smooth) in enumerate(tables):
+            own, times = np.unique(all_places[cuts[text] : cuts[text + 1]], return_counts=True)
+            places.append(own + number * PLACES)
+            values.append(times / (cuts[text + 1] - cuts[text] + smooth))
+        found.append((np.concatenate(places).astype(np.int32), np.concatenate(values).astype(np.float32)))
     return found
 
 
@@ -174,7 +203,7 @@ def _fit(y: np.ndarray, rows: _Chunks | list[tuple[np.ndarray, np.ndarray]], ste
         for row in rows:
             chunks.add(row)
         chunks.close()
-    size = 2 * PLACES
+    size = TABLES * PLACES
     mean = sum(np.bincount(places, values, size) for _, _, places, values in chunks) / len(y)
     square = sum(np.bincount(places, values * values, size) for _, _, places, values in chunks) / len(y)
     scale = 1.0 / (np.sqrt(np.maximum(square - mean**2, 0)) + 1e-4)
@@ -204,7 +233,7 @@ def _fit(y: np.ndarray, rows: _Chunks | list[tuple[np.ndarray, np.ndarray]], ste
     use = held if held.any() else ~held
     slope, shift = _calibrate(margins[use], y[use])
     w = (w * scale).astype(np.float32)
-    return Model(w[:PLACES], w[PLACES:], float(bias), slope, shift)
+    return Model(w[:-PLACES], w[-PLACES:], float(bias), slope, shift)
 
 
 def _calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -245,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
 
     found = sample(docs, labels, label, max_rows).mapInArrow(train, "words binary, runs binary, rest array<double>").collect()
     if not found:
-        return Model(np.zeros(PLACES, np.float32), np.zeros(PLACES, np.float32), 0.0, 1.0, 0.0)
+        return Model(np.zeros(len(ORDERS) * PLACES, np.float32), np.zeros(PLACES, np.float32), 0.0, 1.0, 0.0)
     row = found[0]
     return Model(np.frombuffer(row.words, np.float32), np.frombuffer(row.runs, np.float32), *row.rest)
 
@@ -254,13 +283,10 @@ def _judged(column: pa.Array, model: Model) -> pa.StructArray:
     data, offsets = texts(column)
     words = spans(data, offsets, SPACES)
     base = counts(data, offsets, words)
-    word_places, run_places = _places(data, words)
-    n_bytes = np.diff(offsets)
-    margins = (
-        sums(model.words[word_places].astype(np.float64), words.offsets) / (base["n_words"] + SMOOTH[0])
-        + sums(model.runs[run_places].astype(np.float64), offsets) / (n_bytes + SMOOTH[1])
-        + model.bias
-    )
+    margins = np.full(len(column), model.bias)
+    weights = [*model.words.reshape(-1, PLACES), model.runs]
+    for own, (places, cuts, smooth) in zip(weights, _places(data, offsets, words)):
+        margins += sums(own[places].astype(np.float64), cuts) / (np.diff(cuts) + smooth)
     probability = _sigmoid(model.slope * margins + model.shift)
     failed = (base["n_words"] < MIN_WORDS) | (100 * base["n_repeat_words"] > MAX_REPEATED_PERCENT * base["n_words"])
     columns = {name: pa.array(values, pa.int64()) for name, values in base.items()}

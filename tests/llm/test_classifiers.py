@@ -134,6 +134,25 @@ def test_quality_of_odd_rows(spark):
     assert empty_docs(spark).select(quality.judge(spark, model, F.col("text"))).collect() == []
 
 
+def test_quality_sees_phrases_and_characters():
+    import pyarrow as pa
+
+    def tables(text):
+        places = quality._frequencies(pa.array([text]))[0][0]
+        return [set(places[places // quality.PLACES == k].tolist()) for k in range(quality.TABLES)]
+
+    one, two = tables("the river runs to the sea"), tables("the sea runs to the river")
+    assert one[0] == two[0] and one[1] != two[1] and one[2] != two[2]
+    # A run covers three characters of any length, and none crosses into the next text.
+    assert [len(own) for own in tables("漢字かな")] == [1, 0, 0, 2]
+    assert [len(own) for own in tables("a🙂")] == [1, 0, 0, 0]
+    texts = ["xy", "the 漢字 of stone", "", "z", "é à ü"]
+    together = quality._frequencies(pa.array(texts))
+    for text, (places, values) in zip(texts, together):
+        alone = quality._frequencies(pa.array([text]))[0]
+        assert places.tolist() == alone[0].tolist() and values.tolist() == alone[1].tolist()
+
+
 # language
 
 
