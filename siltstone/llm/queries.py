@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query, table
-from . import byte_bpe, chat, language, packing, quality, token_counts, toxicity
+from . import alignment, byte_bpe, chat, language, licenses, packing, quality, token_counts, toxicity
 from .exact_dedup import exact_dedup
 from .hash_tree import EIGHT, grown, shards
 from .jaccard_join import jaccard_components
 from .labelled import fold
+from .vector_codes import compress
 
 TOXIC_FROM = 0.3
 
@@ -158,6 +159,62 @@ def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(table(spark, folder, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.withColumn("n_spans", F.size("spans")).drop("spans")
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = compress(table(spark, folder, "embeddings"))
+    return found.rows.drop("label").withColumn("codebooks_sha256", F.lit(found.digest))
+
+
+def _vector_codes_sql() -> str:
+    """Two rounds of assignment and means, then the last assignment; all in integers."""
+    nearest = """
+nearest{r} AS (
+    SELECT r, p, min({{'d': list_sum(list_transform(list_zip(part, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': entry}}) AS best
+    FROM parts JOIN book{r} USING (p) GROUP BY r, p
+)"""
+    book = """
+sums{r} AS (
+    SELECT p, best.e AS entry, k, sum(part[k]) AS s, count(*) AS n
+    FROM nearest{b} JOIN parts USING (r, p), w, LATERAL (SELECT unnest(range(1, width + 1)) AS k) GROUP BY ALL
+),
+means{r} AS (
+    SELECT p, entry, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY k) AS c FROM sums{r} GROUP BY p, entry
+),
+book{r} AS (
+    SELECT p, entry, coalesce(m.c, b.c) AS c FROM book{b} b LEFT JOIN means{r} m USING (p, entry)
+)"""
+    steps = [nearest.format(r=0)]
+    for r in (1, 2):
+        steps += [book.format(r=r, b=r - 1), nearest.format(r=r)]
+    return f"""
+WITH vectors AS (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+w AS (SELECT max(len(v)) // 16 AS width FROM vectors),
+parts AS (
+    SELECT r, p, list_slice(v, p * width + 1, (p + 1) * width) AS part FROM vectors, w, LATERAL (SELECT unnest(range(16)) AS p)
+),
+book0 AS (SELECT p, r - 1 AS entry, part AS c FROM parts WHERE r <= 64),{",".join(steps)},
+coded AS (
+    SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM nearest2 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, entry)) FROM book2) AS codebooks_sha256
+FROM vectors JOIN coded USING (r)
+"""
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignments(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": Query(op1_exact_dedup, OP1_SQL),
     "op2_jaccard_join": Query(op2_jaccard_join),
@@ -169,4 +226,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": Query(op8_quality_rules),
     "op9_language": Query(op9_language),
     "op10_best_fit": Query(op10_best_fit),
+    "op11_license_scan": Query(op11_license_scan),
+    "op12_vector_codes": Query(op12_vector_codes, _vector_codes_sql()),
+    "op13_alignment": Query(op13_alignment),
 }

@@ -1,0 +1,177 @@
+"""Alignment of two tokenizers against byte by byte comparisons."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from odd import empty_docs, odd_docs, odd_rows, prose
+from siltstone.llm import alignment
+from siltstone.llm.alignment import Csr, align, alignments, byte_letters
+
+MODELS = alignment.load()
+CODERS = MODELS.coders
+
+
+def places(ids, table):
+    ends = np.cumsum([len(table[i]) for i in ids]).tolist()
+    return list(zip([0, *ends[:-1]], ends)) if ids else []
+
+
+def encode(text):
+    """Both encodings by the contract: one text at a time, bytes joined and compared."""
+    if not text:
+        return [], []
+    a = CODERS.first.encode(" " + text, add_special_tokens=False).ids
+    b = CODERS.second.encode(text)
+    whole = b" " + text.encode()
+    if b"".join(CODERS.a_bytes[i] for i in a) != whole or b"".join(CODERS.b_bytes[i] for i in b) != whole:
+        return [], []
+    return a, b
+
+
+def plain(rows):
+    """The contract's columns of every row, by comparing spans."""
+    counts, seen = Counter(), []
+    for doc_id, text in rows:
+        a, b = encode(text)
+        spans_a, spans_b = places(a, CODERS.a_bytes), places(b, CODERS.b_bytes)
+        links, low = [], 0
+        for i, (start, end) in zip(a, spans_a):
+            while spans_b[low][1] <= start:
+                low += 1
+            at = low
+            while at < len(b) and spans_b[at][0] < end:
+                links.append((i, b[at]))
+                at += 1
+        both = {end for _, end in spans_a} & {end for _, end in spans_b}
+        groups, first = [], 0
+        for end in sorted(both):
+            group = [[str(i) for i, (s, e) in zip(ids, spans) if first <= s and e <= end] for ids, spans in ((a, spans_a), (b, spans_b))] if len(a) < 3000 else None
+            groups.append("|".join(map(",".join, group)) if group else None)
+            first = end
+        counts.update(set(links))
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups and None not in groups else None if groups else ""
+        seen.append((doc_id, len(a), len(b), len(groups), links, digest))
+    most = defaultdict(int)
+    for (i, _), n in counts.items():
+        most[i] = max(most[i], n)
+    return [
+        (d, n_a, n_b, n_g, len(links), sum(counts[k] == most[k[0]] for k in links), sum(counts[k] for k in links), digest)
+        for d, n_a, n_b, n_g, links, digest in seen
+    ]
+
+
+def got(frame):
+    return [(r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in frame.collect()]
+
+
+def texts():
+    return [
+        *odd_rows(), (300, "a ▁ mark"), (301, "<|endoftext|> and <s> </s> <unk> <0x41>"), (302, "tab\tnul\x00 bell\x07   é 漢字🙂‍👩"),
+        (303, "   three spaces   and  more   "), (304, " " * 700), (305, "\n\n\n"), (306, "ﬁ ｆｕｌｌ Å"), (307, prose(6, 300)), (None, prose(6, 40)),
+    ]
+
+
+def compared(found, expected):
+    without = [each[:-1] for each in found], [each[:-1] for each in expected]
+    assert sorted(without[0], key=repr) == sorted(without[1], key=repr)
+    digests = {each[:-1]: each[-1] for each in found}
+    assert all(digest is None or digests[tuple(rest)] == digest for *rest, digest in expected)
+
+
+@pytest.fixture(scope="module")
+def expected():
+    return plain(texts())
+
+
+@pytest.mark.parametrize("most", [alignment.HEAD, 50, 0])
+def test_equals_plain_comparison(spark, expected, most):
+    """However many pairs are broadcast: all, the most frequent, or none."""
+    compared(got(alignments(odd_docs(spark, texts()), MODELS, most)), expected)
+
+
+def test_small_slices(spark, expected, monkeypatch):
+    monkeypatch.setattr(alignment, "SLICE_TOKENS", 50)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 100)
+    compared(got(alignments(odd_docs(spark, texts()), MODELS)), expected)
+
+
+def test_texts_without_tokens(expected):
+    zero = {d: rest for d, *rest in expected if d in (1, 2, 300)}
+    assert set(map(tuple, zero.values())) == {(0, 0, 0, 0, 0, 0, "")}
+    assert all(each[1] for each in expected if each[0] in (301, 302, 303, 304, 305))
+
+
+def test_empty_table(spark):
+    assert got(alignments(empty_docs(spark), MODELS)) == []
+
+
+def test_counts_sent_in_parts(spark):
+    docs = odd_docs(spark, texts())
+    tokens = alignment.encoded(docs, MODELS)
+    whole, parts = (sorted(alignment.pair_counts(tokens, MODELS, held).collect()) for held in (10**6, 10))
+    assert whole == parts and len(whole) > 100
+
+
+def test_bytes_of_tokens():
+    assert len(CODERS.a_bytes) == 50_257 and len(CODERS.b_bytes) == 32_000
+    assert sorted(token for token in CODERS.a_bytes if len(token) == 1) == [bytes([b]) for b in range(256)]
+    assert {CODERS.b_bytes[i] for i in range(32_000) if CODERS.second.is_byte(i)} == {bytes([b]) for b in range(256)}
+    assert len(set(byte_letters().values())) == 256
+
+
+def matrix(csr):
+    dense = np.zeros((len(csr.starts) - 1, csr.width), np.int64)
+    dense[csr.rows(), csr.columns] = csr.values
+    return dense
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.data())
+def test_products(data):
+    n, k, m = (data.draw(st.integers(0, 6)) for _ in range(3))
+    dense = [np.array(data.draw(st.lists(st.lists(st.integers(0, 2), min_size=w, max_size=w), min_size=h, max_size=h)), np.int64).reshape(h, w) for h, w in ((n, k), (k, m))]
+
+    def sparse(d):
+        rows, columns = np.nonzero(d)
+        return Csr(np.concatenate([[0], np.cumsum((d > 0).sum(axis=1))]).astype(np.int64), columns, d[rows, columns], d.shape[1])
+
+    a, b = map(sparse, dense)
+    assert (matrix(a.product(b)) == dense[0] @ dense[1]).all()
+    assert (matrix(a.transposed()) == dense[0].T).all()
+    assert a.sizes(b).tolist() == ((dense[0] > 0).astype(int) @ (dense[1] > 0).astype(int)).sum(axis=1).tolist()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(1, 4), min_size=1, max_size=6), st.randoms(use_true_random=False)), max_size=4))
+def test_links_and_shared_groups(given):
+    """Several texts in one product: links by overlap, pairs by group, and nothing across texts."""
+    a, b = [], []
+    for lengths, rng in given:
+        total, other = sum(lengths), []
+        while total:
+            other.append(rng.randint(1, min(4, total)))
+            total -= other[-1]
+        a.append(lengths)
+        b.append(other)
+    flat_a, flat_b = (np.array([x for own in side for x in own], np.int64) for side in (a, b))
+    found = align(flat_a, np.array([len(own) for own in a], np.int64), flat_b, np.array([len(own) for own in b], np.int64))
+    ends_a, ends_b = np.cumsum(flat_a), np.cumsum(flat_b)
+    over = {
+        (i, j): shared
+        for i in range(len(flat_a))
+        for j in range(len(flat_b))
+        if (shared := min(ends_a[i], ends_b[j]) - max(ends_a[i] - flat_a[i], ends_b[j] - flat_b[j])) > 0
+    }
+    assert dict(zip(zip(found.links.rows().tolist(), found.links.columns.tolist()), found.links.values.tolist())) == over
+    both = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
+    group = lambda end: sum(e < end for e in both)
+    together = sorted((i, j) for i in range(len(flat_a)) for j in range(len(flat_b)) if group(ends_a[i]) == group(ends_b[j]))
+    pairs = [pair for rows, columns in found.shared(3) for pair in zip(rows.tolist(), columns.tolist())]
+    assert sorted(pairs) == together
+    assert found.shared_counts().sum() == len(together)
+    assert found.group_starts[-1] == len(both)
