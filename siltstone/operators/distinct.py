@@ -36,14 +36,19 @@ def window_label(end: Column) -> Column:
     return (F.expr(_EPOCH) + F.make_dt_interval(secs=end.cast("decimal(18, 6)"))).cast("string")
 
 
-def panes(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
-    """``pane`` (its first second) and ``value`` of every row with a time and a value."""
+def timed_panes(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
+    """``pane`` (its first second), ``second`` and ``value`` of every row with a time and a value."""
     width = gcd(length, slide)
     text = F.col(value).cast("string")
-    second = epoch_seconds(df, ts)
-    return df.filter(present(text) & F.col(ts).isNotNull()).select(
-        (second - F.pmod(second, F.lit(width))).alias("pane"), text.alias("value")
+    rows = df.filter(present(text) & F.col(ts).isNotNull()).select(
+        epoch_seconds(df, ts).alias("second"), text.alias("value")
     )
+    return rows.select((F.col("second") - F.pmod("second", F.lit(width))).alias("pane"), "second", "value")
+
+
+def panes(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
+    """``pane`` and ``value`` of every row with a time and a value."""
+    return timed_panes(df, ts, value, length, slide).select("pane", "value")
 
 
 def pane_values(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:
@@ -57,7 +62,7 @@ def pane_bits(df: DataFrame, ts: str, value: str, length: int, slide: int) -> Da
     return hashed.groupBy("pane").agg(*zero_runs("x"))
 
 
-def _window_ends(length: int, slide: int) -> Column:
+def window_ends(length: int, slide: int) -> Column:
     """Ends of the windows that cover a pane; windows start at multiples of ``slide``."""
     last = F.col("pane") - F.pmod(F.col("pane"), F.lit(slide))
     starts = F.transform(F.sequence(F.lit(0), F.lit((length - 1) // slide)), lambda k: last - k * slide)
@@ -67,26 +72,35 @@ def _window_ends(length: int, slide: int) -> Column:
 
 def window_times(panes: DataFrame, length: int, slide: int) -> DataFrame:
     """Labels of the windows that cover some of the panes."""
-    return panes.select(_window_ends(length, slide)).distinct().select(window_label(F.col("end")).alias("time"))
+    return panes.select(window_ends(length, slide)).distinct().select(window_label(F.col("end")).alias("time"))
 
 
 def values_by_window(pairs: DataFrame, length: int, slide: int) -> DataFrame:
     """Distinct ``(end, value)`` from ``(pane, value)``."""
-    return pairs.select(_window_ends(length, slide), "value").distinct()
+    return pairs.select(window_ends(length, slide), "value").distinct()
+
+
+def counts_by_end(pairs: DataFrame, length: int, slide: int) -> DataFrame:
+    """``end``, ``ground_truth`` and the runs from ``(pane, value)``."""
+    hashed = values_by_window(pairs, length, slide).withColumn("x", text_mod("value", FM_P))
+    return hashed.groupBy("end").agg(F.count(F.lit(1)).alias("ground_truth"), *zero_runs("x"))
 
 
 def counts_by_window(pairs: DataFrame, length: int, slide: int) -> DataFrame:
     """``time``, ``ground_truth`` and the runs from distinct ``(pane, value)``."""
-    hashed = values_by_window(pairs, length, slide).withColumn("x", text_mod("value", FM_P))
-    counted = hashed.groupBy("end").agg(F.count(F.lit(1)).alias("ground_truth"), *zero_runs("x"))
+    counted = counts_by_end(pairs, length, slide)
     return counted.select(window_label(F.col("end")).alias("time"), "ground_truth", *ZERO_COLUMNS)
 
 
+def bits_by_end(bits: DataFrame, length: int, slide: int) -> DataFrame:
+    """``end`` and the runs from runs per pane."""
+    spread = bits.select(window_ends(length, slide), *ZERO_COLUMNS)
+    return spread.groupBy("end").agg(*[F.max(z).alias(z) for z in ZERO_COLUMNS])
+
+
 def bits_by_window(bits: DataFrame, length: int, slide: int) -> DataFrame:
     """``time`` and the runs from runs per pane."""
-    spread = bits.select(_window_ends(length, slide), *ZERO_COLUMNS)
-    longest = spread.groupBy("end").agg(*[F.max(z).alias(z) for z in ZERO_COLUMNS])
-    return longest.select(window_label(F.col("end")).alias("time"), *ZERO_COLUMNS)
+    return bits_by_end(bits, length, slide).select(window_label(F.col("end")).alias("time"), *ZERO_COLUMNS)
 
 
 def window_distinct(df: DataFrame, ts: str, value: str, length: int, slide: int) -> DataFrame:

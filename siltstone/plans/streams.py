@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.sampling import popular_tags, tagged
 from ..session import new_folder
-from ..streaming import distinct, membership, sampling
+from ..streaming import closing, distinct, membership, sampling
 from . import membership as filters
 from . import samples, windows
 from .registry import Query, table
@@ -102,7 +102,63 @@ def stream_popular_tags(spark: SparkSession, folder: str) -> DataFrame:
     return popular_tags(_sample(spark, folder), "tags")
 
 
+# Seconds that a window waits for values after its end.
+DELAY = 24 * 3600
+
+
+def _two_deliveries(spark: SparkSession, folder: str) -> closing.ClosingWindows:
+    """Purchases are delivered after all other events, so theirs come late."""
+    events = table(spark, folder, "events")
+    path = new_folder(spark, "closing-windows")
+    found = closing.ClosingWindows(f"{path}/state", "ts", "user_id", windows.LENGTH, windows.SLIDE, DELAY)
+    late = F.col("event_type").eqNullSafe("purchase")
+    for name, part in (("first", events.where(~late)), ("second", events.where(late))):
+        part.write.parquet(f"{path}/in/{name}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/in/*")
+        finish(found.writer(stream, f"{path}/checkpoint"))
+    return found
+
+
+def closing_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """All windows after both deliveries, those that had closed corrected."""
+    return _two_deliveries(spark, folder).rows(spark)
+
+
+def closing_windows_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of the second delivery for windows that had closed."""
+    return _two_deliveries(spark, folder).late(spark)
+
+
+def closing_windows_first(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows as they closed, before the second delivery corrects them."""
+    return _two_deliveries(spark, folder).closed(spark).select("time", "ground_truth")
+
+
+_CLOSED_BY = f"(SELECT max(ts) - INTERVAL '{DELAY} seconds' FROM events WHERE event_type IS DISTINCT FROM 'purchase')"
+_FIRST_CLOSED = f"""
+  SELECT time, count(*) AS ground_truth
+  FROM ({windows.pairs_sql("event_type IS DISTINCT FROM 'purchase'")})
+  WHERE CAST(time AS TIMESTAMP) <= {_CLOSED_BY} GROUP BY time
+"""
+# A window of which the first delivery had nothing opens with the second, and closes with it.
+_THEN_CLOSED = f"""
+  SELECT time, count(*) AS ground_truth FROM ({windows.pairs_sql("true")})
+  WHERE CAST(time AS TIMESTAMP) > {_CLOSED_BY}
+    AND CAST(time AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL '{DELAY} seconds' FROM events)
+  GROUP BY time
+"""
+
 QUERIES = {
+    "closing_windows": Query(closing_windows, windows.QUERIES["fm_window_kmeans"].sql),
+    "closing_windows_late": Query(
+        closing_windows_late,
+        f"""
+        SELECT time, u AS value FROM ({windows.pairs_sql("event_type = 'purchase'")})
+        WHERE CAST(time AS TIMESTAMP) <= {_CLOSED_BY}
+        GROUP BY time, u
+        """,
+    ),
+    "closing_windows_first": Query(closing_windows_first, f"{_FIRST_CLOSED} UNION ALL {_THEN_CLOSED}"),
     "stream_windows": Query(stream_windows, windows.QUERIES["fm_window_kmeans"].sql),
     "stream_estimates": Query(stream_estimates, windows.QUERIES["fm_window_estimate"].sql),
     "stream_predictions": Query(stream_predictions, filters.QUERIES["bloom_probe"].sql),

@@ -45,15 +45,20 @@ def fm_window_estimate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LAST_SLICE = f"time_bucket(INTERVAL '{SLIDE} seconds', ts, TIMESTAMP '1970-01-01')"
-_PAIRS_SQL = f"""
-  SELECT strftime(window_start + INTERVAL '{LENGTH} seconds', '%Y-%m-%d %H:%M:%S') AS time, u
-  FROM (
-    SELECT DISTINCT CAST(user_id AS VARCHAR) AS u,
-           unnest(generate_series({_LAST_SLICE} - INTERVAL '{LENGTH - SLIDE} seconds',
-                                  {_LAST_SLICE}, INTERVAL '{SLIDE} seconds')) AS window_start
-    FROM events
-  )
-"""
+def pairs_sql(chosen: str) -> str:
+    """Distinct (time, user) of the chosen events; a user is named once for each slice with the user."""
+    return f"""
+      SELECT DISTINCT strftime(window_start + INTERVAL '{LENGTH} seconds', '%Y-%m-%d %H:%M:%S') AS time, u
+      FROM (
+        SELECT DISTINCT CAST(user_id AS VARCHAR) AS u,
+               unnest(generate_series({_LAST_SLICE} - INTERVAL '{LENGTH - SLIDE} seconds',
+                                      {_LAST_SLICE}, INTERVAL '{SLIDE} seconds')) AS window_start
+        FROM events WHERE {chosen}
+      )
+    """
+
+
+_PAIRS_SQL = pairs_sql("true")
 
 
 def _zeros_sql(a: int, b: int) -> str:

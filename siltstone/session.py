@@ -50,5 +50,10 @@ def remove(spark: SparkSession, path: str) -> None:
     inner = f"{shared_folder(spark)}/siltstone/"
     if not path.startswith(inner) or path == inner:
         raise ValueError(f"{path} isn't below {inner}")
+    delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a file system that Spark reaches; nothing happens if there is none."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
