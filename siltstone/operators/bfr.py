@@ -20,6 +20,7 @@ from ..functions.vectors import squares, vector_sum
 from ..session import BROADCAST_MAX_ROWS, new_folder, remove
 from .clusters import close_pairs, first_targets
 from .kmeans import KMeansResult, kmeans
+from .positions import with_place
 from .nearest import (
     ClusterStats,
     TaskSums,
@@ -78,7 +79,9 @@ class BfrResult:
 
 
 @dataclass
-class _Sets:
+class Sets:
+    """What is known between two chunks: statistics of both kinds of clusters, and where the points are."""
+
     spark: SparkSession
     folder: str
     k: int
@@ -96,7 +99,7 @@ class _Sets:
 
     def write(self, rows: DataFrame) -> DataFrame:
         path = f"{self.folder}/{len(self.tables):06d}"
-        rows.write.parquet(path)
+        rows.write.mode("overwrite").parquet(path)
         self.tables.append(path)
         return self.spark.read.schema(TABLE_SCHEMA).parquet(path)
 
@@ -104,7 +107,7 @@ class _Sets:
         """Points that several passes read, written once."""
         path = f"{self.folder}/pool-{self.pools:06d}"
         self.pools += 1
-        points.select("id", "vec").write.parquet(path)
+        points.select("id", "vec").write.mode("overwrite").parquet(path)
         return self.spark.read.schema("id bigint, vec array<double>").parquet(path)
 
     def new_keys(self, count: int) -> np.ndarray:
@@ -138,25 +141,37 @@ def bfr(
     spark = points.sparkSession
     if chunks is None:
         chunks = [r.chunk for r in points.select("chunk").distinct().orderBy("chunk").collect()]
-    sets = _Sets(spark, new_folder(spark, "bfr"), k, seed, limits)
-    for number, chunk in enumerate(chunks):
+    sets = Sets(spark, new_folder(spark, "bfr"), k, seed, limits)
+    for chunk in chunks:
         part = points.filter(F.col("chunk") == chunk).select("id", "vec")
-        if number == 0:
-            rest = _start(sets, part, include_previous)
-            rounds = limits.first_rest_rounds
-        else:
-            rest, rounds = part, limits.retained_rounds
-        if number > 0 or assign_first:
-            rest = _absorb(sets, rest, alpha)
-        _compress(sets, rest, rounds, include_previous)
-        if number > 0:
-            _merge_compression(sets, alpha)
-        if number + 1 == len(chunks):
-            _merge_into_discard(sets, alpha, match)
-        _record(sets, number + 1)
+        fold_chunk(sets, part, alpha, assign_first, include_previous)
+    return finished(sets, alpha, match)
+
+
+def fold_chunk(sets: Sets, part: DataFrame, alpha: float, assign_first: bool = False, include_previous: bool = False) -> None:
+    """One round: take the points ``(id, vec)`` of a chunk into the sets."""
+    number = len(sets.records)
+    if number == 0:
+        rest = _start(sets, part, include_previous)
+        rounds = sets.limits.first_rest_rounds
+    else:
+        rest, rounds = part, sets.limits.retained_rounds
+    if number > 0 or assign_first:
+        rest = _absorb(sets, rest, alpha)
+    _compress(sets, rest, rounds, include_previous)
+    if number > 0:
+        _merge_compression(sets, alpha)
+    _record(sets, number + 1)
+
+
+def finished(sets: Sets, alpha: float, match: str = "first") -> BfrResult:
+    """The result after the last chunk: CS clusters close to a DS cluster join it, which the last round's record shows."""
+    if sets.records:
+        _merge_into_discard(sets, alpha, match)
+        _record(sets, sets.records.pop()[0])
     return BfrResult(
         _labels(sets),
-        spark.createDataFrame(sets.records, ROUND_SCHEMA),
+        sets.spark.createDataFrame(sets.records, ROUND_SCHEMA),
         _summaries(sets),
         sets.folder,
     )
@@ -166,7 +181,7 @@ def _threshold(stats: ClusterStats, alpha: float) -> float:
     return alpha * float(np.sqrt(stats.dimensions))
 
 
-def _start(sets: _Sets, chunk: DataFrame, include_previous: bool) -> DataFrame:
+def _start(sets: Sets, chunk: DataFrame, include_previous: bool) -> DataFrame:
     """Discard clusters from the first points; returns the rest of the chunk."""
     total = chunk.count()
     limits = sets.limits
@@ -203,7 +218,7 @@ def _as_table(rows: DataFrame) -> DataFrame:
     )
 
 
-def _absorb(sets: _Sets, chunk: DataFrame, alpha: float) -> DataFrame:
+def _absorb(sets: Sets, chunk: DataFrame, alpha: float) -> DataFrame:
     """Assign the chunk to DS, else CS, update both; returns the points left over."""
     both = sets.discard.append(sets.compression)
     if not len(both):
@@ -296,7 +311,7 @@ def _updated(stats: ClusterStats, updates: dict) -> ClusterStats:
     return ClusterStats(stats.key, n, mean, mean_square)
 
 
-def _compress(sets: _Sets, rest: DataFrame, rounds: int, include_previous: bool) -> None:
+def _compress(sets: Sets, rest: DataFrame, rounds: int, include_previous: bool) -> None:
     """Cluster the rest with RS: clusters of several points join CS, the others become RS."""
     pool = sets.pool(rest if sets.retained is None else rest.unionByName(sets.retained))
     found = kmeans(
@@ -345,7 +360,7 @@ def _combined(a: ClusterStats, i: int, b: ClusterStats, j: int) -> tuple:
     return total, mean, mean_square
 
 
-def _merge_compression(sets: _Sets, alpha: float) -> None:
+def _merge_compression(sets: Sets, alpha: float) -> None:
     """Merge close CS pairs, weighted by their points, under new keys."""
     cs = sets.compression
     if len(cs) < 2:
@@ -363,12 +378,12 @@ def _merge_compression(sets: _Sets, alpha: float) -> None:
     sets.compression = cs.take(~gone).append(ClusterStats(keys, n, mean, mean_square))
 
 
-def _merge_into_discard(sets: _Sets, alpha: float, match: str) -> None:
+def _merge_into_discard(sets: Sets, alpha: float, match: str) -> None:
     """After the last chunk: CS clusters close to a DS cluster join it."""
     ds, cs = sets.discard, sets.compression
     if not len(ds) or not len(cs):
         return
-    pairs = list(first_targets(cs, ds, _threshold(ds, alpha), match))
+    pairs = list(first_targets(cs, ds, _threshold(ds, alpha), match, sets.spark))
     grown = ClusterStats(ds.key, ds.n.copy(), ds.mean.copy(), ds.mean_square.copy())
     gone = np.zeros(len(cs), bool)
     for i, j in pairs:
@@ -378,12 +393,12 @@ def _merge_into_discard(sets: _Sets, alpha: float, match: str) -> None:
     sets.discard, sets.compression = grown, cs.take(~gone)
 
 
-def _record(sets: _Sets, round_id: int) -> None:
+def _record(sets: Sets, round_id: int) -> None:
     ds, cs = sets.discard, sets.compression
     sets.records.append((round_id, len(ds), ds.points, len(cs), cs.points, sets.n_retained))
 
 
-def _labels(sets: _Sets) -> DataFrame:
+def _labels(sets: Sets) -> DataFrame:
     """Discard cluster of each point, -1 for points of CS and RS."""
 
     def final(key: int) -> int:
@@ -408,13 +423,15 @@ def _labels(sets: _Sets) -> DataFrame:
     return labelled.unionByName(alone)
 
 
-def _summaries(sets: _Sets) -> DataFrame:
+def _summaries(sets: Sets) -> DataFrame:
     ds = sets.discard.frame(sets.spark).withColumn("set", F.lit("DS"))
     cs = sets.compression.frame(sets.spark).withColumn("set", F.lit("CS"))
     return ds.unionByName(cs).select("set", "cluster", "n", "mean", "mean_square")
 
 
 def sorted_members(labels: DataFrame) -> DataFrame:
-    """Members of each cluster in id order, as rows; ranges include the id, so a large cluster
-    spreads over several tasks."""
-    return labels.orderBy("cluster", "id")
+    """Members of each cluster in id order, as rows, with the ``place`` of each from 0.
+
+    Ranges include the id, so a large cluster spreads over several tasks.
+    """
+    return with_place(labels, ["cluster"], [F.asc_nulls_first("id")])

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import moments
-from .nearest import ClusterStats, assign, distances, matrix, nearest_rows, stats_from
+from .matching import greedy_pairs
+from .nearest import ClusterStats, assign, distances, matrix, nearest_rows, stats_from_arrow
 
 PAIRS = "first bigint, second bigint, distance double"
 # Most clusters whose statistics are gathered.
@@ -27,10 +28,10 @@ def cluster_moments(points: DataFrame, cluster: str, vec: str = "vec") -> DataFr
 
 def gather(summary: DataFrame, most: int = MAX_CLUSTERS) -> ClusterStats:
     """Statistics of a summary table, one row per cluster, of which there are at most ``most``."""
-    rows = summary.select("cluster", "n", "mean", "mean_square").limit(most + 1).collect()
-    if len(rows) > most:
+    rows = summary.select("cluster", "n", "mean", "mean_square").limit(most + 1).toArrow()
+    if rows.num_rows > most:
         raise ValueError(f"more than {most} clusters")
-    return stats_from(rows)
+    return stats_from_arrow(rows)
 
 
 def point_count(summary: DataFrame) -> DataFrame:
@@ -64,18 +65,15 @@ def _earlier(means: DataFrame, stats: ClusterStats, threshold: float):
         for batch in batches:
             second = batch.column(0).to_numpy()
             points = matrix(batch.column(1), block.dimensions)
-            for i, key in enumerate(block.key.tolist()):
-                later = np.flatnonzero(second > key)
+            found = []
+            for i in np.flatnonzero(block.key < second.max(initial=-1)).tolist():
+                later = np.flatnonzero(second > block.key[i])
                 distance = distances(points[later], block.mean[i], spread[i])
-                close = distance < threshold
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(int(close.sum()), key)),
-                        pa.array(second[later[close]]),
-                        pa.array(distance[close]),
-                    ],
-                    ["first", "second", "distance"],
-                )
+                close = np.flatnonzero(distance < threshold)
+                if len(close):
+                    found.append((np.full(len(close), block.key[i]), second[later[close]], distance[close]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*found)], ["first", "second", "distance"])
 
     return pairs
 
@@ -103,16 +101,15 @@ def close_pairs(
 
     In key order each free cluster takes the first later free one within the threshold, scaled
     by the deviation of the earlier. With a session, statistics beyond ``DRIVER_CLUSTERS`` are
-    compared on the executors, and only pairs within the threshold come back.
+    compared and matched on the executors, and only the accepted pairs come back.
     """
     if spark is not None and len(stats) > DRIVER_CLUSTERS:
-        row_of = {key: row for row, key in enumerate(stats.key.tolist())}
-        found = merge_candidates(stats.frame(spark), threshold).orderBy("first", "second")
-        close = ((row_of[r["first"]], row_of[r["second"]]) for r in found.toLocalIterator())
-    else:
-        close = _close(stats, threshold)
+        found = greedy_pairs(merge_candidates(stats.frame(spark), threshold)).orderBy("first").toArrow()
+        rows = (np.searchsorted(stats.key, found.column(name).to_numpy()).tolist() for name in ("first", "second"))
+        yield from zip(*rows)
+        return
     free = np.ones(len(stats), bool)
-    for i, j in close:
+    for i, j in _close(stats, threshold):
         if free[i] and free[j]:
             free[i] = free[j] = False
             yield i, j
@@ -127,9 +124,18 @@ def _close(stats: ClusterStats, threshold: float) -> Iterator[tuple[int, int]]:
 
 
 def first_targets(
-    stats: ClusterStats, target: ClusterStats, threshold: float, match: str = "first"
+    stats: ClusterStats, target: ClusterStats, threshold: float, match: str = "first", spark: SparkSession | None = None
 ) -> Iterator[tuple[int, int]]:
-    """For each row of ``stats`` the first or nearest row of ``target`` within the threshold."""
+    """For each row of ``stats`` the first or nearest row of ``target`` within the threshold.
+
+    With a session, statistics beyond ``DRIVER_CLUSTERS`` are compared on the executors, and only the
+    matches come back.
+    """
+    if spark is not None and len(stats) > DRIVER_CLUSTERS:
+        found = match_clusters(stats.frame(spark), target.frame(spark), threshold, match).orderBy("cluster").toArrow()
+        own, other = ((each.key, found.column(name).to_numpy()) for each, name in ((stats, "cluster"), (target, "target")))
+        yield from zip(np.searchsorted(*own).tolist(), np.searchsorted(*other).tolist())
+        return
     rows = nearest_rows(stats.mean, target, threshold, match)[0]
     for i in np.flatnonzero(rows >= 0).tolist():
         yield i, int(rows[i])

@@ -80,16 +80,17 @@ def no_clusters(dimensions: int = 0) -> ClusterStats:
     return ClusterStats(np.zeros(0, np.int64), np.zeros(0, np.int64), empty, empty)
 
 
-def stats_from(rows: list, dimensions: int = 0) -> ClusterStats:
+def stats_from_arrow(rows: pa.Table) -> ClusterStats:
     """Statistics from gathered rows ``(cluster, n, mean, mean_square)``, in key order."""
-    if not rows:
-        return no_clusters(dimensions)
-    ordered = sorted(rows, key=lambda r: r["cluster"])
+    if not rows.num_rows:
+        return no_clusters()
+    rows = rows.sort_by("cluster").combine_chunks()
+    vectors = [rows.column(name).combine_chunks() for name in ("mean", "mean_square")]
+    dimensions = len(vectors[0][0])
     return ClusterStats(
-        np.array([r["cluster"] for r in ordered], np.int64),
-        np.array([r["n"] for r in ordered], np.int64),
-        np.array([r["mean"] for r in ordered], np.float64),
-        np.array([r["mean_square"] for r in ordered], np.float64),
+        rows.column("cluster").to_numpy().astype(np.int64),
+        rows.column("n").to_numpy().astype(np.int64),
+        *[matrix(column, dimensions) for column in vectors],
     )
 
 

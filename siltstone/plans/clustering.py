@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clusters as ops
+from ..operators import matching
 from ..operators.bfr import BfrResult, bfr
 from ..operators.kmeans import kmeans, kmeans_step, start_stats
 from ..operators.nearest import assign
 from ..session import new_folder
+from ..streaming.bfr import ChunkedBfr, stream_points
 from .bfr_sql import bfr_tables, statement
 from .registry import Query, rounded, table
 
@@ -109,6 +111,47 @@ def bfr_labels(spark: SparkSession, folder: str) -> DataFrame:
     return _bfr(spark, folder).labels
 
 
+# Vectors that follow each other by id form a cluster; close ones are matched one to one.
+BLOCK = 10
+GREEDY_THRESHOLD = 3.5
+
+
+def greedy_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = points(spark, folder).withColumn("block", F.floor(F.col("id") / BLOCK))
+    summary = ops.cluster_moments(blocks, "block")
+    return matching.greedy_pairs(ops.merge_candidates(summary, GREEDY_THRESHOLD), LAST_EDGES)
+
+
+# Edges that one task may finish, low enough that the query has rounds.
+LAST_EDGES = 100
+
+
+def _bfr_stream(spark: SparkSession, folder: str) -> BfrResult:
+    """Chunks as folders of CSV files, delivered one after the other; the stream is stopped between them."""
+    vectors = points(spark, folder)
+    rows = vectors.agg(F.max("id") + 1).first()[0]
+    numbers = F.concat_ws(",", F.transform("vec", lambda x: x.cast("string")))
+    lines = vectors.select(
+        F.floor(F.col("id") * BFR_CHUNKS / rows).alias("chunk"), F.concat(F.col("id").cast("string"), F.lit(","), numbers).alias("value")
+    )
+    path = new_folder(spark, "bfr-stream")
+    found = ChunkedBfr(f"{path}/state", BFR_K, BFR_ALPHA, SEED)
+    for chunk in range(BFR_CHUNKS):
+        lines.where(F.col("chunk") == chunk).select("value").write.text(f"{path}/in/{chunk:03d}")
+        stream = stream_points(spark, f"{path}/in/*", DIMENSIONS, by_folder=True)
+        query = found.writer(stream, f"{path}/checkpoint", interval=None).start()
+        query.awaitTermination()
+    return found.result(spark)
+
+
+def bfr_stream_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    return _bfr_stream(spark, folder).rounds
+
+
+def bfr_stream_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return _bfr_stream(spark, folder).labels
+
+
 _POINTS = "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings"
 _LONG = f"""
   SELECT id, label, unnest(vec) AS x, unnest(range(len(vec))) AS pos FROM ({_POINTS})
@@ -148,6 +191,32 @@ def _kmeans_sql(rounds: int) -> str:
     return "WITH " + ", ".join(parts)
 
 
+_BLOCK_MOMENTS = f"""
+  SELECT CAST(id // {BLOCK} AS BIGINT) AS cluster, pos, avg(x) AS mean,
+         sqrt(greatest(avg(x * x) - avg(x) * avg(x), 0)) AS deviation
+  FROM ({_LONG}) GROUP BY 1, 2
+"""
+# One edge after the other, with the clusters that are taken so far.
+_GREEDY = f"""
+  WITH RECURSIVE s AS MATERIALIZED ({_BLOCK_MOMENTS}), near AS (
+    SELECT s.cluster AS a, p.cluster AS b, sqrt(sum(CASE
+             WHEN s.deviation = 0 THEN CASE WHEN p.mean = s.mean THEN 0 ELSE 'Infinity'::DOUBLE END
+             ELSE pow((p.mean - s.mean) / s.deviation, 2) END)) AS distance
+    FROM s JOIN s p ON s.pos = p.pos AND s.cluster < p.cluster GROUP BY 1, 2
+  ), edges AS MATERIALIZED (
+    SELECT a, b, row_number() OVER (ORDER BY a, b) AS i FROM near WHERE distance < {GREEDY_THRESHOLD}
+  ), walk(i, taken, a, b) AS (
+    SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT, NULL::BIGINT
+    UNION ALL
+    SELECT e.i,
+           CASE WHEN list_has_any(w.taken, [e.a, e.b]) THEN w.taken ELSE list_concat(w.taken, [e.a, e.b]) END,
+           CASE WHEN NOT list_has_any(w.taken, [e.a, e.b]) THEN e.a END,
+           CASE WHEN NOT list_has_any(w.taken, [e.a, e.b]) THEN e.b END
+    FROM walk w JOIN edges e ON e.i = w.i + 1
+  )
+  SELECT a AS first, b AS second FROM walk WHERE a IS NOT NULL
+"""
+
 _SCALED = """
   CASE WHEN s.deviation = 0
        THEN CASE WHEN p.x = s.mean THEN 0 ELSE 'Infinity'::DOUBLE END
@@ -238,4 +307,7 @@ QUERIES = {
     "cs_to_ds_nearest": Query(cs_to_ds_nearest, _cs_to_ds_sql("distance, a")),
     "bfr_rounds": Query(bfr_rounds, statement(_BFR, "rounds")),
     "bfr_labels": Query(bfr_labels, statement(_BFR, "labels")),
+    "bfr_stream_rounds": Query(bfr_stream_rounds, statement(_BFR, "rounds")),
+    "bfr_stream_labels": Query(bfr_stream_labels, statement(_BFR, "labels")),
+    "greedy_pairs": Query(greedy_pairs, _GREEDY),
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import FM_A, FM_B, FM_P, binary_text, text_mod
 from ..functions.text import in_year
 from ..operators import clusters, exploration, partitions, sampling
-from ..operators.bfr import bfr, sorted_members
+from ..operators.bfr import sorted_members
 from ..session import new_folder
 from ..sources import readers, writers
 from ..streaming import distinct as stream_distinct
@@ -27,7 +27,7 @@ PARTITIONS = 7
 
 
 def json_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as reviews in JSON lines, one line in a hundred cut short; those of a year."""
+    """Orders as reviews in JSON lines, each followed by a line that is cut short; those of a year."""
     path = new_folder(spark, "reviews")
     orders = table(spark, folder, "orders")
     line = F.to_json(
@@ -39,31 +39,29 @@ def json_reviews(spark: SparkSession, folder: str) -> DataFrame:
             F.col("o_orderpriority").alias("text"),
         )
     )
-    broken = F.col("o_orderkey") % 100 == 0
-    orders.select(F.when(broken, F.substring(line, 1, 40)).otherwise(line)).write.text(path)
+    orders.select(F.explode(F.array(line, F.substring(line, 1, 40)))).write.text(path)
     reviews = readers.read_reviews(spark, path)
     return reviews.filter(in_year(F.col("date"), "string", YEAR)).select("review_id", "user_id", "stars", "text")
 
 
 def json_bad_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Broken lines of the parts written as JSON, counted."""
+    """Parts written as JSON, each followed by a broken line; both are counted."""
     path = new_folder(spark, "businesses")
     part = table(spark, folder, "part")
     line = F.to_json(F.struct(F.col("p_partkey").cast("string").alias("business_id"), F.col("p_name").alias("city")))
-    broken = F.col("p_partkey") % 7 == 0
-    part.select(F.when(broken, F.substring(line, 1, 12)).otherwise(line)).write.text(path)
+    part.select(F.explode(F.array(line, F.substring(line, 1, 12)))).write.text(path)
     kept = readers.read_businesses(spark, path).agg(F.count(F.lit(1)).alias("n_rows"), F.count("city").alias("n_cities"))
     bad = readers.count_bad_json(spark, path).agg(F.sum("n_bad").alias("n_bad"))
     return kept.withColumn("n_bad", bad.scalar())
 
 
 def _csv_points(spark: SparkSession, folder: str) -> str:
-    """Embeddings as lines ``id,x1,...``; every eleventh has one number too many."""
+    """Embeddings as lines ``id,x1,...``, each followed by a line with one number too many."""
     path = new_folder(spark, "points")
     rows = table(spark, folder, "embeddings")
     numbers = F.concat_ws(",", F.transform("embedding", lambda x: x.cast("double").cast("string")))
-    more = F.when(F.col("vec_id") % 11 == 0, F.lit(",1.0")).otherwise("")
-    rows.select(F.concat(F.col("vec_id").cast("string"), F.lit(","), numbers, more)).write.text(path)
+    line = F.concat(F.col("vec_id").cast("string"), F.lit(","), numbers)
+    rows.select(F.explode(F.array(line, F.concat(line, F.lit(",1.0"))))).write.text(path)
     return path
 
 
@@ -80,9 +78,10 @@ def csv_bad_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unique_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Embeddings under a third of their ids; the chunk is the label, so the largest label stays."""
-    points = clustering.points(spark, folder).select((F.col("id") % 171).alias("id"), "vec", F.col("id").alias("chunk"))
-    kept = readers.unique_points(points)
+    """Embeddings in their label's chunk, with earlier ones of the same id in the chunk before; the given ones stay."""
+    given = clustering.points(spark, folder).select("id", "vec", F.col("label").alias("chunk"))
+    earlier = given.select("id", F.transform("vec", lambda x: -x).alias("vec"), (F.col("chunk") - 1).alias("chunk"))
+    kept = readers.unique_points(given.unionByName(earlier))
     return kept.select("id", "chunk", rounded(F.element_at("vec", 1)).alias("first"))
 
 
@@ -151,14 +150,8 @@ def point_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def members_in_order(spark: SparkSession, folder: str) -> DataFrame:
-    """Place of each point in the members sorted by cluster and id."""
-    vectors = clustering.points(spark, folder).select("id", "vec", F.lit(0).alias("chunk"))
-    labels = bfr(vectors, clustering.BFR_K, clustering.BFR_ALPHA, clustering.SEED, chunks=[0]).labels
-    ordered = sorted_members(labels).withColumn("at", F.monotonically_increasing_id())
-    place = ordered.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min_by("id", "at").alias("first"), F.max_by("id", "at").alias("last"))
-    return place.select((F.col("n") > 0).alias("filled"), (F.col("first") <= F.col("last")).alias("in_order"), "n").groupBy(
-        "filled", "in_order"
-    ).agg(F.sum("n").alias("n_points"))
+    """Place of each point among the members of its cluster, sorted by id."""
+    return sorted_members(clustering.bfr_labels(spark, folder))
 
 
 def census_unmoved(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,36 +175,28 @@ def hash_digits(spark: SparkSession, folder: str) -> DataFrame:
     return users.select("user", binary_text(F.expr(f"(x * {FM_A[0]}L + {FM_B[0]}L) % {FM_P}L")).alias("digits"))
 
 
-_BROKEN = "o_orderkey % 100 <> 0"
-_UNIQUE_SQL = """
-  SELECT vec_id % 171 AS id, max(vec_id) AS chunk, round(CAST(arg_max(embedding[1], vec_id) AS DOUBLE), 6) AS first
-  FROM embeddings GROUP BY 1
-"""
+_UNIQUE_SQL = "SELECT vec_id AS id, label AS chunk, round(CAST(embedding[1] AS DOUBLE), 6) AS first FROM embeddings"
 _POINTS_SQL = """
   SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS n,
          round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total
-  FROM embeddings WHERE vec_id % 11 <> 0
+  FROM embeddings
 """
 
 QUERIES = {
     "json_reviews": Query(
         json_reviews,
-        f"""
+        """
         SELECT CAST(o_orderkey AS VARCHAR) AS review_id, CAST(o_custkey AS VARCHAR) AS user_id,
                o_totalprice AS stars, o_orderpriority AS text
-        FROM orders WHERE {_BROKEN} AND year(o_orderdate) = 1997
+        FROM orders WHERE year(o_orderdate) = 1997
         """,
     ),
     "json_bad_lines": Query(
         json_bad_lines,
-        """
-        SELECT count(*) FILTER (p_partkey % 7 <> 0) AS n_rows, count(p_name) FILTER (p_partkey % 7 <> 0) AS n_cities,
-               count(*) FILTER (p_partkey % 7 = 0) AS n_bad
-        FROM part
-        """,
+        "SELECT count(*) AS n_rows, count(p_name) AS n_cities, count(*) AS n_bad FROM part",
     ),
     "csv_points": Query(csv_points, _POINTS_SQL),
-    "csv_bad_points": Query(csv_bad_points, "SELECT count(*) AS n_bad FROM embeddings WHERE vec_id % 11 = 0"),
+    "csv_bad_points": Query(csv_bad_points, "SELECT count(*) AS n_bad FROM embeddings"),
     "unique_points": Query(unique_points, _UNIQUE_SQL),
     "stop_word_file": Query(stop_word_file, exploration_queries["word_counts"].sql),
     "written_rounds": Query(written_rounds, clustering.QUERIES["bfr_rounds"].sql),
@@ -235,7 +220,11 @@ QUERIES = {
         point_count, "SELECT count(*) AS n_points, count(DISTINCT label) AS n_clusters FROM embeddings"
     ),
     "members_in_order": Query(
-        members_in_order, "SELECT true AS filled, true AS in_order, count(*) AS n_points FROM embeddings"
+        members_in_order,
+        f"""
+        SELECT id, cluster, row_number() OVER (PARTITION BY cluster ORDER BY id) - 1 AS place
+        FROM ({clustering.QUERIES["bfr_labels"].sql})
+        """,
     ),
     "census_unmoved": Query(census_unmoved, "SELECT count(*) AS n_items, true AS all_counted FROM events"),
     "census_document": Query(
