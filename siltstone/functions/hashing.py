@@ -42,6 +42,11 @@ def text_mod(column: str, p: int) -> Column:
     Null for null and for empty text; the work grows with the length of the text. Keep the result in
     a column of its own when several hash functions use it, so that it is computed once.
     """
+    return F.expr(text_mod_sql(column, p))
+
+
+def text_mod_sql(column: str, p: int) -> str:
+    """The expression of :func:`text_mod` as SQL."""
     block_bytes = (62 - p.bit_length()) // 8
     digits = 2 * block_bytes
     encoded = f"hex(nullif(`{column}`, ''))"
@@ -56,7 +61,7 @@ def text_mod(column: str, p: int) -> Column:
     whole = f"lpad({encoded}, cast(ceil(length({encoded}) / {digits}) as int) * {digits}, '0')"
     blocks = f"regexp_extract_all({whole}, '.{{{digits}}}', 0)"
     long = f"aggregate({blocks}, 0L, (acc, block) -> {absorb('acc', 'block')})"
-    return F.expr(f"CASE WHEN octet_length(`{column}`) <= {UNROLLED_BLOCKS * block_bytes} THEN {folded} ELSE {long} END")
+    return f"CASE WHEN octet_length(`{column}`) <= {UNROLLED_BLOCKS * block_bytes} THEN {folded} ELSE {long} END"
 
 
 def bloom_coefficients(hashes: int) -> list[int]:
@@ -82,17 +87,21 @@ def bloom_positions_of(
 
 def trailing_zeros(value: str) -> Column:
     """Trailing zeros of the binary text of a bigint expression."""
-    return F.expr(
-        f"CASE WHEN {value} = 0 THEN {ZERO_HASH_DIGITS} "
-        f"ELSE bit_count(({value} & -{value}) - 1) END"
-    )
+    return F.expr(trailing_zeros_sql(value))
+
+
+def trailing_zeros_sql(value: str) -> str:
+    return f"CASE WHEN {value} = 0 THEN {ZERO_HASH_DIGITS} ELSE bit_count(({value} & -{value}) - 1) END"
+
+
+def fm_hashes_of(remainder: str) -> list[str]:
+    """The 12 hashes as SQL, for a ``text_mod(..., FM_P)`` column."""
+    return [f"(({remainder} * {a}L + {b}L) % {FM_P}L)" for a, b in zip(FM_A, FM_B)]
 
 
 def fm_trailing_zeros(remainder: str) -> list[Column]:
     """Trailing zeros under each of the 12 hash functions, for a ``text_mod(..., FM_P)`` column."""
-    return [
-        trailing_zeros(f"(({remainder} * {a}L + {b}L) % {FM_P}L)") for a, b in zip(FM_A, FM_B)
-    ]
+    return [trailing_zeros(h) for h in fm_hashes_of(remainder)]
 
 
 def binary_text(value: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clustering, exploration, files, membership, samples, streams, windows
+from . import clustering, exploration, files, membership, samples, sql_texts, streams, windows
 from .registry import Query
 
 ALL: dict[str, Query] = {
@@ -13,4 +13,5 @@ ALL: dict[str, Query] = {
     **clustering.QUERIES,
     **streams.QUERIES,
     **files.QUERIES,
+    **sql_texts.QUERIES,
 }

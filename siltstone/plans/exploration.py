@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import exploration as ops
-from ..operators import partitions
+from ..operators import heavy, partitions
 from .registry import Query, rounded, table
 
 YEAR = 1997
@@ -138,7 +138,39 @@ def _census_sql(code: str) -> str:
     """
 
 
+def review_summary_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    return ops.review_summary_bitmaps(orders, "o_orderkey", "o_custkey", "o_orderdate", YEAR)
+
+
+def heavy_words(spark: SparkSession, folder: str) -> DataFrame:
+    return heavy.heavy_words(_texts(spark, folder), "text", STOP_WORDS, TOP_WORDS).rows
+
+
+def heavy_users(spark: SparkSession, folder: str) -> DataFrame:
+    return heavy.heavy_top(table(spark, folder, "orders"), "o_custkey", TOP_USERS).rows
+
+
+def heavy_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return heavy.heavy_keys(table(spark, folder, "lineitem"), "l_suppkey", FREQUENT).rows
+
+
 QUERIES = {
+    "review_summary_bitmaps": Query(
+        review_summary_bitmaps,
+        f"""
+        SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_reviews,
+               count(*) FILTER (year(o_orderdate) = {YEAR}) AS n_in_year,
+               count(DISTINCT o_custkey) AS n_users
+        FROM orders
+        """,
+    ),
+    "heavy_words": Query(heavy_words, _TOP_WORDS_SQL),
+    "heavy_users": Query(heavy_users, _USERS_SQL),
+    "heavy_keys": Query(
+        heavy_keys,
+        f"SELECT l_suppkey, count(*) AS count FROM lineitem GROUP BY 1 HAVING count(*) > {FREQUENT}",
+    ),
     "review_summary": Query(
         review_summary,
         f"""
