@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .nearest import ClusterStats, assign, assigned_sums, no_clusters
-from .sampling import priority
+from .sampling import in_draw_order
 
 
 @dataclass(frozen=True)
@@ -29,8 +29,8 @@ class KMeansResult:
 
 
 def start_points(points: DataFrame, k: int, seed: int = 666) -> DataFrame:
-    """``k`` points drawn by seed, or all of them if there are fewer."""
-    return points.orderBy(priority(F.col("id"), seed), F.col("id")).limit(k)
+    """``k`` points drawn by seed, or all of them if there are fewer; those without an id like the others."""
+    return points.orderBy(*in_draw_order(points, "id", seed, ["id", "vec"])).limit(k)
 
 
 def start_stats(

@@ -9,18 +9,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def priority(row_id: Column, seed: int) -> Column:
-    """Reproducible random order: hash of the id and the seed."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")).cast("binary"))
+def priority(row_id: Column, seed: int, row: Column) -> Column:
+    """Reproducible random order: hash of the seed and the id, or of the whole ``row`` where the id is null."""
+    own = F.coalesce(F.concat(F.lit(f"{seed}:"), row_id.cast("string")), F.concat(F.lit(f"{seed}:row:"), F.to_json(row)))
+    return F.md5(own.cast("binary"))
 
 
-def reservoir(df: DataFrame, row_id: str, k: int, seed: int = 666) -> DataFrame:
+def in_draw_order(df: DataFrame, row_id: str, seed: int = 666, columns: Sequence[str] | None = None) -> list[Column]:
+    """Sort keys that put rows into random order: their hash, their id (nulls last), then the row itself.
+
+    ``columns`` are those that make up a row, by default all. Rows that share an id, and equal rows
+    without an id, are one draw: they follow each other.
+    """
+    row = F.struct(*[F.col(f"`{name}`") for name in columns or df.columns])
+    return [priority(F.col(row_id), seed, row), F.asc_nulls_last(row_id), F.to_json(row)]
+
+
+def reservoir(df: DataFrame, row_id: str, k: int, seed: int = 666, columns: Sequence[str] | None = None) -> DataFrame:
     """Uniform sample of ``k`` rows, or all rows if there are fewer.
 
     The k smallest priorities of a union are the k smallest of the parts' k smallest, so each
-    task keeps k rows only and samples of parts can be merged exactly.
+    task keeps k rows only and samples of parts can be merged exactly. Rows without an id are drawn
+    like the others; see :func:`in_draw_order` for them and for repeated ids.
     """
-    return df.orderBy(priority(F.col(row_id), seed), F.col(row_id)).limit(k)
+    return df.orderBy(*in_draw_order(df, row_id, seed, columns)).limit(k)
 
 
 def tagged(df: DataFrame, tags: str) -> DataFrame:

@@ -61,14 +61,14 @@ def fold_batch(
         # Counted in the pass that draws the sample, so the batch isn't kept.
         arrived = Observation()
         records = tagged(batch, tags).observe(arrived, F.count(F.lit(1)).alias("n"))
-        candidates = reservoir(records, row_id, k, seed).withColumn("_new", F.lit(True))
+        candidates = reservoir(records, row_id, k, seed, batch.columns).withColumn("_new", F.lit(True))
         seen = 0
         if batch_id > 0:
             seen = spark.read.parquet(seen_path(folder, batch_id - 1)).first()["seen"]
             kept = read_sample(spark, folder, batch_id - 1)
             candidates = candidates.unionByName(kept.withColumn("_new", F.lit(False)))
         path = sample_path(folder, batch_id)
-        reservoir(candidates, row_id, k, seed).write.mode("overwrite").parquet(path)
+        reservoir(candidates, row_id, k, seed, batch.columns).write.mode("overwrite").parquet(path)
         seen += arrived.get["n"]
         if not spark.read.parquet(path).filter("_new").isEmpty():
             report = popular_tags(read_sample(spark, folder, batch_id), tags, top).select(
