@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import BROADCAST_MAX_ROWS, written
+
 
 def fold(id_column: str | Column, folds: int) -> Column:
     """CRC-32 of the identifier's text, modulo ``folds``; a null identifier counts as empty text."""
@@ -20,26 +22,39 @@ def fold(id_column: str | Column, folds: int) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``y`` and ``text`` of at most ``max_rows`` labelled documents, in one partition ordered by a hash.
 
-    Rows are chosen by the hash of their identifier alone. Their identifiers are broadcast, at most
-    ``max_rows`` of them, so the texts that weren't chosen never move. Rows with a null label or
-    identifier aren't used; an identifier with several labels counts with the smallest.
+    Chosen are the identifiers with the smallest hashes among those that have a label and a document.
+    Labels are looked up in the documents by rising shares of the hashes, so only as many are tried as
+    needed; the chosen identifiers, at most ``max_rows``, are broadcast, and texts that weren't chosen
+    never move. Rows with a null label or identifier aren't used. An identifier with several labels
+    counts with the smallest, one with several texts with that of the smallest hash (null texts last),
+    so an identifier that many rows share is one row.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull()).select(
-        F.col(id_column).alias("id"), F.col(label).cast("double").alias("y")
-    )
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    known = written(
+        labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
+        .groupBy(F.col(id_column).alias("id"))
+        .agg(F.min(F.col(label).cast("double")).alias("y"))
+        .withColumn("draw", draw),
+        "labels",
+    )
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).where(F.col("id").isNotNull())
     share = 1.1 * max_rows / max(1, known.count())
-    chosen = known.groupBy("id").agg(F.min("y").alias("y")).withColumn("draw", draw)
-    if share < 1:
-        chosen = chosen.where(F.col("draw") < share)
-    chosen = chosen.orderBy("draw", "id").limit(max_rows)
+    while True:
+        tried = known.where(F.col("draw") < share) if share < 1 else known
+        if tried.count() <= BROADCAST_MAX_ROWS:
+            tried = F.broadcast(tried)
+        present = rows.select("id").join(tried, "id").groupBy("id").agg(F.min("y").alias("y"), F.min("draw").alias("draw"))
+        chosen = written(present.orderBy("draw", "id").limit(max_rows), "sample")
+        if share >= 1 or chosen.count() >= max_rows:
+            break
+        share *= 4
+    text = F.min(F.struct(F.col("text").isNull().alias("missing"), F.xxhash64("text").alias("hash"), "text"))["text"]
     return (
-        docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-        .join(F.broadcast(chosen), "id")
-        .select("draw", "id", "y", "text")
+        rows.join(F.broadcast(chosen), "id")
+        .groupBy("id")
+        .agg(F.min("draw").alias("draw"), F.min("y").alias("y"), text.alias("text"))
         .repartition(1)
-        .sortWithinPartitions("draw", "id", "text")
-        .limit(max_rows)
+        .sortWithinPartitions("draw", "id")
         .select("y", "text")
     )
 

@@ -66,14 +66,9 @@ def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, cost: Callable[[i
     return bins, offsets, [lengths[bisect_left(lengths, filled)] for filled in used]
 
 
-def words_and_end(text_column: str = "text") -> Column:
-    """Words of a text and one token for its end; null counts as no words."""
-    return F.regexp_count(F.coalesce(F.col(text_column), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) + 1
-
-
 def best_fit(
     docs: DataFrame,
-    size: Column | None = None,
+    size: Column,
     lengths: tuple[int, ...] = LENGTHS,
     cost: Callable[[int], float] = default_cost,
     group_rows: int = GROUP_ROWS,
@@ -81,12 +76,11 @@ def best_fit(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, piece_start, size, bin_id, bin_offset, bin_length.
 
-    Every row of ``docs`` is packed, repeated rows and null identifiers too; a null size or one below
+    ``size`` is what a document takes of a sequence, its tokens for instance. Every row of ``docs`` is packed, repeated rows and null identifiers too; a null size or one below
     1 counts as 1. Equal sizes are taken in the order of identifier (nulls first), piece and row.
     Other columns are ignored, an empty table gives an empty result.
     """
     longest = max(lengths)
-    size = words_and_end() if size is None else size
     sized = written(
         docs.select(
             F.col(id_column).alias("doc_id"),

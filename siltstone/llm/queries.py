@@ -101,7 +101,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (fold("doc_id", 4) == 2).alias("held_out"),
         toxicity.score(spark, weights, F.col("text")).alias("score"),
     )
-    return scored.withColumn("predicted", toxicity.toxic(weights, F.col("score"), TOXIC_FROM).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
 
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,7 +156,7 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.best_fit(table(spark, folder, "documents"))
+    return packing.best_fit(table(spark, folder, "documents"), token_counts.tokens_and_end(spark, byte_bpe.load()))
 
 
 def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,11 +18,11 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import Vocabulary
-from .spans import slices, texts
+from .spans import array_slices, slices, texts
 
 RULES = ("first", "last", "most")
 
@@ -55,6 +55,25 @@ def allocated(token_ends: np.ndarray, section_ends: np.ndarray, rule: str) -> tu
     return section, crossing
 
 
+def tokens_and_end(spark: SparkSession, vocabulary: Vocabulary, text_column: str = "text") -> Column:
+    """Tokens of a whole text and one for its end, as a sequence holds it; null counts as empty."""
+    shared = spark.sparkContext.broadcast(vocabulary)
+
+    def counted(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = _coder(shared.value)
+        for column in columns:
+            sizes = [len(coder.encode_to_numpy(text or "")) + 1 for piece in array_slices(column) for text in piece.to_pylist()]
+            yield pa.array(sizes, pa.int64())
+
+    counted.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(counted, "bigint")(F.col(text_column).cast("string"))
+
+
+def _coder(vocabulary: Vocabulary) -> tiktoken.Encoding:
+    ranks = {token: rank for rank, token in enumerate(vocabulary.ranks)}
+    return tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 def section_counts(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -77,8 +96,7 @@ def section_counts(
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        ranks = {token: rank for rank, token in enumerate(vocabulary.ranks)}
-        coder = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
+        coder = _coder(vocabulary)
         lengths = np.array([len(token) for token in vocabulary.ranks])
         for batch in slices(batches, "text"):
             data, offsets = texts(batch.column("text"))

@@ -30,8 +30,8 @@ _LOWER[65:91] += np.uint64(32)
 MAX_ROWS = 12_000
 #: Most features of the training rows that are held in memory; the rest is in a temporary file.
 HELD_FEATURES = 60_000_000
-
-
+#: Bias of a model that learnt from no row: its scores are next to 0.
+NOTHING_LEARNT = -35.0
 #: Bytes of text that a worker handles at a time.
 SLICE_BYTES = 4 << 20
 
@@ -47,12 +47,11 @@ class Ftrl:
 
 @dataclass
 class Weights:
-    """Places with a weight, in order, and the bias; ``learnt`` from any row at all."""
+    """Places with a weight, in order, and the bias."""
 
     places: np.ndarray
     values: np.ndarray
     bias: float
-    learnt: bool = True
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,8 +122,9 @@ def fit(
     """Train on at most ``max_rows`` labelled documents; one task trains, no text reaches the driver.
 
     Every row of the sample is used, however long: features beyond ``held_features`` are in a temporary
-    file of the task. Without any usable labelled row all weights are 0, every text scores 0.5 and
-    ``toxic`` marks none.
+    file of the task. Null texts count as empty; for null and repeated identifiers, labels without a
+    document and documents with several texts see ``sample``. Other columns are ignored. Without any
+    usable labelled row there are no weights, and every text scores next to 0.
     """
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,16 +134,15 @@ def fit(
             for piece in array_slices(batch.column("text"), SLICE_BYTES):
                 for places in _distinct(piece):
                     rows.add(places)
-        found = _fit(marks, rows, how)
-        yield pa.RecordBatch.from_pydict(
-            {"places": [found.places.tobytes()], "weights": [found.values.tobytes()], "bias": [found.bias], "learnt": [bool(marks)]}
-        )
+        if marks:
+            found = _fit(marks, rows, how)
+            yield pa.RecordBatch.from_pydict({"places": [found.places.tobytes()], "weights": [found.values.tobytes()], "bias": [found.bias]})
 
-    rows = sample(docs, labels, label, max_rows).mapInArrow(train, "places binary, weights binary, bias double, learnt boolean").collect()
+    rows = sample(docs, labels, label, max_rows).mapInArrow(train, "places binary, weights binary, bias double").collect()
     if not rows:
-        return Weights(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0, False)
+        return Weights(np.zeros(0, np.int32), np.zeros(0, np.float32), NOTHING_LEARNT)
     row = rows[0]
-    return Weights(np.frombuffer(row.places, np.int32), np.frombuffer(row.weights, np.float32), row.bias, row.learnt)
+    return Weights(np.frombuffer(row.places, np.int32), np.frombuffer(row.weights, np.float32), row.bias)
 
 
 def _scores(column: pa.Array, weights: Weights, used: np.ndarray) -> np.ndarray:
@@ -156,7 +155,7 @@ def _scores(column: pa.Array, weights: Weights, used: np.ndarray) -> np.ndarray:
 
 
 def score(spark: SparkSession, weights: Weights, text: Column) -> Column:
-    """Score from 0 to 1 of a text; null counts as empty."""
+    """Score from 0 to 1 of a text, read whole; null counts as empty, and an empty text has the bias alone."""
     shared: Broadcast[Weights] = spark.sparkContext.broadcast(weights)
 
     def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -168,8 +167,3 @@ def score(spark: SparkSession, weights: Weights, text: Column) -> Column:
 
     scores.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(scores, "double")(text)
-
-
-def toxic(weights: Weights, score: Column, threshold: float) -> Column:
-    """Whether the score reaches the threshold; of a model that learnt from no row, none does."""
-    return score >= threshold if weights.learnt else F.lit(False)
