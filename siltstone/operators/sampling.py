@@ -9,20 +9,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def priority(row_id: Column, seed: int, row: Column) -> Column:
-    """Reproducible random order: hash of the seed and the id, or of the whole ``row`` where the id is null."""
-    own = F.coalesce(F.concat(F.lit(f"{seed}:"), row_id.cast("string")), F.concat(F.lit(f"{seed}:row:"), F.to_json(row)))
+def row_text(columns: Sequence[str]) -> Column:
+    """A row as JSON, times to the microsecond."""
+    times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.to_json(F.struct(*[F.col(f"`{name}`") for name in columns]), times)
+
+
+def priority(row_id: Column, seed: int, columns: Sequence[str]) -> Column:
+    """Reproducible random order: hash of the seed and the id, or of the whole row where the id is null."""
+    own = F.coalesce(F.concat(F.lit(f"{seed}:"), row_id.cast("string")), F.concat(F.lit(f"{seed}:row:"), row_text(columns)))
     return F.md5(own.cast("binary"))
 
 
 def in_draw_order(df: DataFrame, row_id: str, seed: int = 666, columns: Sequence[str] | None = None) -> list[Column]:
-    """Sort keys that put rows into random order: their hash, their id (nulls last), then the row itself.
+    """Sort keys that put rows into random order: their hash, then the row itself.
 
     ``columns`` are those that make up a row, by default all. Rows that share an id, and equal rows
     without an id, are one draw: they follow each other.
     """
-    row = F.struct(*[F.col(f"`{name}`") for name in columns or df.columns])
-    return [priority(F.col(row_id), seed, row), F.asc_nulls_last(row_id), F.to_json(row)]
+    columns = columns or df.columns
+    return [priority(F.col(row_id), seed, columns), row_text(columns)]
 
 
 def reservoir(df: DataFrame, row_id: str, k: int, seed: int = 666, columns: Sequence[str] | None = None) -> DataFrame:

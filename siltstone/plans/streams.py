@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.sampling import popular_tags, tagged
 from ..session import new_folder
-from ..streaming import closing, distinct, membership, sampling
+from ..streaming import closing, distinct, membership, reservoir, sampling
 from . import membership as filters
 from . import samples, windows
 from .registry import Query, table
@@ -94,6 +94,26 @@ def _sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.last_sample(spark, state)
 
 
+def _state_sample(spark: SparkSession, folder: str) -> str:
+    """The sample kept in the state store, over all events."""
+    state = new_folder(spark, "state-sample")
+    events = samples.with_tags(source(spark, folder, "events"))
+    query = reservoir.start_reservoir(events, "event_id", "tags", state, samples.SIZE, samples.SEED, interval=None)
+    query.awaitTermination()
+    return state
+
+
+def stream_state_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return reservoir.sample_now(spark, _state_sample(spark, folder), "event_id bigint")
+
+
+def stream_state_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """The last report: records seen and popular tags."""
+    found = reservoir.reports(spark, _state_sample(spark, folder))
+    last = found.agg(F.max("batch")).first()[0]
+    return found.where(F.col("batch") == last).select("seen", "tag", "count")
+
+
 def stream_sample(spark: SparkSession, folder: str) -> DataFrame:
     return _sample(spark, folder).select("event_id")
 
@@ -149,6 +169,13 @@ _THEN_CLOSED = f"""
 """
 
 QUERIES = {
+    "stream_state_sample": Query(
+        stream_state_sample, f"SELECT event_id FROM ({samples.QUERIES['reservoir_sample'].sql})"
+    ),
+    "stream_state_tags": Query(
+        stream_state_tags,
+        f"SELECT (SELECT count(*) FROM events) AS seen, tag, count FROM ({samples.QUERIES['popular_tags'].sql})",
+    ),
     "closing_windows": Query(closing_windows, windows.QUERIES["fm_window_kmeans"].sql),
     "closing_windows_late": Query(
         closing_windows_late,
