@@ -430,8 +430,11 @@ def _summaries(sets: Sets) -> DataFrame:
 
 
 def sorted_members(labels: DataFrame) -> DataFrame:
-    """Members of each cluster in id order, as rows, with the ``place`` of each from 0.
+    """Members of each cluster in id order, as rows; ranges include the id, so a large cluster
+    spreads over several tasks."""
+    return labels.orderBy("cluster", "id")
 
-    Ranges include the id, so a large cluster spreads over several tasks.
-    """
+
+def placed_members(labels: DataFrame) -> DataFrame:
+    """Members with their ``place`` in the sorted list of their cluster, from 0, without an order of rows."""
     return with_place(labels, ["cluster"], [F.asc_nulls_first("id")])

@@ -21,6 +21,8 @@ from ..functions.text import present
 WORD_BITS = 64
 # Keys over which rows without a value are spread.
 _MISSING = 4096
+# Up to so many words (16 MB) a filter is broadcast, whatever it meets.
+BROADCAST_WORDS = 1 << 20
 
 
 def word_count(buckets: int) -> int:
@@ -74,14 +76,33 @@ def bloom_probe(
     bloom: DataFrame,
     buckets: int = BLOOM_BUCKETS,
     hashes: int = BLOOM_HASHES,
+    broadcast_words: int = BROADCAST_WORDS,
 ) -> DataFrame:
     """Add ``prediction``: 1 if all positions of the value are set, else 0.
 
-    Null and empty values get 0. Works on batch and streaming frames and on filters of any size, in
-    one way: each position looks up its word in a join of its own, which Spark does by broadcast if
-    the filter is small. No row is copied, and nothing is aggregated, so a stream needs no state.
-    Write the filter to a table before it meets a stream.
+    Null and empty values get 0. A filter of up to ``broadcast_words`` words is broadcast: each position
+    looks up its word, no row is copied, moved or aggregated, so a stream needs no state. In batch, a
+    larger filter is met once by the positions of the distinct values, and rows find the value's answer
+    in one more join. A stream meets a larger filter in one join for each hash. Write the filter to a
+    table before it meets a stream.
     """
+    small = word_count(buckets) <= broadcast_words
+    if small or df.isStreaming:
+        return _looked_up(df, col, F.broadcast(bloom) if small else bloom, buckets, hashes)
+    values = df.filter(present(F.col(col))).select(F.col(col).alias("_value")).distinct()
+    at = _with_positions(values, "_value", buckets, hashes).select("_value", F.explode("_at").alias("_position"))
+    word = F.expr(f"_position div {WORD_BITS}") == F.col("word")
+    bit = F.bit_get("bits", F.expr(f"cast(_position % {WORD_BITS} as int)"))
+    found = at.join(bloom, word).groupBy("_value").agg(F.sum(bit.cast("int")).alias("_set")).where(F.col("_set") == hashes)
+    # Rows without a value find nothing, spread over keys that no value has.
+    salt = F.when(present(F.col(col)), 0).otherwise(1 + F.pmod(F.xxhash64(*df.columns), F.lit(_MISSING)))
+    own = df.withColumns({"_key": F.coalesce(F.col(col), F.lit("")), "_salt": salt.cast("int")})
+    marked = own.join(found.withColumn("_none", F.lit(0)), (F.col("_key") == F.col("_value")) & (F.col("_salt") == F.col("_none")), "left")
+    return marked.select(*df.columns, F.col("_set").isNotNull().cast("int").alias("prediction"))
+
+
+def _looked_up(df: DataFrame, col: str, bloom: DataFrame, buckets: int, hashes: int) -> DataFrame:
+    """One join for each hash."""
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(_MISSING)).cast("bigint")
     probed = df.withColumn("_x", text_mod(col, BLOOM_P))
     tests = []

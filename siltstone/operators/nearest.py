@@ -124,6 +124,10 @@ def distances(points: np.ndarray, centre: np.ndarray, deviation: np.ndarray | No
     return np.sqrt((gap * gap).sum(axis=1))
 
 
+# Distances that are bounded, or computed exactly, at a time.
+TILE_NUMBERS = 2_000_000
+
+
 def nearest_rows(
     points: np.ndarray, stats: ClusterStats, threshold: float | None, pick: str = "nearest"
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -131,24 +135,102 @@ def nearest_rows(
 
     With a threshold distances are scaled, and only those strictly below it count; ``pick="first"``
     then takes the first such cluster instead of the nearest.
+
+    Matrix products of a block of points with all clusters give every squared distance up to a rounding
+    error that is bounded; only clusters that may be the answer within that bound are computed by
+    :func:`distances`, so the result is that of computing all.
     """
     if pick not in ("first", "nearest") or (pick == "first" and threshold is None):
         raise ValueError("match must be 'first' or 'nearest', and 'first' needs a threshold")
     best = np.full(len(points), np.inf)
     row = np.full(len(points), -1, np.int64)
-    spread = stats.deviation if threshold is not None else [None] * len(stats)
-    for i in range(len(stats)):
-        d = distances(points, stats.mean[i], spread[i])
-        closer = d < best
-        if threshold is not None:
-            closer = d < threshold if pick == "first" else closer & (d < threshold)
-            if pick == "first":
-                closer &= row < 0
-        best[closer] = d[closer]
-        row[closer] = i
+    if not len(stats) or not len(points):
+        return row, best
+    bounds = _Bounds(stats, threshold)
+    tile = max(1, TILE_NUMBERS // max(len(stats), stats.dimensions))
+    for low in range(0, len(points), tile):
+        part = points[low : low + tile]
+        for at, cluster in bounds.candidates(part, pick):
+            if not len(at):
+                continue
+            d = bounds.exact(part[at], cluster)
+            fits = ~np.isnan(d) if threshold is None else d < threshold
+            at, cluster, d = at[fits & (d < np.inf)], cluster[fits & (d < np.inf)], d[fits & (d < np.inf)]
+            if not len(at):
+                continue
+            # Pairs come by point, then by cluster: the first, or the first of the least, is the answer.
+            starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            if pick == "nearest":
+                least = np.repeat(np.minimum.reduceat(d, starts), np.diff(np.append(starts, len(at))))
+                kept = np.flatnonzero(d == least)
+                at, cluster, d = at[kept], cluster[kept], d[kept]
+                starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            row[low + at[starts]] = cluster[starts]
+            best[low + at[starts]] = d[starts]
     return row, best
 
 
+class _Bounds:
+    """Least and greatest squared distances of points to all clusters, up to rounding, by matrix products."""
+
+    def __init__(self, stats: ClusterStats, threshold: float | None) -> None:
+        self.mean, self.threshold = stats.mean, threshold
+        self.spread = stats.deviation if threshold is not None else None
+        if self.spread is None:
+            self.flat = np.zeros(len(stats), bool)
+            weight = np.ones_like(self.mean)
+        else:
+            # A flat dimension adds nothing or infinity, so without it the bound from below holds.
+            self.flat = (self.spread == 0).any(axis=1)
+            with np.errstate(divide="ignore", over="ignore"):
+                weight = np.where(self.spread == 0, 0.0, 1.0 / self.spread**2)
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.weight, self.weighted = weight.T, (self.mean * weight).T
+            self.own = (self.mean**2 * weight).sum(axis=1)
+        # Twice what sums of so many rounded products can be wrong by, relative to their terms.
+        self.rounding = 8.0 * (stats.dimensions + 8) * np.finfo(np.float64).eps
+
+    def candidates(self, points: np.ndarray, pick: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of a point's and a cluster's row that have to be computed, by point and cluster."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            squares = (points**2) @ self.weight
+            middle = squares - 2.0 * (points @ self.weighted) + self.own
+            # 2 |x m| is at most x x + m m, so this bounds the size of all terms.
+            error = self.rounding * (squares + self.own)
+            lower, upper = middle - error, np.where(self.flat, np.inf, middle + error)
+        # Rows with anything that is no number are computed against all clusters.
+        odd = ~np.isfinite(middle).all(axis=1)
+        if self.threshold is None:
+            limit = upper.min(axis=1, initial=np.inf)
+        else:
+            limit = np.full(len(points), self.threshold**2 * (1 + 1e-12))
+            if pick == "nearest":
+                limit = np.minimum(limit, upper.min(axis=1, initial=np.inf))
+        possible = lower <= limit[:, None]
+        if pick == "first":
+            sure = upper < self.threshold**2 * (1 - 1e-12)
+            first = np.where(sure.any(axis=1), sure.argmax(axis=1), len(self.mean))
+            possible &= np.arange(len(self.mean)) <= first[:, None]
+        possible[odd] = True
+        at, cluster = np.nonzero(possible)
+        # Whole points at a time, about as many pairs as fit.
+        most = max(1, TILE_NUMBERS // self.mean.shape[1])
+        begin = 0
+        while begin < len(at):
+            end = min(begin + most, len(at))
+            if end < len(at):
+                end = int(np.searchsorted(at, at[end]))
+                if end <= begin:
+                    end = int(np.searchsorted(at, at[begin], "right"))
+            yield at[begin:end], cluster[begin:end]
+            begin = end
+
+    def exact(self, points: np.ndarray, cluster: np.ndarray) -> np.ndarray:
+        """Distance of each point to its own cluster."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            return distances(points, self.mean[cluster], None if self.spread is None else self.spread[cluster])
+
+
 NEAREST_TYPE = "struct<cluster: bigint, distance: double>"
 
 

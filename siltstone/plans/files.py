@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import FM_A, FM_B, FM_P, binary_text, text_mod
 from ..functions.text import in_year
 from ..operators import clusters, exploration, partitions, sampling
-from ..operators.bfr import sorted_members
+from ..operators.bfr import placed_members
 from ..session import new_folder
 from ..sources import readers, writers
 from ..streaming import distinct as stream_distinct
@@ -151,7 +151,7 @@ def point_count(spark: SparkSession, folder: str) -> DataFrame:
 
 def members_in_order(spark: SparkSession, folder: str) -> DataFrame:
     """Place of each point among the members of its cluster, sorted by id."""
-    return sorted_members(clustering.bfr_labels(spark, folder))
+    return placed_members(clustering.bfr_labels(spark, folder))
 
 
 def census_unmoved(spark: SparkSession, folder: str) -> DataFrame:

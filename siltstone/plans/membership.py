@@ -40,6 +40,14 @@ def bloom_probe_large(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("c_custkey", "prediction")
 
 
+def bloom_probe_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """The same filter, probed as one that is too large to broadcast."""
+    bloom = ops.bloom_build(users(spark, folder), "user", LARGE_BUCKETS, LARGE_HASHES)
+    customers = table(spark, folder, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("user"))
+    found = ops.bloom_probe(customers, "user", bloom, LARGE_BUCKETS, LARGE_HASHES, broadcast_words=0)
+    return found.select("c_custkey", "prediction")
+
+
 def document_hashes(spark: SparkSession, folder: str) -> DataFrame:
     """Remainder of every whole text."""
     return table(spark, folder, "documents").select("doc_id", text_mod("text", BLOOM_P).alias("remainder"))
@@ -79,6 +87,7 @@ QUERIES = {
     "bloom_build": Query(bloom_build, _seen_sql()),
     "bloom_probe": Query(bloom_probe, _probe_sql()),
     "bloom_probe_large": Query(bloom_probe_large, _probe_sql(10_000_019)),
+    "bloom_probe_shuffled": Query(bloom_probe_shuffled, _probe_sql(10_000_019)),
     "document_hashes": Query(
         document_hashes, f"SELECT doc_id, {mod_sql('text', 233333333333)} AS remainder FROM documents"
     ),
