@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import packing, quality, toxicity
+from siltstone.llm import byte_bpe, packing, quality, token_counts, toxicity
 from siltstone.llm.exact_dedup import without_copies
 from siltstone.llm.jaccard_join import jaccard_components
 from siltstone.session import written
@@ -24,22 +24,30 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the base counts and the classifier, which learns from all labelled documents."""
+    """Rows that pass the base counts and the classifier, which learns from labelled documents.
+
+    Null and empty texts have too few words and go. Rows are judged by their text alone, so null and
+    repeated identifiers and equal rows don't matter; an empty table stays empty. Without usable labels
+    the base counts decide.
+    """
     model = quality.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), _labels(spark, sf_dir))
     return docs.where(quality.judge(spark, model, F.col("text"))["kept"])
 
 
 def no_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with a score below the threshold; the classifier learns from all labelled documents.
+    """Rows with a score below the threshold; the classifier learns from labelled documents.
 
-    Without any usable label nothing counts as toxic, and all rows stay.
+    Null texts count as empty ones. Without any usable label nothing scores as toxic, and all rows stay.
     """
     weights = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), _labels(spark, sf_dir))
-    return docs.where(~toxicity.toxic(weights, toxicity.score(spark, weights, F.col("text")), TOXIC_FROM))
+    return docs.where(toxicity.score(spark, weights, F.col("text")) < TOXIC_FROM)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text, that with the smallest identifier."""
+    """One row of each text, that with the smallest identifier; nulls come last, and equal rows leave one.
+
+    A null text counts as an empty one; an empty table stays empty.
+    """
     return without_copies(docs)
 
 
@@ -61,8 +69,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequence and place."""
-    return packing.best_fit(docs)
+    """Pieces of the documents with their sequence and place.
+
+    The size of a document are the tokens of its whole text and one for its end, 1 for a null or empty
+    text. Equal sizes go by identifier, nulls first, then by row; an empty table has no pieces.
+    """
+    return packing.best_fit(docs, token_counts.tokens_and_end(spark, byte_bpe.load()))
 
 
 STAGES = [
