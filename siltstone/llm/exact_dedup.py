@@ -2,10 +2,11 @@
 
 Rows are range partitioned and sorted by their normalised bytes, so that equal texts are neighbours,
 and neighbours are compared in full. The splitters that Spark samples hold no whole text, only its
-first characters, a hash of 128 bits and the identifier; the rest of the order (the text itself) is applied by
-the external sort within a partition. As the identifier is part of the order, a text that a third of
-all rows share is spread over as many partitions as its size asks for: the runs at the ends of
-partitions are put together afterwards, one row per end.
+first characters, a hash of 128 bits, the identifier and a number of the row; the rest of the order (the
+text itself) is applied by the external sort within a partition. As identifier and number are part of
+the order, a text that a third of all rows share is spread over as many partitions as its rows ask for,
+also where they have one identifier or none: the runs at the ends of partitions are put together
+afterwards, one row per end.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from ..session import written
 from .spans import slices
 
 PREFIX_CHARACTERS = 16
+#: Rows of a run that leave a task in one batch.
+SLICE_ROWS = 200_000
 
 
 def _runs(schema: pa.Schema, whole: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
@@ -39,23 +42,27 @@ def _runs(schema: pa.Schema, whole: bool) -> Callable[[Iterable[pa.RecordBatch]]
         own = pa.concat_arrays(ids)
         lengths = np.array(lengths)
         begins = np.cumsum(lengths) - lengths
-        numbers = np.repeat(np.arange(len(lengths)), lengths)
+        keep = own.take(pa.array(begins))
         first = np.zeros(len(own), bool)
         first[begins] = True
         edge = np.zeros(len(lengths), bool)
         edge[0] |= run == 0
         edge[-1] |= last
         shas = pa.array([hashlib.sha256(text.encode()).hexdigest() for text in leads.to_pylist()], pa.string())
-        shown = pa.array(numbers, mask=~(first & (edge[numbers] | whole)))
-        columns = [
-            own, pa.array(np.full(len(own), part, np.int32)), pa.array(numbers + run), pa.array(first),
-            own.take(pa.array(begins)).take(pa.array(numbers)), pa.array(lengths[numbers]),
-            shas.take(pa.array(numbers)), pa.array(edge[numbers]), leads.take(shown),
-        ]
-        columns = [c.cast(f.type) for c, f in zip(columns, schema)]
-        if rest is not None:
-            columns.append(pa.StructArray.from_arrays(rest.take(shown).flatten(), fields=list(schema.field("rest").type)))
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        # In slices, as a run may have more rows than one batch can hold hashes for.
+        for low in range(0, len(own), SLICE_ROWS):
+            here = slice(low, min(low + SLICE_ROWS, len(own)))
+            numbers = np.searchsorted(begins, np.arange(here.start, here.stop), "right") - 1
+            run_of = pa.array(numbers)
+            shown = pa.array(numbers, mask=~(first[here] & (edge[numbers] | whole)))
+            columns = [
+                own.slice(low, len(numbers)), pa.array(np.full(len(numbers), part, np.int32)), pa.array(numbers + run), pa.array(first[here]),
+                keep.take(run_of), pa.array(lengths[numbers]), shas.take(run_of), pa.array(edge[numbers]), leads.take(shown),
+            ]
+            columns = [c.cast(f.type) for c, f in zip(columns, schema)]
+            if rest is not None:
+                columns.append(pa.StructArray.from_arrays(rest.take(shown).flatten(), fields=list(schema.field("rest").type)))
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def numbered(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         part, run = TaskContext.get().partitionId(), 0
@@ -79,14 +86,14 @@ def _runs(schema: pa.Schema, whole: bool) -> Callable[[Iterable[pa.RecordBatch]]
                 leads = pa.concat_arrays([lead, leads])
                 rests = pa.concat_arrays([lead_rest, rests]) if rest is not None else None
             if lengths:
-                yield finished(part, run, [*ids, keys.slice(0, starts[-1])], lengths, leads, rests, False)
+                yield from finished(part, run, [*ids, keys.slice(0, starts[-1])], lengths, leads, rests, False)
                 run += len(lengths)
             # Copies, so that the batch can go.
             ids = [keys.take(pa.array(np.arange(starts[-1], len(keys))))]
             lead = column.take(pa.array(starts[-1:]))
             lead_rest = rest.take(pa.array(starts[-1:])) if rest is not None else None
         if lead is not None:
-            yield finished(part, run, ids, [sum(map(len, ids))], lead, lead_rest, True)
+            yield from finished(part, run, ids, [sum(map(len, ids))], lead, lead_rest, True)
 
     return numbered
 
@@ -101,13 +108,15 @@ def _decided(
     rows = docs.select(
         F.col(id_column).alias("id"),
         (normalise(text) if normalise else text).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
         *([F.struct(*rest).alias("rest")] if rest else []),
     )
     by_id = F.asc_nulls_last("id") if keep == "smallest" else F.desc_nulls_last("id")
     # Two hashes, as different texts between which ids could alternate must not share a place.
     place = [F.substring("text", 1, PREFIX_CHARACTERS), F.xxhash64("text"), F.xxhash64(F.lit(PREFIX_CHARACTERS), "text")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(parts, *place, by_id).sortWithinPartitions(*place, "text", by_id)
+    # The row's own number comes last, so that equal texts under one identifier, or none, are spread as well.
+    placed = rows.repartitionByRange(parts, *place, by_id, "row").sortWithinPartitions(*place, "text", by_id, "row").drop("row")
     fields = {f.name: f.dataType for f in rows.schema}
     schema = (
         T.StructType()
