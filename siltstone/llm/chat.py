@@ -14,16 +14,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 SYSTEM = "system"
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
-#: Turns whose lengths are added up in one window; the sums of such blocks are added up after them.
+#: Rows whose lengths are added up in one window; the sums of such blocks are added up after them.
 BLOCK = 256
 
 
+def _in_blocks(rows: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Adds ``at``, which rises in the order of ``order``, and ``block``, of ``BLOCK`` such rows at most.
+
+    Rows are dealt into ranges of the order and numbered in them, so blocks go by rows: turns that
+    repeat or are null, or a conversation that a third of all rows share, make more blocks, no larger ones.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = [*order, "row"]
+    ranged = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(parts, *whole).sortWithinPartitions(*whole)
+    numbered = written(ranged.drop("row").withColumn("at", F.monotonically_increasing_id()), "turns")
+    return numbered.withColumn("block", F.floor(F.col("at") / BLOCK))
+
+
 def _before(rows: DataFrame, keys: list[str], order: list[Column], size: Column) -> DataFrame:
     """Adds ``seq`` and ``char_start``: rows and characters before each row within ``keys``."""
     local = Window.partitionBy(*keys, "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    # By block, so that the turns of a long conversation are spread over tasks.
+    # By block, so that the rows of a long conversation are spread over tasks.
     rows = rows.withColumn("size", size).repartition(*keys, "block")
     own = rows.withColumns({"own_rows": F.count(F.lit(1)).over(local), "own_size": F.coalesce(F.sum("size").over(local), F.lit(0))})
     totals = rows.groupBy(*keys, "block").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
@@ -57,7 +72,8 @@ def perspectives(
     ``learn_end`` are the characters to learn, null where the segment is masked. A null role is
     rendered as a user without a name and is no participant; a null text counts as empty; rows with a
     null conversation belong to one conversation. A conversation without participants gives no rows.
-    Other columns are ignored.
+    Other columns are ignored, an empty table gives an empty result. Rows out are participants times
+    turns of each conversation, by the method.
     """
     rows = turns.select(
         F.col(conv_column).alias("conv_id"),
@@ -67,8 +83,8 @@ def perspectives(
         F.col(turn_column).cast("long").alias("turn"),
         F.col(role_column).alias("speaker"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col(turn_column) / BLOCK).cast("long"), F.lit(-(1 << 62))).alias("block"),
     )
+    rows = _in_blocks(rows, ["nowhere", "conv", F.asc("turn"), F.asc("speaker"), F.asc("text")])
     speakers = rows.where(F.col("speaker").isNotNull() & (F.col("speaker") != system)).select(
         "conv", "nowhere", F.col("speaker").alias("participant")
     ).distinct()
@@ -78,8 +94,7 @@ def perspectives(
     named = ~own & F.col("speaker").isNotNull() & (F.col("speaker") != system)
     header = F.concat(F.lit(OPEN), role, F.when(named, F.concat(F.lit(" name="), F.col("speaker"))).otherwise(""), F.lit(CLOSE))
     seen = seen.withColumns({"own": own, "role": role, "head": F.length(header), "segment": F.concat(header, "text", F.lit(END))})
-    order = [F.asc("turn"), F.asc("speaker"), F.asc("text")]
-    placed = _before(seen, ["conv", "nowhere", "participant"], order, F.length("segment"))
+    placed = _before(seen, ["conv", "nowhere", "participant"], [F.asc("at")], F.length("segment"))
     learnt = lambda place: F.when(F.col("own"), place)
     return placed.select(
         "conv_id",

@@ -48,6 +48,15 @@ def test_long_conversation_in_blocks(spark, monkeypatch, block):
     assert rows_of(chat.perspectives(table(spark, rows))) == plain(rows)
 
 
+def test_blocks_go_by_rows(spark, monkeypatch):
+    """One conversation without number, most turns null or equal: no block has more rows than the bound."""
+    monkeypatch.setattr(chat, "BLOCK", 50)
+    rows = [(None, None if i % 2 else i % 3, f"p{i % 2}", f"text {i}") for i in range(900)] + ROWS
+    assert rows_of(chat.perspectives(table(spark, rows))) == plain(rows)
+    blocks = chat._in_blocks(table(spark, rows), ["conv_id", "turn", "role", "text"]).groupBy("block").count().collect()
+    assert max(r["count"] for r in blocks) <= 50 and len(blocks) >= 18
+
+
 def test_segments_are_the_text(spark):
     found = [r for r in chat.perspectives(table(spark, ROWS)).collect() if (r.conv_id, r.participant) == (1, "bo")]
     text = "".join(r.segment for r in sorted(found, key=lambda r: r.seq))
