@@ -47,6 +47,8 @@ from .spans import SPACES, mix, slices, spans, texts, windows
 BLOCK_ITEMS = 1 << 20
 MOST_ITEMS = 1 << 23
 BLOCK_ROWS = 60_000
+#: Bytes of text whose n-grams a bucket takes, at about which it is held by one task.
+BUCKET_BYTES = 64 << 20
 #: Ranges of a bucket that are sorted one after the other.
 RANGES = 8
 #: n-grams of a group that one task takes.
@@ -470,8 +472,10 @@ def jaccard_components(
     t = Fraction(threshold).limit_denominator(10_000)
     if not Fraction(1, 2) < t <= 1:
         raise ValueError("the threshold lies above 1/2 and not above 1")
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    # As many as the texts ask for, whatever the number of partitions, so that a bucket doesn't grow with them.
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / BUCKET_BYTES))
     shared = rows.mapInArrow(_send(width, buckets), _SENT).groupBy("bucket").applyInArrow(_shared, _BACK)
     documents = written(shared.groupBy("block").applyInArrow(_documents(t), _DOCUMENTS), "sets")
 

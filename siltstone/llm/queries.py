@@ -35,6 +35,36 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
 
+# Sets of n-grams, pairs by what they share, and the smallest identifier that links reach, one step further a round.
+OP2_SQL = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), grams AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS gram
+    FROM cut
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(gram) AS n FROM documents LEFT JOIN grams USING (doc_id) GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), both_ways AS MATERIALIZED (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sizes
+    UNION
+    SELECT r.doc_id, w.b FROM reached r JOIN both_ways w ON w.a = r.other
+)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM sizes JOIN reached USING (doc_id) GROUP BY doc_id, n
+"""
+
+
 def op3_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return shards(table(spark, folder, "documents"), EIGHT, grown(EIGHT, 8))
 
@@ -217,7 +247,7 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": Query(op1_exact_dedup, OP1_SQL),
-    "op2_jaccard_join": Query(op2_jaccard_join),
+    "op2_jaccard_join": Query(op2_jaccard_join, OP2_SQL),
     "op3_hash_tree": Query(op3_hash_tree, OP3_SQL),
     "op4_token_counts": Query(op4_token_counts),
     "op5_toxicity": Query(op5_toxicity),

@@ -42,6 +42,16 @@ def test_families_equal_brute_force(spark, seed):
     assert rows_of(J.jaccard_components(odd_docs(spark, rows).repartition(5)), *COLUMNS) == sort(linked(rows))
 
 
+def test_buckets_by_the_bytes(spark, monkeypatch):
+    """More buckets than partitions ask for: the same links."""
+    rows = near_rows(3, 6, 10, 120)
+    monkeypatch.setattr(J, "BUCKET_BYTES", 500)
+    seen = []
+    monkeypatch.setattr(J, "_send", lambda width, buckets, send=J._send: seen.append(buckets) or send(width, buckets))
+    assert rows_of(J.jaccard_components(odd_docs(spark, rows).repartition(4)), *COLUMNS) == sort(linked(rows))
+    assert seen == [-(-sum(len(text.encode()) for _, text in rows) // 500)] and seen[0] > 100
+
+
 def test_large_groups_are_split(spark, monkeypatch):
     monkeypatch.setattr(J, "GROUP_ITEMS", 2500)
     rows = near_rows(3, 3, 60, 150)
