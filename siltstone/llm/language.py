@@ -53,11 +53,16 @@ def _lowered() -> np.ndarray:
 _LOWER = _lowered()
 
 
-def _places(data: np.ndarray) -> np.ndarray:
-    """Place of the run of a byte and its two neighbours; what is no letter counts as an edge."""
-    padded = np.zeros(len(data) + 2, np.uint32)
-    padded[1:-1] = _LOWER[data]
-    runs = padded[:-2] * np.uint32(0x9E3779B1) + padded[1:-1] * np.uint32(0x85EBCA77) + padded[2:] * np.uint32(0xC2B2AE3D)
+def _places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Place of the run of a byte and its two neighbours; what is no letter, and a text's end, counts as an edge."""
+    lowered = _LOWER[data]
+    before, behind = np.zeros_like(lowered), np.zeros_like(lowered)
+    before[1:], behind[:-1] = lowered[:-1], lowered[1:]
+    # No run reaches into the next text of the batch.
+    full = np.flatnonzero(np.diff(offsets))
+    before[offsets[full]] = 0
+    behind[offsets[full + 1] - 1] = 0
+    runs = before * np.uint32(0x9E3779B1) + lowered * np.uint32(0x85EBCA77) + behind * np.uint32(0xC2B2AE3D)
     return (runs * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS)
 
 
@@ -72,8 +77,8 @@ def fit(rows: DataFrame, text_column: str = "text", lang_column: str = "lang") -
                 own = batch.filter(pc.equal(langs, name)).column("text")
                 total = totals.setdefault(name, np.zeros(PLACES, np.int64))
                 for piece in array_slices(own):
-                    data, _ = texts(piece)
-                    total += np.bincount(_places(data)[~_NO_LETTER[data]], minlength=PLACES)
+                    data, offsets = texts(piece)
+                    total += np.bincount(_places(data, offsets)[~_NO_LETTER[data]], minlength=PLACES)
         for name, total in totals.items():
             place = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"lang": [name] * len(place), "place": place.astype(np.int32), "n": total[place]})
@@ -120,7 +125,7 @@ def _chosen(column: pa.Array, model: Model) -> pa.StructArray:
     share = np.zeros((rows, size))
     full = np.flatnonzero(np.diff(words.offsets))
     if len(full) and size:
-        places = _places(data)
+        places = _places(data, offsets)
         logs = np.empty((len(words.starts), size))
         total = np.zeros(len(data) + 1)
         for k in range(size):
