@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 SPACE = r"[^\x20\x09-\x0D]+"
 WORDS = "the of and to in is reason stone river cloud paper silver window garden mountain letter".split()
 CLASHING = "doc_id long, text string, lang string, source string, n_chars long, id long, row long, n long, part int, run long, keep string, rest string, size long, score double, node long, block long, key1 long, low long, group int, piece int"
+CLASHING += ", row_number long, number long, known long, component_id long, kept boolean, verdict string, probability double, draw double, y double, at long, pair long, a long, b long, spans string, labels string, own string"
 
 
 def prose(seed: int, n: int) -> str:
@@ -32,7 +33,7 @@ def odd_rows() -> list[tuple[int | None, str | None]]:
 def odd_docs(spark, rows=None):
     """The rows with other columns whose names clash with what operators use inside."""
     rows = odd_rows() if rows is None else rows
-    full = [(i, t, "en" if k % 3 else None, "s", 0, -1, 7, 8, 9, 10, "k", "r", 1, 0.5, 2, 3, 4, 5, 6, 7) for k, (i, t) in enumerate(rows)]
+    full = [(i, t, "en" if k % 3 else None, "s", 0, -1, 7, 8, 9, 10, "k", "r", 1, 0.5, 2, 3, 4, 5, 6, 7, 8, 9, 1, 2, True, "v", 0.5, 0.1, 1.0, 3, 4, 5, 6, "s", "l", "o") for k, (i, t) in enumerate(rows)]
     return spark.createDataFrame(full, CLASHING)
 
 
