@@ -67,7 +67,12 @@ def _places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: DataFrame, text_column: str = "text", lang_column: str = "lang") -> Model:
-    """Count over all rows with text and language; the result is bounded by languages and places."""
+    """Count over all rows with text and language.
+
+    What comes to the driver, by column, is at most a count for each language and place; the model that
+    is broadcast has 256 KB a language. Null texts and languages don't count, repeated rows count each
+    for themselves, an empty table gives a model without languages.
+    """
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -89,12 +94,18 @@ def fit(rows: DataFrame, text_column: str = "text", lang_column: str = "lang") -
     found = (
         known.mapInArrow(counted, "lang string, place int, n bigint").groupBy("lang", "place").agg(F.sum("n").alias("n")).toArrow()
     )
-    names = sorted(set(found.column("lang").to_pylist()))
-    number = {name: i for i, name in enumerate(names)}
-    counts = np.full((len(names), PLACES), PRIOR)
-    where = np.array([number[name] for name in found.column("lang").to_pylist()], np.int64)
-    counts[where, found.column("place").to_numpy()] += found.column("n").to_numpy()
-    logs = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    langs = found.column("lang").combine_chunks().dictionary_encode()
+    given = langs.dictionary.to_pylist()
+    names = sorted(given)
+    row = np.array([names.index(name) for name in given], np.int64)[langs.indices.to_numpy()]
+    place, n = found.column("place").to_numpy(), found.column("n").to_numpy()
+    totals = np.bincount(row, weights=n, minlength=len(names)) + PRIOR * PLACES
+    # Log-frequencies in 32 bits, one language's table at a time in full width.
+    logs = np.empty((len(names), PLACES), np.float32)
+    for k in range(len(names)):
+        counts = np.full(PLACES, PRIOR)
+        counts[place[row == k]] += n[row == k]
+        logs[k] = np.log(counts / totals[k])
     return Model(names, logs)
 
 
