@@ -8,7 +8,8 @@ from ..operators import distinct as ops
 from .membership import mod_sql
 from .registry import Query, table
 
-# What the SQL below is written with; the package has its own copy of these values.
+# Fixed values of the hash functions and of the one-dimensional k-means. The SQL below is written with
+# them; the package has its own copy.
 FM_P, ZERO_HASH_DIGITS = 233333333, 20
 FM_A = (
     92293349, 106073835, 23011172, 213736157, 30805497, 212504684,
