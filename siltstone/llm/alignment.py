@@ -15,14 +15,19 @@ in any document since they are rare, meet their counts in a join, where no pair
 from __future__ import annotations
 
 import hashlib
+import json
+import os
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -34,15 +39,18 @@ FIRST = public_tokenizers.path("byte_bpe_50k.json")
 SECOND = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 #: Bytes of text that a worker encodes at a time.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Tokens whose links a worker holds at a time; one document may have more.
-SLICE_TOKENS = 1 << 19
-#: Different pairs that a task counts before it sends them.
+SLICE_TOKENS = 1 << 16
+#: Pairs that a task holds before it sends them.
 HELD_PAIRS = 2_000_000
 #: Pairs whose counts are broadcast, 20 bytes each.
 HEAD = 1_000_000
-#: An id of the second tokenizer is below this.
-RADIX = 1 << 32
+#: A pair of ids is one number; an id of the second tokenizer is below this.
+RADIX = 1 << 20
+#: Texts of these characters are cut alike by both libraries that know the first vocabulary: their tables of
+#: letters, digits and spaces agree on them. Other texts go to the slower one, which defines the result.
+ALIKE = re.compile("[\x00-\u024f\u2010-\u2027\u20a0-\u20bf\u4e00-\u9fa5]*")
 
 
 @dataclass
@@ -154,30 +162,50 @@ class Coders:
     """Both tokenizers and the bytes of their tokens; made once in a worker process."""
 
     def __init__(self, first: str, second: bytes) -> None:
-        self.first = Tokenizer.from_str(first)
-        # Strings of special tokens in a text are text.
-        self.first.encode_special_tokens = True
+        self.given = first
         self.second = sentencepiece.SentencePieceProcessor(model_proto=second)
         letters = {char: value for value, char in byte_letters().items()}
-        size = self.first.get_vocab_size(with_added_tokens=True)
-        names = [self.first.id_to_token(i) or "" for i in range(size)]
-        self.a_bytes = [bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode() for name in names]
+        tokenizer = json.loads(first)
+        special = {token["id"]: token["content"] for token in tokenizer["added_tokens"]}
+        names = {i: name for name, i in tokenizer["model"]["vocab"].items()} | special
+        self.a_bytes = [names[i].encode() if i in special else bytes(letters[c] for c in names[i]) for i in range(max(names) + 1)]
+        self.ranks = {token: i for i, token in enumerate(self.a_bytes) if i not in special}
         self.b_bytes = [
             bytes([int(name[3:5], 16)]) if self.second.is_byte(i) else name.replace(MARK, " ").encode()
             for i, name in ((i, self.second.id_to_piece(i)) for i in range(self.second.get_piece_size()))
         ]
 
+    @cached_property
+    def first(self) -> Tokenizer:
+        """The first tokenizer; strings of special tokens in a text are text."""
+        # Spark runs the tasks; a task has one thread.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        tokenizer = Tokenizer.from_str(self.given)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    @cached_property
+    def fast(self) -> tiktoken.Encoding:
+        """The first vocabulary by its ranks; ids are ranks."""
+        return tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
+
+    def first_ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of the first tokenizer for a space and each text."""
+        slow = [i for i, text in enumerate(texts) if not ALIKE.fullmatch(text)]
+        rest = iter(self.first.encode_batch([" " + texts[i] for i in slow], add_special_tokens=False) if slow else ())
+        slow = set(slow)
+        return [next(rest).ids if i in slow else self.fast.encode_ordinary(" " + text) for i, text in enumerate(texts)]
+
     def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """Ids of both for each text; none where a text is empty or the bytes of either aren't the text's after a space."""
         held = [text for text in texts if text]
-        firsts = self.first.encode_batch([" " + text for text in held], add_special_tokens=False)
-        found = iter(zip(held, firsts, self.second.encode(held, num_threads=1)))
+        found = iter(zip(held, self.first_ids(held), self.second.encode(held, num_threads=1)))
         rows: list[tuple[list[int], list[int]]] = []
         for given in texts:
             a, b = [], []
             if given:
-                text, first, b = next(found)
-                a, data = first.ids, b" " + text.encode()
+                text, a, b = next(found)
+                data = b" " + text.encode()
                 if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
                     a, b = [], []
             rows.append((a, b))
@@ -218,11 +246,18 @@ def load(first: str = FIRST, second: str = SECOND) -> Models:
         return Models(one.read(), other.read())
 
 
-ENCODED = "a array<int>, b array<int>"
+#: Ids of a text, one after the other, as small unsigned numbers.
+ENCODED = "a binary, b binary"
+ID = np.dtype("<u2")
 
 
 def encoded(docs: DataFrame, models: Models, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: doc_id, row (a number of its own) and the ids of both tokenizers, written once."""
+    """One row per document: doc_id, row (a number of its own) and the ids of both tokenizers, written once.
+
+    The ids of a text are one binary value, two bytes an id, so they pass through Spark as bytes.
+    """
+    if max(map(len, models.lengths())) > 1 << 16:
+        raise ValueError("a vocabulary has more than 65,536 entries")
     shared = docs.sparkSession.sparkContext.broadcast(models)
     id_type = dict(docs.dtypes)[id_column]
 
@@ -230,8 +265,7 @@ def encoded(docs: DataFrame, models: Models, id_column: str = "doc_id", text_col
         coders = shared.value.coders
         for batch in slices(batches, "text", SLICE_BYTES):
             rows = coders.encode(batch.column("text").to_pylist())
-            kind = pa.list_(pa.int32())
-            ids = [pa.array([row[side] for row in rows], kind) for side in (0, 1)]
+            ids = [pa.array([np.array(row[side], ID).tobytes() for row in rows], pa.binary()) for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), *ids], names=["doc_id", "row", "a", "b"])
 
     rows = docs.select(
@@ -260,37 +294,55 @@ class Tokens:
 def _tokens(batches: Iterable[pa.RecordBatch], a_lengths: np.ndarray, b_lengths: np.ndarray) -> Iterator[Tokens]:
     """Slices of about ``SLICE_TOKENS`` tokens, or of a single row."""
     for batch in batches:
-        counts = [np.diff(batch.column(side).offsets.to_numpy()).astype(np.int64) for side in ("a", "b")]
+        counts = [pc.binary_length(batch.column(side)).to_numpy().astype(np.int64) // ID.itemsize for side in ("a", "b")]
         ends = np.cumsum(counts[0] + counts[1])
         first = 0
         while first < batch.num_rows:
             before = ends[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(ends, before + SLICE_TOKENS, "right")))
             piece = batch.slice(first, last - first)
-            a, b = (piece.column(side).flatten().to_numpy().astype(np.int64) for side in ("a", "b"))
+            a, b = (np.frombuffer(b"".join(piece.column(side).to_pylist()), ID).astype(np.int64) for side in ("a", "b"))
             yield Tokens(piece, a, b, align(a_lengths[a], counts[0][first:last], b_lengths[b], counts[1][first:last]))
             first = last
 
 
+def _sorted_distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and counts of all parts, each pair once."""
+    keys, counts = (np.concatenate(side) for side in zip(*parts))
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+
+
 def pair_counts(tokens: DataFrame, models: Models, held: int = HELD_PAIRS) -> DataFrame:
     """a, b, n: in how many documents each pair of ids is linked; ``best`` if no pair of that a has more."""
     lengths = tokens.sparkSession.sparkContext.broadcast(models.lengths())
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        total = 0
         for each in _tokens(batches, *lengths.value):
             owner, pair = each.pairs()
-            order = np.lexsort((owner, pair))
-            owner, pair = owner[order], pair[order]
-            new = np.ones(len(pair), bool)
-            new[1:] = (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])
-            own, own_counts = np.unique(pair[new], return_counts=True)
-            keys, inverse = np.unique(np.concatenate([keys, own]), return_inverse=True)
-            counts = np.bincount(inverse, weights=np.concatenate([counts, own_counts]), minlength=len(keys)).astype(np.int64)
-            if len(keys) > held:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
-                keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
+            # Pair and document in one number: each document counts once for a pair.
+            once = _sorted_distinct(pair * each.batch.num_rows + owner)
+            parts.append(np.unique(once // each.batch.num_rows, return_counts=True))
+            total += len(parts[-1][0])
+            if total > held:
+                parts = [_added(parts)]
+                total = len(parts[0][0])
+            if total > held // 2 and len(parts) == 1:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts.pop()], names=["pair", "n"])
+                total = 0
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _added(parts)], names=["pair", "n"])
 
     sums = tokens.select("a", "b").mapInArrow(counted, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     sums = written(sums.withColumn("a", F.floor(F.col("pair") / RADIX)), "pairs")

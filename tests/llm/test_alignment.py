@@ -117,6 +117,21 @@ def test_counts_sent_in_parts(spark):
     assert whole == parts and len(whole) > 100
 
 
+def test_both_libraries_cut_alike():
+    """Every character that the fast one gets, alone and between letters, digits, signs and spaces."""
+    every = [chr(c) for c in range(0x10000) if alignment.ALIKE.fullmatch(chr(c))]
+    assert len(every) > 20_000
+    texts = [f"{x}a{x}{x} {x}1{x} .{x}\n{x}  {x}'s{x}" for x in every]
+    slow = CODERS.first.encode_batch([" " + text for text in texts], add_special_tokens=False)
+    assert [CODERS.fast.encode_ordinary(" " + text) for text in texts] == [each.ids for each in slow]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=60), max_size=5))
+def test_ids_of_any_text(texts):
+    assert CODERS.first_ids(texts) == [CODERS.first.encode(" " + text, add_special_tokens=False).ids for text in texts]
+
+
 def test_bytes_of_tokens():
     assert len(CODERS.a_bytes) == 50_257 and len(CODERS.b_bytes) == 32_000
     assert sorted(token for token in CODERS.a_bytes if len(token) == 1) == [bytes([b]) for b in range(256)]
