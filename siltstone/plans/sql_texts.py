@@ -70,7 +70,7 @@ def sql_signatures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _POSITIONS = ", ".join(f"(x * {a}::BIGINT + 83) % 233333333333 % 5000" for a in (83, 96, 44, 82, 25, 5, 101))
-_RUNS = ", ".join(windows._zeros_sql(a, b) for a, b in zip(windows.FM_A, windows.FM_B))
+_RUNS = ", ".join(windows.zeros_sql(a, b) for a, b in zip(windows.FM_A, windows.FM_B))
 
 QUERIES = {
     "sql_top_words": Query(sql_top_words, exploration.QUERIES["top_words"].sql),

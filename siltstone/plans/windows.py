@@ -62,7 +62,7 @@ def pairs_sql(chosen: str) -> str:
 _PAIRS_SQL = pairs_sql("true")
 
 
-def _zeros_sql(a: int, b: int) -> str:
+def zeros_sql(a: int, b: int) -> str:
     value = f"((x * {a}::BIGINT + {b}) % {FM_P})"
     return (
         f"CASE WHEN {value} = 0 THEN {ZERO_HASH_DIGITS} "
@@ -71,7 +71,7 @@ def _zeros_sql(a: int, b: int) -> str:
 
 
 _RUNS = ", ".join(
-    f"max({_zeros_sql(a, b)}) AS z{i}" for i, (a, b) in enumerate(zip(FM_A, FM_B))
+    f"max({zeros_sql(a, b)}) AS z{i}" for i, (a, b) in enumerate(zip(FM_A, FM_B))
 )
 _HASHED_SQL = f"SELECT u, {mod_sql('u', FM_P)} AS x FROM (SELECT DISTINCT u FROM pairs)"
 _BITS_SQL = f"""
