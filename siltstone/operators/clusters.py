@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import moments
 from .matching import greedy_pairs
-from .nearest import ClusterStats, assign, distances, matrix, nearest_rows, stats_from_arrow
+from .nearest import ClusterStats, assign, close_rows, distances, matrix, nearest_rows, stats_from_arrow
 
 PAIRS = "first bigint, second bigint, distance double"
 # Most clusters whose statistics are gathered.
 MAX_CLUSTERS = 1_000_000
 # More clusters than this are compared with each other on the executors.
 DRIVER_CLUSTERS = 2_000
+# Earlier clusters that a task compares with later ones at a time, and comparisons of a task.
+EARLIER_CLUSTERS = 2_000
+TASK_PAIRS = 10_000_000
 
 
 def cluster_moments(points: DataFrame, cluster: str, vec: str = "vec") -> DataFrame:
@@ -46,34 +49,39 @@ def merge_candidates(summary: DataFrame, threshold: float) -> DataFrame:
     """Pairs of clusters ``(first, second, distance)`` closer than the threshold.
 
     The distance is scaled by the deviation of the first. Only pairs that match become rows, and each
-    cluster is compared with the earlier ones only, block by block of their statistics.
+    cluster is compared with the earlier ones only, block by block of their statistics. The comparisons
+    are dealt over tasks by the later cluster; those that rounding bounds rule out are not computed.
     """
     means = _means(summary)
     stats = gather(summary)
     if not len(stats):
         return means.sparkSession.createDataFrame([], PAIRS)
+    tasks = len(stats) ** 2 // (2 * TASK_PAIRS)
+    if tasks > 1:
+        means = means.repartition(tasks, "cluster")
     found = [means.mapInArrow(_earlier(means, block, threshold), PAIRS) for block in stats.blocks()]
     return reduce(DataFrame.unionByName, found)
 
 
 def _earlier(means: DataFrame, stats: ClusterStats, threshold: float):
+    # A distance from or to what is no finite number is never below the threshold.
+    stats = stats.take(np.isfinite(stats.mean).all(axis=1) & ~np.isnan(stats.deviation).any(axis=1))
     shared = means.sparkSession.sparkContext.broadcast(stats)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        spread = block.deviation
+        parts = [block.take(slice(i, i + EARLIER_CLUSTERS)) for i in range(0, len(block), EARLIER_CLUSTERS)]
         for batch in batches:
             second = batch.column(0).to_numpy()
             points = matrix(batch.column(1), block.dimensions)
-            found = []
-            for i in np.flatnonzero(block.key < second.max(initial=-1)).tolist():
-                later = np.flatnonzero(second > block.key[i])
-                distance = distances(points[later], block.mean[i], spread[i])
-                close = np.flatnonzero(distance < threshold)
-                if len(close):
-                    found.append((np.full(len(close), block.key[i]), second[later[close]], distance[close]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*found)], ["first", "second", "distance"])
+            finite = np.isfinite(points).all(axis=1)
+            for part in parts:
+                later = np.flatnonzero(finite & (second > part.key[0]))
+                for at, i, distance in close_rows(points[later], part, threshold):
+                    found = part.key[i], second[later[at]], distance
+                    rises = found[0] < found[1]
+                    if rises.any():
+                        yield pa.RecordBatch.from_arrays([pa.array(each[rises]) for each in found], ["first", "second", "distance"])
 
     return pairs
 

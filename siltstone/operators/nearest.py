@@ -126,6 +126,13 @@ def distances(points: np.ndarray, centre: np.ndarray, deviation: np.ndarray | No
 
 # Distances that are bounded, or computed exactly, at a time.
 TILE_NUMBERS = 2_000_000
+# Close pairs are computed so many at a time, which stay in a core's cache.
+CACHED_PAIRS = 2_000
+
+
+def tile_rows(stats: ClusterStats) -> int:
+    """Points that are compared with all of ``stats`` at a time."""
+    return max(1, TILE_NUMBERS // max(len(stats), stats.dimensions))
 
 
 def nearest_rows(
@@ -147,7 +154,7 @@ def nearest_rows(
     if not len(stats) or not len(points):
         return row, best
     bounds = _Bounds(stats, threshold)
-    tile = max(1, TILE_NUMBERS // max(len(stats), stats.dimensions))
+    tile = tile_rows(stats)
     for low in range(0, len(points), tile):
         part = points[low : low + tile]
         for at, cluster in bounds.candidates(part, pick):
@@ -170,6 +177,25 @@ def nearest_rows(
     return row, best
 
 
+def close_rows(points: np.ndarray, stats: ClusterStats, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of all points and clusters whose scaled distance is below the threshold, and that distance.
+
+    Found as by :func:`nearest_rows`; a batch has about ``TILE_NUMBERS`` coordinates at most.
+    """
+    if not len(stats) or not len(points):
+        return
+    bounds = _Bounds(stats, threshold)
+    tile = tile_rows(stats)
+    for low in range(0, len(points), tile):
+        part = points[low : low + tile]
+        for at, cluster in bounds.candidates(part, "all"):
+            cuts = [slice(i, i + CACHED_PAIRS) for i in range(0, len(at), CACHED_PAIRS)]
+            d = np.concatenate([bounds.exact(part[at[cut]], cluster[cut]) for cut in cuts]) if cuts else np.zeros(0)
+            close = np.flatnonzero(d < threshold)
+            if len(close):
+                yield low + at[close], cluster[close], d[close]
+
+
 class _Bounds:
     """Least and greatest squared distances of points to all clusters, up to rounding, by matrix products."""
 
@@ -191,7 +217,10 @@ class _Bounds:
         self.rounding = 8.0 * (stats.dimensions + 8) * np.finfo(np.float64).eps
 
     def candidates(self, points: np.ndarray, pick: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of a point's and a cluster's row that have to be computed, by point and cluster."""
+        """Pairs of a point's and a cluster's row that have to be computed, by point and cluster.
+
+        ``pick`` is "nearest" or "first", or "all" for every cluster within the threshold.
+        """
         with np.errstate(over="ignore", invalid="ignore"):
             squares = (points**2) @ self.weight
             middle = squares - 2.0 * (points @ self.weighted) + self.own

@@ -122,7 +122,7 @@ def greedy_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return matching.greedy_pairs(ops.merge_candidates(summary, GREEDY_THRESHOLD), LAST_EDGES)
 
 
-# Edges that one task may finish, low enough that the query has rounds.
+# Edges that are finished without a round, low enough that the query has rounds.
 LAST_EDGES = 100
 
 
